@@ -166,3 +166,210 @@ ORACLES: dict[str, str] = {
     "stage_fastest_laps": with_("SELECT * FROM stg_fastest_laps", **LAPS_STACK),
     "pick_fastest_lap": with_("SELECT * FROM raw_fastest_laps", **LAPS_STACK),
 }
+
+# --- scalar functions ----------------------------------------------------------------------------
+COLOURS_SQL = """
+SELECT n.n_name AS team, v.colour FROM nation n JOIN (VALUES
+  (0, '#3671C6'), (1, '#E8002D'), (2, '#27F4D2'), (3, '#FF87BC'), (4, '#FF8000'), (5, '#C92D4B'),
+  (6, '#229971'), (7, '#B6BABD'), (8, '#6692FF'), (9, '#64C4FF'), (10, '#229971'), (11, '#C92D4B'),
+  (12, '#6692FF'), (13, '#6692FF'), (14, '#FF87BC'), (15, '#B6BABD')) v(idx, colour)
+ON n.n_nationkey = v.idx"""
+
+LAP_FMT = ("CAST(CAST(floor({s} / 60) AS INTEGER) AS VARCHAR) || ':' || printf('%06.3f', {s} % 60)")
+
+ORACLES.update({
+    "race_key": with_(f"SELECT year, round, {rid()} AS race_id FROM raw_races", raw_races=RACES_LIKE),
+    "cast_position": """
+SELECT l_orderkey, l_linenumber, l_quantity / 4.0 AS position_raw,
+       CAST(l_quantity / 4.0 AS INTEGER) AS finish_position
+FROM lineitem""",
+    "format_lap_time": with_(
+        f"SELECT l_orderkey, l_linenumber, round(lap_time_seconds, 3) AS lap_time_seconds, "
+        f"{LAP_FMT.format(s='round(lap_time_seconds, 3)')} AS lap_time_formatted FROM laps_like",
+        laps_like=LAPS_LIKE),
+    "classify_position": with_("""
+SELECT l_orderkey, l_linenumber, finish_position,
+       CASE WHEN finish_position = 1 THEN 'Victoria'
+            WHEN finish_position <= 3 THEN 'Podio'
+            WHEN finish_position <= 10 THEN 'Puntos'
+            WHEN finish_position IS NOT NULL THEN 'Sin puntos'
+            ELSE 'No clasificado' END AS position_label
+FROM stg_results""", raw_results=RESULTS_LIKE, stg_results=stg_results_sql(extra=", l_orderkey, l_linenumber")),
+    "surrogate_key": with_(f"SELECT year, round, driver_code, {sk('year', 'round', 'driver_code')} AS result_sk "
+                           f"FROM raw_results", raw_results=RESULTS_LIKE),
+    "coerce_results": with_("""
+SELECT l.year, l.round, c.event_name,
+       coalesce(CAST(l.driver_number AS VARCHAR), '') AS driver_number,
+       coalesce(CAST(l.driver_code AS VARCHAR), '') AS driver_code,
+       coalesce(CAST(l.full_name AS VARCHAR), '') AS full_name,
+       coalesce(CAST(l.team AS VARCHAR), '') AS team,
+       CASE WHEN isnan(l.position) THEN NULL ELSE l.position END AS position,
+       CASE WHEN isnan(l.points) THEN NULL ELSE l.points END AS points,
+       coalesce(CAST(l.status AS VARCHAR), '') AS status
+FROM landed l JOIN raw_races c ON l.year = c.year AND l.round = c.round""",
+        raw_races=RACES_LIKE,
+        landed=f"""
+SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year, {ROUND_OF.format(c='o.o_orderdate')} AS round,
+       l.l_suppkey AS driver_number, s.s_name AS driver_code, 'Driver ' || s.s_name AS full_name,
+       n.n_name AS team,
+       CASE WHEN l.l_returnflag = 'R' THEN CAST('NaN' AS DOUBLE) ELSE CAST(ceil(l.l_quantity / 2.5) AS DOUBLE) END
+         AS position,
+       51.0 - l.l_quantity AS points,
+       CASE WHEN l.l_linestatus = 'F' THEN 'Finished' ELSE 'Retired' END AS status
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey"""),
+})
+
+# --- dashboard -----------------------------------------------------------------------------------
+SEASON_SLICE = """
+SELECT season_year, championship_position AS "#", driver_name AS Piloto, team_name AS Equipo,
+       total_points AS Puntos, wins AS Victorias, podiums AS Podios, races_entered AS Carreras,
+       round(avg_finish_position, 1) AS Pos_Media
+FROM driver_standings"""
+
+TIEBREAK_COLS = "l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice"
+CUMULATIVE = f"""
+SELECT season_year, driver_name, driver_code, team_name, round_number,
+       sum(points_scored) OVER (PARTITION BY season_year, driver_code
+                                ORDER BY round_number, {TIEBREAK_COLS}
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_points,
+       {TIEBREAK_COLS}
+FROM stg_results"""
+CUM_STACK = dict(raw_results=RESULTS_LIKE, stg_results=stg_results_sql(extra=", " + TIEBREAK_COLS),
+                 cum=CUMULATIVE)
+EVOLUTION = """
+SELECT c.*, r.event_name FROM cum c LEFT JOIN stg_races r
+  ON c.season_year IS NOT DISTINCT FROM r.season_year AND c.round_number IS NOT DISTINCT FROM r.round_number"""
+SELECTION = """
+SELECT season_year, driver_name FROM (
+  SELECT season_year, driver_name, row_number() OVER (PARTITION BY season_year ORDER BY driver_name) AS rn
+  FROM (SELECT DISTINCT season_year, driver_name FROM cum) d) t
+WHERE rn <= 2"""
+TEAM_HISTORY = """
+SELECT season_year AS "Año", team_name AS Equipo, total_points AS Puntos, wins AS Victorias,
+       podiums AS Podios, total_entries AS Entradas, round(avg_finish_position, 1) AS Pos_Media
+FROM team_performance
+ORDER BY season_year, Puntos DESC"""
+SEASON_LAPS = """
+SELECT season_year, round_number AS Ronda, event_name AS Carrera, driver_code AS Piloto, team_name AS Equipo,
+       lap_time_formatted AS Tiempo, fastest_lap_rank_in_season AS Rank_Temporada
+FROM fastest_laps_enriched"""
+
+ORACLES.update({
+    "season_slice": with_(SEASON_SLICE, **STANDINGS_STACK),
+    "top10_drivers": with_("""
+SELECT s.season_year, s."#", s.Piloto, s.Equipo, s.Puntos, s.Victorias, s.Podios,
+       coalesce(c.colour, '#e10600') AS colour
+FROM season_slice s LEFT JOIN colours c ON s.Equipo = c.team
+WHERE s."#" <= 10""", **STANDINGS_STACK, season_slice=SEASON_SLICE, colours=COLOURS_SQL),
+    "cumulative_points": with_("SELECT * FROM cum", **CUM_STACK),
+    "cumulative_points_events": """
+SELECT user_id, ts, event_id, value,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_value
+FROM events""",
+    "points_evolution": with_(EVOLUTION, **CUM_STACK, **RACES_STACK),
+    "axis_labels": with_("SELECT season_year, round_number, replace(event_name, ' Grand Prix', ' GP') AS tick_label "
+                         "FROM stg_races", **RACES_STACK),
+    "compare_selected": with_("""
+SELECT e.* FROM evolution e
+WHERE EXISTS (SELECT 1 FROM selection s WHERE s.season_year = e.season_year AND s.driver_name = e.driver_name)""",
+                              **CUM_STACK, **RACES_STACK, evolution=EVOLUTION, selection=SELECTION),
+    "first_team_per_driver": with_(f"""
+SELECT f.season_year, f.driver_name, f.team_name, coalesce(c.colour, '#e10600') AS colour FROM (
+  SELECT season_year, driver_name, team_name,
+         row_number() OVER (PARTITION BY season_year, driver_name ORDER BY round_number, {TIEBREAK_COLS}) AS rn
+  FROM cum) f
+LEFT JOIN colours c ON f.team_name = c.team
+WHERE f.rn = 1""", **CUM_STACK, colours=COLOURS_SQL),
+    "final_points": with_("""
+SELECT season_year, driver_name, max(cumulative_points) AS final_points,
+       CAST(CAST(trunc(max(cumulative_points)) AS INTEGER) AS VARCHAR) || ' pts' AS final_label
+FROM cum GROUP BY season_year, driver_name""", **CUM_STACK),
+    "distinct_sorted": with_("SELECT DISTINCT season_year, driver_name FROM stg_results", **RESULTS_STACK),
+    "season_laps": with_(SEASON_LAPS, **ENRICHED_STACK),
+    "lap_axis_bounds": with_("""
+SELECT season_year, min(lap_time_seconds) * CAST(0.995 AS DOUBLE) AS y_min,
+       max(lap_time_seconds) * CAST(1.005 AS DOUBLE) AS y_max
+FROM fastest_laps_enriched GROUP BY season_year""", **ENRICHED_STACK),
+    "top5_laps": with_("""
+SELECT season_year, Rank_Temporada, Piloto, Equipo, Carrera, Tiempo FROM (
+  SELECT *, row_number() OVER (PARTITION BY season_year ORDER BY Rank_Temporada, Ronda) AS rn
+  FROM season_laps) t
+WHERE rn <= 5""", **ENRICHED_STACK, season_laps=SEASON_LAPS),
+    "team_history": with_(TEAM_HISTORY, **TEAMS_STACK),
+    "team_compare": with_("""
+SELECT h."Año", h.Equipo, h.Puntos, h.Victorias, h.Podios, coalesce(c.colour, '#e10600') AS colour
+FROM history h LEFT JOIN colours c ON h.Equipo = c.team
+WHERE h.Equipo IN (SELECT DISTINCT Equipo FROM history ORDER BY Equipo LIMIT 6)""",
+                          **TEAMS_STACK, history=TEAM_HISTORY, colours=COLOURS_SQL),
+    "team_colour_lookup": with_("""
+SELECT p.season_year, p.team_name, coalesce(c.colour, '#e10600') AS colour
+FROM team_performance p LEFT JOIN colours c ON p.team_name = c.team""", **TEAMS_STACK, colours=COLOURS_SQL),
+    "distinct_driver_teams": with_(f"""
+SELECT {sk('driver_code', 'season_year')} AS driver_team_sk, driver_code, driver_name, season_year, team_name
+FROM stg_results GROUP BY driver_code, driver_name, team_name, season_year""", **RESULTS_STACK),
+    "load_summary": with_("""
+SELECT 'raw_races' AS table_name, count(*) AS row_count FROM raw_races
+UNION ALL SELECT 'raw_results', count(*) FROM raw_results
+UNION ALL SELECT 'raw_fastest_laps', count(*) FROM raw_fastest_laps""",
+                          raw_races=RACES_LIKE, raw_results=RESULTS_LIKE, **LAPS_STACK),
+})
+
+# --- questions -----------------------------------------------------------------------------------
+ADHOC_EXAMPLE = ("SELECT season_year, driver_name, team_name, wins FROM driver_standings "
+                 "WHERE championship_position <= 3")
+
+ORACLES.update({
+    "q_most_wins": with_("""
+SELECT season_year, driver_name, team_name, wins FROM (
+  SELECT *, row_number() OVER (PARTITION BY season_year ORDER BY wins DESC, championship_position) AS rn
+  FROM driver_standings) t WHERE rn = 1""", **STANDINGS_STACK),
+    "q_most_points_team": with_("SELECT season_year, team_name, total_points FROM team_performance "
+                                "WHERE constructors_position = 1", **TEAMS_STACK),
+    "q_fastest_lap_overall": with_("""
+SELECT season_year, round_number, event_name, driver_code, team_name, lap_time_formatted, lap_time_seconds
+FROM fastest_laps_enriched ORDER BY lap_time_seconds, season_year, round_number LIMIT 1""", **ENRICHED_STACK),
+    "q_driver_podiums": with_("""
+SELECT season_year, driver_code, driver_name, CAST(sum(podiums) AS BIGINT) AS podiums
+FROM driver_standings GROUP BY season_year, driver_code, driver_name""", **STANDINGS_STACK),
+    "q_most_finishes": with_("""
+SELECT season_year, driver_name, races_finished FROM (
+  SELECT *, row_number() OVER (PARTITION BY season_year ORDER BY races_finished DESC, championship_position) AS rn
+  FROM driver_standings) t WHERE rn = 1""", **STANDINGS_STACK),
+    "adhoc_sql": with_(f"SELECT * FROM ({ADHOC_EXAMPLE}) q", **STANDINGS_STACK),
+})
+
+# --- expectations --------------------------------------------------------------------------------
+MARTS_STACK = dict(**STANDINGS_STACK, team_performance=TEAM_PERFORMANCE, **{
+    k: v for k, v in ENRICHED_STACK.items()})
+
+
+def _nn(table: str, col: str) -> str:
+    return (f"SELECT 'not_null' AS test_name, '{table}' AS table_name, '{col}' AS column_name, "
+            f"count(*) FILTER (WHERE {col} IS NULL) AS violations FROM {table}")
+
+
+NOT_NULL_UNION = "\nUNION ALL ".join(_nn(t, c) for t, c in (
+    ("driver_standings", "driver_code"), ("driver_standings", "season_year"),
+    ("driver_standings", "total_points"), ("driver_standings", "championship_position"),
+    ("team_performance", "team_name"), ("team_performance", "season_year"),
+    ("team_performance", "total_points"),
+    ("fastest_laps_enriched", "driver_code"), ("fastest_laps_enriched", "lap_time_seconds")))
+RELATIONSHIP = """
+SELECT r.team_name AS from_field FROM stg_results r LEFT JOIN colours c ON r.team_name = c.team
+WHERE r.team_name IS NOT NULL AND c.team IS NULL"""
+
+ORACLES.update({
+    "expect_not_null": with_(NOT_NULL_UNION, **MARTS_STACK),
+    "expect_unique_combination": """
+SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "expect_relationship": with_(RELATIONSHIP, **RESULTS_STACK, colours=COLOURS_SQL),
+    "expectation_report": with_(NOT_NULL_UNION + """
+UNION ALL SELECT 'unique_combination', 'driver_standings', 'season_year,championship_position', count(*) FROM (
+  SELECT season_year, championship_position FROM driver_standings
+  GROUP BY season_year, championship_position HAVING count(*) > 1) u
+UNION ALL SELECT 'relationships', 'stg_results', 'team_name', count(*) FROM (""" + RELATIONSHIP + ") rel",
+                                **MARTS_STACK, colours=COLOURS_SQL),
+})

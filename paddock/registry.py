@@ -1,7 +1,8 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Every query reads the test tables in ``sf_dir`` (or data Spark derives from them) and runs over the
-whole tables. Column names equal those of the matching oracle in ``paddock.oracle``.
+whole tables: dashboard queries that the original runs for one season run for all seasons at once.
+Column names equal those of the matching oracle in ``paddock.oracle``.
 """
 
 from __future__ import annotations
@@ -9,8 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paddock.plans import models, staging
+from paddock.functions.columns import (
+    classify_position,
+    format_lap_time,
+    race_id,
+    round_half_away,
+    surrogate_key,
+    to_int,
+)
+from paddock.operators import expectations as ex
+from paddock.operators.running import running_sum
+from paddock.plans import adhoc, analytics as an, models
+from paddock.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +37,11 @@ def register(name: str):
     return deco
 
 
-# --- models --------------------------------------------------------------------------------------
+def _cum(spark, d):
+    return an.cumulative_points(models.stg_results(spark, d, keep=b.RESULT_TIEBREAKS), tiebreak=b.RESULT_TIEBREAKS)
+
+
+# --- staging and marts ---------------------------------------------------------------------------
 register("driver_standings")(models.driver_standings)
 register("team_performance")(models.team_performance)
 register("fastest_laps_enriched")(models.fastest_laps_enriched)
@@ -33,4 +50,155 @@ register("stage_races")(models.stg_races)
 register("stage_fastest_laps")(models.stg_fastest_laps)
 register("pick_fastest_lap")(models.raw_fastest_laps)
 
-_ = staging  # imported for the registrations below
+
+# --- scalar functions ----------------------------------------------------------------------------
+@register("race_key")
+def race_key(spark, d):
+    return models.raw_races(spark, d).select("year", "round", race_id("year", "round").alias("race_id"))
+
+
+@register("cast_position")
+def cast_position(spark, d):
+    raw = F.col("l_quantity") / F.lit(4.0)
+    return b.table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select(
+        "l_orderkey", "l_linenumber", raw.alias("position_raw"), to_int(raw).alias("finish_position"))
+
+
+@register("format_lap_time")
+def format_lap_time_q(spark, d):
+    s = round_half_away("lap_time_seconds", 3)
+    return b.laps_like(spark, d).select("l_orderkey", "l_linenumber", s.alias("lap_time_seconds"),
+                                        format_lap_time(s).alias("lap_time_formatted"))
+
+
+@register("classify_position")
+def classify_position_q(spark, d):
+    return models.stg_results(spark, d, keep=("l_orderkey", "l_linenumber")).select(
+        "l_orderkey", "l_linenumber", "finish_position", classify_position("finish_position").alias("position_label"))
+
+
+@register("surrogate_key")
+def surrogate_key_q(spark, d):
+    return models.raw_results(spark, d).select(
+        "year", "round", "driver_code", surrogate_key("year", "round", "driver_code").alias("result_sk"))
+
+
+@register("coerce_results")
+def coerce_results_q(spark, d):
+    from paddock.plans.staging import coerce_results
+    from paddock.sources.bindings import _line_facts
+    f = _line_facts(spark, d, ("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"))
+    landed = f.select(
+        "year", "round",
+        F.col("l_suppkey").alias("driver_number"),
+        F.col("s_name").alias("driver_code"),
+        F.concat(F.lit("Driver "), F.col("s_name")).alias("full_name"),
+        F.col("n_name").alias("team"),
+        F.when(F.col("l_returnflag") == "R", F.lit(float("nan")))
+         .otherwise(F.ceil(F.col("l_quantity") / F.lit(2.5)).cast("double")).alias("position"),
+        (F.lit(51.0) - F.col("l_quantity")).alias("points"),
+        F.when(F.col("l_linestatus") == "F", "Finished").otherwise("Retired").alias("status"))
+    return coerce_results(landed, models.raw_races(spark, d))
+
+
+# --- dashboard -----------------------------------------------------------------------------------
+register("season_slice")(lambda spark, d: an.season_slice(models.driver_standings(spark, d)))
+register("top10_drivers")(lambda spark, d: an.top10_drivers(models.driver_standings(spark, d),
+                                                            b.team_colours_like(spark, d)))
+register("cumulative_points")(_cum)
+
+
+@register("cumulative_points_events")
+def cumulative_points_events(spark, d):
+    ev = b.events_values(spark, d).withColumn("_day", F.to_date("ts"))
+    out = running_sum(ev, ["user_id"], ["ts", "event_id"], "value_dec", "running_value", chunk="_day")
+    return out.select("user_id", "ts", "event_id", "value", F.col("running_value").cast("double").alias("running_value"))
+
+
+register("points_evolution")(lambda spark, d: an.points_evolution(_cum(spark, d), models.stg_races(spark, d)))
+register("axis_labels")(lambda spark, d: an.axis_labels(models.stg_races(spark, d)))
+
+
+@register("compare_selected")
+def compare_selected(spark, d):
+    cum = _cum(spark, d)
+    evo = an.points_evolution(cum, models.stg_races(spark, d))
+    return an.compare_selected(evo, an.default_driver_selection(cum))
+
+
+register("first_team_per_driver")(lambda spark, d: an.first_team_per_driver(_cum(spark, d), b.team_colours_like(spark, d),
+                                                                            tiebreak=b.RESULT_TIEBREAKS))
+register("final_points")(lambda spark, d: an.final_points(_cum(spark, d)))
+register("distinct_sorted")(lambda spark, d: models.stg_results(spark, d).select("season_year", "driver_name").distinct())
+register("season_laps")(lambda spark, d: an.season_laps_table(models.fastest_laps_enriched(spark, d)))
+register("lap_axis_bounds")(lambda spark, d: an.lap_axis_bounds(models.fastest_laps_enriched(spark, d)))
+register("top5_laps")(lambda spark, d: an.top5_laps(models.fastest_laps_enriched(spark, d)))
+register("team_history")(lambda spark, d: an.team_history(models.team_performance(spark, d)))
+register("team_compare")(lambda spark, d: an.team_compare(an.team_history(models.team_performance(spark, d)),
+                                                          b.team_colours_like(spark, d)))
+register("team_colour_lookup")(lambda spark, d: an.team_colour_lookup(models.team_performance(spark, d),
+                                                                      b.team_colours_like(spark, d)))
+
+
+@register("distinct_driver_teams")
+def distinct_driver_teams(spark, d):
+    r = models.stg_results(spark, d)
+    return (r.select("driver_code", "driver_name", "season_year", "team_name").distinct()
+            .select(surrogate_key("driver_code", "season_year").alias("driver_team_sk"),
+                    "driver_code", "driver_name", "season_year", "team_name"))
+
+
+@register("load_summary")
+def load_summary(spark, d):
+    parts = [("raw_races", models.raw_races(spark, d)), ("raw_results", models.raw_results(spark, d)),
+             ("raw_fastest_laps", models.raw_fastest_laps(spark, d))]
+    out = None
+    for name, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# --- questions -----------------------------------------------------------------------------------
+register("q_most_wins")(lambda spark, d: an.q_most_wins(models.driver_standings(spark, d)))
+register("q_most_points_team")(lambda spark, d: an.q_most_points_team(models.team_performance(spark, d)))
+register("q_fastest_lap_overall")(lambda spark, d: an.q_fastest_lap_overall(models.fastest_laps_enriched(spark, d)))
+register("q_driver_podiums")(lambda spark, d: an.q_driver_podiums(models.driver_standings(spark, d)))
+register("q_most_finishes")(lambda spark, d: an.q_most_finishes(models.driver_standings(spark, d)))
+
+# Fixed example question for the guarded ad-hoc path (its oracle is the same text on DuckDB).
+ADHOC_EXAMPLE = ("SELECT season_year, driver_name, team_name, wins FROM driver_standings "
+                 "WHERE championship_position <= 3")
+
+
+@register("adhoc_sql")
+def adhoc_sql(spark, d):
+    views = {"driver_standings": models.driver_standings(spark, d),
+             "team_performance": models.team_performance(spark, d),
+             "fastest_laps_enriched": models.fastest_laps_enriched(spark, d)}
+    df, err = adhoc.run_adhoc(spark, ADHOC_EXAMPLE, views)
+    if err:
+        raise RuntimeError(err)
+    return df
+
+
+# --- expectations --------------------------------------------------------------------------------
+def _marts(spark, d):
+    return {"driver_standings": models.driver_standings(spark, d),
+            "team_performance": models.team_performance(spark, d),
+            "fastest_laps_enriched": models.fastest_laps_enriched(spark, d)}
+
+
+register("expect_not_null")(lambda spark, d: ex.report(_marts(spark, d), unique=()))
+register("expect_unique_combination")(lambda spark, d: ex.unique_combination(
+    b.table(spark, d, "lineitem", "l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]))
+register("expect_relationship")(lambda spark, d: ex.relationship(
+    models.stg_results(spark, d), "team_name", b.team_colours_like(spark, d), "team"))
+
+
+@register("expectation_report")
+def expectation_report(spark, d):
+    tables = _marts(spark, d)
+    tables["stg_results"] = models.stg_results(spark, d)
+    tables["team_colours"] = b.team_colours_like(spark, d)
+    return ex.report(tables, relationships=(("stg_results", "team_name", "team_colours", "team"),))
