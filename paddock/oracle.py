@@ -373,3 +373,96 @@ UNION ALL SELECT 'unique_combination', 'driver_standings', 'season_year,champion
 UNION ALL SELECT 'relationships', 'stg_results', 'team_name', count(*) FROM (""" + RELATIONSHIP + ") rel",
                                 **MARTS_STACK, colours=COLOURS_SQL),
 })
+
+# --- table maintenance: closed forms of the stepwise runs ------------------------------------------
+CUT1, CUT2 = "TIMESTAMP '1998-06-17 00:00:00'", "TIMESTAMP '2000-03-09 00:00:00'"
+BATCH_OF = f"(CASE WHEN o_orderdate < {CUT1} THEN 1 WHEN o_orderdate < {CUT2} THEN 2 ELSE 3 END)"
+RAW_COLS = "year, round, event_name, driver_number, driver_code, full_name, team, position, points, status"
+ORDERS_B1 = f"SELECT * FROM orders WHERE o_orderdate < {CUT1}"
+ORDERS_B2 = f"SELECT * FROM orders WHERE o_orderdate < {CUT2}"
+FIRST_BATCH = """
+SELECT * FROM (
+  SELECT *, min(b) OVER (PARTITION BY {part}) AS first_b FROM (
+    SELECT *, {batch} AS b FROM raw_results) x) y
+WHERE b = first_b"""
+
+
+def _stg_races_of(rel: str) -> str:
+    return STG_RACES.replace("FROM raw_races", f"FROM {rel}")
+
+
+def _laps_of(batch_pred: str) -> str:
+    return FASTEST_RAW.replace("FROM laps_like WHERE", f"FROM laps_like WHERE {batch_pred} AND")
+
+
+ORACLES.update({
+    "schema_clone": with_(f"SELECT {RAW_COLS} FROM raw_results WHERE 1 = 0", raw_results=RESULTS_LIKE),
+    "replace_season": with_("""
+SELECT * FROM r1 WHERE year NOT IN (1998, 1999, 2000, 2001)
+UNION ALL SELECT * FROM r2 WHERE year IN (1998, 1999, 2000, 2001)""",
+                            o1=ORDERS_B1, o2=ORDERS_B2, r1=races_like("o1"), r2=races_like("o2")),
+    "csv_round_trip": with_(f"SELECT {RAW_COLS} FROM raw_results", raw_results=RESULTS_LIKE),
+    "incremental_not_in": with_(f"""
+SELECT * FROM (SELECT {RAW_COLS}, {rid()} AS race_id FROM raw_results) x
+WHERE race_id NOT IN (SELECT race_id FROM stg_b1)""",
+                                raw_results=RESULTS_LIKE, raw_b1=f"SELECT * FROM raw_results WHERE {BATCH_OF} = 1",
+                                stg_b1=stg_results_sql("raw_b1")),
+    "append_new_rounds": with_(f"SELECT {RAW_COLS} FROM kept", raw_results=RESULTS_LIKE,
+                               kept=FIRST_BATCH.format(part="year, round", batch=BATCH_OF)),
+    "incremental_results": with_("SELECT * FROM stg", raw_results=RESULTS_LIKE,
+                                 kept=FIRST_BATCH.format(part=rid(), batch=BATCH_OF),
+                                 stg=stg_results_sql("kept")),
+    "incremental_races": with_("""
+SELECT * FROM s1
+UNION ALL SELECT * FROM s2 WHERE race_id NOT IN (SELECT race_id FROM s1)
+UNION ALL SELECT * FROM s3 WHERE race_id NOT IN (SELECT race_id FROM s1 UNION ALL SELECT race_id FROM s2)""",
+                               o1=ORDERS_B1, o2=ORDERS_B2, r1=races_like("o1"), r2=races_like("o2"),
+                               r3=races_like("orders"), s1=_stg_races_of("r1"), s2=_stg_races_of("r2"),
+                               s3=_stg_races_of("r3")),
+    "incremental_laps": with_("""
+SELECT * FROM s1
+UNION ALL SELECT * FROM s2 WHERE race_id NOT IN (SELECT race_id FROM s1)
+UNION ALL SELECT * FROM s3 WHERE race_id NOT IN (SELECT race_id FROM s1 UNION ALL SELECT race_id FROM s2)""",
+                              laps_like=LAPS_LIKE,
+                              f1=_laps_of(f"{BATCH_OF} <= 1"), f2=_laps_of(f"{BATCH_OF} <= 2"),
+                              f3=_laps_of(f"{BATCH_OF} <= 3"),
+                              s1=STG_LAPS.replace("FROM raw_fastest_laps", "FROM f1"),
+                              s2=STG_LAPS.replace("FROM raw_fastest_laps", "FROM f2"),
+                              s3=STG_LAPS.replace("FROM raw_fastest_laps", "FROM f3")),
+    "upsert_by_key": with_("""
+SELECT * FROM t2 WHERE result_sk NOT IN (SELECT result_sk FROM s3)
+UNION ALL SELECT * FROM s3""",
+                           raw_results=RESULTS_LIKE,
+                           b1=f"SELECT * FROM raw_results WHERE {BATCH_OF} = 1",
+                           b2=f"SELECT * FROM raw_results WHERE {BATCH_OF} = 2",
+                           b3=f"SELECT * FROM raw_results WHERE {BATCH_OF} = 3",
+                           s1=stg_results_sql("b1"), s2=stg_results_sql("b2"), s3=stg_results_sql("b3"),
+                           t2="SELECT * FROM s1 WHERE result_sk NOT IN (SELECT result_sk FROM s2) "
+                              "UNION ALL SELECT * FROM s2"),
+})
+
+SNAPSHOT_VERSIONS = f"""
+WITH src AS (
+  SELECT snapshot_year, o_custkey, o_orderpriority FROM (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS snapshot_year, o_custkey, o_orderpriority,
+           row_number() OVER (PARTITION BY year(o_orderdate), o_custkey
+                              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders) t WHERE rn = 1),
+runs AS (
+  SELECT *, {sk('o_custkey')} AS snapshot_sk, make_timestamp(snapshot_year + 1, 1, 1, 0, 0, 0) AS ts FROM src),
+flagged AS (
+  SELECT *, row_number() OVER w AS rn, lag(o_orderpriority) OVER w AS prev
+  FROM runs WINDOW w AS (PARTITION BY snapshot_sk ORDER BY snapshot_year)),
+starts AS (SELECT * FROM flagged WHERE rn = 1 OR prev IS DISTINCT FROM o_orderpriority),
+versions AS (
+  SELECT snapshot_sk, o_custkey, o_orderpriority,
+         md5(snapshot_sk || '|' || CAST(ts AS VARCHAR)) AS dbt_scd_id,
+         ts AS dbt_updated_at, ts AS dbt_valid_from,
+         lead(ts) OVER (PARTITION BY snapshot_sk ORDER BY ts) AS dbt_valid_to
+  FROM starts)
+"""
+
+ORACLES.update({
+    "scd2_history": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
+    "scd2_current": SNAPSHOT_VERSIONS + "SELECT * FROM versions WHERE dbt_valid_to IS NULL",
+})

@@ -202,3 +202,12 @@ def expectation_report(spark, d):
     tables["stg_results"] = models.stg_results(spark, d)
     tables["team_colours"] = b.team_colours_like(spark, d)
     return ex.report(tables, relationships=(("stg_results", "team_name", "team_colours", "team"),))
+
+
+# --- table maintenance (multi-step writes under the shared checkpoint folder) ----------------------
+from paddock.plans import maintenance as mt  # noqa: E402
+
+for _name in ("schema_clone", "replace_season", "csv_round_trip", "incremental_not_in", "append_new_rounds",
+              "incremental_races", "incremental_results", "incremental_laps", "upsert_by_key",
+              "scd2_history", "scd2_current"):
+    register(_name)(getattr(mt, _name))

@@ -78,7 +78,7 @@ class VersionedTable:
         for part in h.parts:
             df = self.spark.read.schema(schema).parquet(part.path)
             if part.masked:
-                mask = F.struct(*[F.col(c).cast("string") for c in h.partition_by])
+                mask = F.struct(*[F.col(c).cast("string").alias(c) for c in h.partition_by])
                 key = F.to_json(mask)
                 df = df.where(~key.isin(list(part.masked)))
             frames.append(df.select(*cols))
