@@ -34,20 +34,25 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
+        self._head = None  # last commit seen by this writer (one writer per table)
 
     # -- log -------------------------------------------------------------------------------------
     @property
     def _log(self) -> str:
         return f"{self.path}/_commits"
 
-    def head(self):
-        """Latest commit row, or None when the table does not exist yet."""
+    def head(self, refresh: bool = False):
+        """Latest commit row, or None when the table does not exist yet. Cached after the first
+        read and after every commit of this object; ``refresh=True`` re-reads the log."""
+        if self._head is not None and not refresh:
+            return self._head
         try:
             log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log)
             rows = log.orderBy(F.col("version").desc()).limit(1).collect()
         except AnalysisException:
             return None
-        return rows[0] if rows else None
+        self._head = rows[0] if rows else None
+        return self._head
 
     def exists(self) -> bool:
         return self.head() is not None
@@ -59,7 +64,9 @@ class VersionedTable:
     def _commit(self, op: str, parts, schema: T.StructType, head) -> None:
         row = [((head.version if head else 0) + 1, op, [(p, list(m)) for p, m in parts], schema.json(),
                 self.partition_by)]
-        self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log)
+        commit = self.spark.createDataFrame(row, _LOG_SCHEMA)
+        commit.coalesce(1).write.mode("append").parquet(self._log)
+        self._head = commit.first()
 
     # -- read ------------------------------------------------------------------------------------
     def schema(self) -> T.StructType:

@@ -55,14 +55,17 @@ def batch_number(ts_col="o_orderdate"):
 
 
 def _line_facts(spark: SparkSession, sf_dir: str, li_cols) -> DataFrame:
-    """lineitem ⋈ orders ⋈ (supplier ⋈ nation) with the calendar fields of each line."""
+    """lineitem ⋈ orders ⋈ supplier ⋈ nation with the calendar fields of each line."""
     li = table(spark, sf_dir, "lineitem", *li_cols)
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    sup = (table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
-           .join(table(spark, sf_dir, "nation", "n_nationkey", "n_name"),
-                 F.col("s_nationkey") == F.col("n_nationkey")))
+    supplier = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    # Each dimension joins the fact stream as a plain scan, so its size estimate is the file size and
+    # a small one is broadcast statically (a pre-joined supplier x nation would be estimated as a
+    # product and force a shuffle of the fact side). Large sides fall back to sort-merge joins.
     return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .withColumn("year", F.year("o_orderdate").cast("int"))
             .withColumn("round", season_week("o_orderdate"))
             .withColumn("event_name", F.concat(F.lit("Round "), F.col("round").cast("string"))))
@@ -102,11 +105,11 @@ def races_like(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
     """raw_races-shaped calendar: one row per (year, round) of orders; the country is the nation
     with the least key among the race's customers; the date is the race's first order day."""
     o = orders if orders is not None else table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-    cust = (table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-            .join(table(spark, sf_dir, "nation", "n_nationkey", "n_name"),
-                  F.col("c_nationkey") == F.col("n_nationkey")))
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     return (o.select("o_custkey", "o_orderdate")
             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy(F.year("o_orderdate").cast("int").alias("year"), season_week("o_orderdate").alias("round"))
             .agg(F.min_by("n_name", "n_nationkey").alias("country"),
                  F.min("o_orderdate").cast("date").alias("date"))
