@@ -98,7 +98,7 @@ def short_event_name(name) -> Column:
 
 def interval_seconds(x) -> Column:
     """Day-time interval -> seconds as DOUBLE, null-safe (microsecond exact via DECIMAL)."""
-    c = _col(x)
+    c = _col(x).cast("interval day to second")
     whole = (F.extract(F.lit("DAY"), c).cast("decimal(18,6)") * 86400
              + F.extract(F.lit("HOUR"), c) * 3600 + F.extract(F.lit("MINUTE"), c) * 60)
     return (whole + F.extract(F.lit("SECOND"), c)).cast("double")

@@ -75,12 +75,13 @@ def first_batch_wins(df: DataFrame, race_key: str, batch_col: str) -> DataFrame:
     """Closed form of repeated incremental runs: a row stays iff it arrived in the first batch that
     carried its race. Grouped min + join (combinable map-side) rather than a window over the race,
     so a race holding a third of all rows does not land in one task."""
-    first = df.groupBy(race_key).agg(F.min(batch_col).alias("_first"))
-    return (df.join(first, df[race_key].eqNullSafe(first[race_key]))
-            .where(F.col(batch_col) == F.col("_first")).drop("_first").drop(first[race_key]))
+    first = df.groupBy(F.col(race_key).alias("_rk")).agg(F.min(batch_col).alias("_first"))
+    return (df.join(first, F.col(race_key).eqNullSafe(F.col("_rk")))
+            .where(F.col(batch_col) == F.col("_first")).drop("_first", "_rk"))
 
 
 def first_batch_window(df: DataFrame, race_key: str, batch_col: str) -> DataFrame:
     """The same closed form written as a window (reference formulation, for tests)."""
     w = Window.partitionBy(race_key)
-    return df.where(F.col(batch_col) == F.min(batch_col).over(w))
+    return (df.withColumn("_first", F.min(batch_col).over(w))
+            .where(F.col(batch_col) == F.col("_first")).drop("_first"))

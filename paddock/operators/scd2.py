@@ -75,7 +75,8 @@ def history(runs: DataFrame, key: str, check_cols, run_col: str, run_ts: Column)
     w = Window.partitionBy(key).orderBy(F.col(run_col))
     first = F.row_number().over(w) == 1
     changed = _distinct([F.lag(c).over(w) for c in check_cols], [F.col(c) for c in check_cols])
-    starts = runs.withColumn("_ts", run_ts.cast("timestamp_ntz")).where(first | changed)
+    starts = (runs.withColumn("_ts", run_ts.cast("timestamp_ntz")).withColumn("_start", first | changed)
+              .where(F.col("_start")).drop("_start"))
     w2 = Window.partitionBy(key).orderBy(F.col("_ts"))
     out = _meta(starts, key, F.col("_ts")).withColumn("dbt_valid_to", F.lead("_ts").over(w2))
     return out.drop("_ts", run_col)
