@@ -7,12 +7,14 @@ of all rows, that task holds a third of the data. Here the sum is split in two l
 1. ``chunk`` is a coarse, non-null column that is monotone in the order (the leading order column
    or a bucket of it: the round of a result, the day of an event). The rows of one (key, chunk)
    are summed by a window partitioned by key *and* chunk, so a hot key is spread over its chunks.
-2. Per (key, chunk) totals — one row per chunk after a map-side-combined aggregate — get an
-   exclusive prefix sum over the chunks of the key. That window sees at most #chunks rows per key
-   (bounded by the calendar, not by data volume).
+2. Per (key, chunk) totals get an exclusive prefix sum over the chunks of the key. That window sees
+   at most #chunks rows per key (bounded by the calendar, not by data volume).
 3. An equi-join on (key, chunk) adds the offset to the in-chunk sum. The detail side is already
    hash-partitioned on exactly those columns by step 1, so only the small offsets side shuffles.
 
+Steps 1 and 2 read one explicit ``repartition`` on (key, chunk): Spark plans the second use as a
+``ReusedExchange``, so the input (often a join) is computed and shuffled once, not once per branch.
+
 Null partition keys form their own group (as in SQL): keys are joined through a coalesced value
 plus an is-null flag so the equi-join stays a plain hash/sort-merge join.
 Exact for integral and DECIMAL values; sum DOUBLE fractions through DECIMAL (T6).
@@ -57,6 +59,7 @@ def running_sum(df: DataFrame, partition_by, order_by, value: str, out: str, chu
                   .withColumn(f"_rn{i}", F.col(c).isNull()))
         keys += [f"_rk{i}", f"_rn{i}"]
     ck = keys + [chunk]
+    staged = staged.repartition(*ck)
 
     w_in = Window.partitionBy(*ck).orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     detail = staged.withColumn("_in_chunk", F.sum(value).over(w_in))

@@ -126,8 +126,9 @@ def compare_selected(spark, d):
     return an.compare_selected(evo, an.default_driver_selection(cum))
 
 
-register("first_team_per_driver")(lambda spark, d: an.first_team_per_driver(_cum(spark, d), b.team_colours_like(spark, d),
-                                                                            tiebreak=b.RESULT_TIEBREAKS))
+# The first team needs the rows of the running-total frame, not its values: read the staged rows.
+register("first_team_per_driver")(lambda spark, d: an.first_team_per_driver(
+    models.stg_results(spark, d, keep=b.RESULT_TIEBREAKS), b.team_colours_like(spark, d), tiebreak=b.RESULT_TIEBREAKS))
 register("final_points")(lambda spark, d: an.final_points(_cum(spark, d)))
 register("distinct_sorted")(lambda spark, d: models.stg_results(spark, d).select("season_year", "driver_name").distinct())
 register("season_laps")(lambda spark, d: an.season_laps_table(models.fastest_laps_enriched(spark, d)))
