@@ -466,3 +466,10 @@ ORACLES.update({
     "scd2_history": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
     "scd2_current": SNAPSHOT_VERSIONS + "SELECT * FROM versions WHERE dbt_valid_to IS NULL",
 })
+
+ORACLES.update({
+    "stream_incremental_results": ORACLES["incremental_results"],
+    "warehouse_driver_standings": with_("SELECT * FROM driver_standings", raw_results=RESULTS_LIKE,
+                                        kept=FIRST_BATCH.format(part="year, round", batch=BATCH_OF),
+                                        stg_results=stg_results_sql("kept"), driver_standings=DRIVER_STANDINGS),
+})

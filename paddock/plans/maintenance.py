@@ -154,3 +154,18 @@ def scd2_closed_form(spark: SparkSession, d: str) -> DataFrame:
     """I5 batch form over all runs at once (gaps and islands) — equal to ``scd2_history``."""
     src = _snapshot_source(spark, d)
     return scd2.history(src, "snapshot_sk", ["o_orderpriority"], "snapshot_year", _run_ts(F.col("snapshot_year")))
+
+
+def stream_incremental_results(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """I2 as a stream: each batch's new rows land as files, then one ``availableNow`` trigger stages
+    them into the versioned target through ``foreachBatch``."""
+    from paddock.streaming.incremental import stream_incremental_stage
+
+    root = root or scratch_dir(spark, "stream")
+    target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"])
+    raw = b.results_like(spark, d).withColumn("_b", b.batch_number())
+    for k in BATCHES:
+        conform(raw.where(F.col("_b") == k), schemas.RAW_RESULTS).write.mode("append").parquet(f"{root}/landing")
+        stream_incremental_stage(spark, f"{root}/landing", schemas.RAW_RESULTS, target, staging.stage_results,
+                                 race_id("year", "round"), f"{root}/_checkpoint")
+    return target.read()

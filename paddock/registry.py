@@ -212,3 +212,10 @@ for _name in ("schema_clone", "replace_season", "csv_round_trip", "incremental_n
               "incremental_races", "incremental_results", "incremental_laps", "upsert_by_key",
               "scd2_history", "scd2_current"):
     register(_name)(getattr(mt, _name))
+register("stream_incremental_results")(mt.stream_incremental_results)
+
+
+@register("warehouse_driver_standings")
+def warehouse_driver_standings(spark, d):
+    from paddock.plans.build import warehouse_driver_standings as run
+    return run(spark, d)
