@@ -35,7 +35,7 @@ def race_id(year, round_) -> Column:
     """``YYYY-RR``: year as text, dash, round left-padded to two characters.
 
     ``lpad`` truncates past two characters (round 123 -> '12'), as the SQL original does, so rounds
-    above 99 collide; ``expect_round_fits_key`` checks that precondition.
+    above 99 collide; ``expectations.round_fits_key`` checks that precondition.
     """
     return F.concat(_col(year).cast("string"), F.lit("-"), F.lpad(_col(round_).cast("string"), 2, "0"))
 

@@ -56,6 +56,11 @@ def relationship(child: DataFrame, column: str, parent: DataFrame, field: str) -
             .join(keys, F.col("from_field") == F.col("_to"), "left_anti"))
 
 
+def round_fits_key(df: DataFrame, round_col: str = "round", max_round: int = 99) -> DataFrame:
+    """Rows whose round does not fit the two-character race key (T7: ``lpad`` truncates 100 -> '10')."""
+    return df.where(F.col(round_col) > max_round)
+
+
 def report(tables: dict[str, DataFrame], not_null=NOT_NULL_TESTS, unique=UNIQUE_TESTS,
            relationships=()) -> DataFrame:
     """(test_name, table_name, column_name, violations) for every test over the given tables.

@@ -87,6 +87,8 @@ def test_expectations(spark):
         ex.assert_passed(rep)
     ok = ex.report({"t": df}, not_null=(("t", "a"),), unique=())
     assert ex.assert_passed(ok) is ok
+    rounds = spark.createDataFrame([(99,), (100,)], "round int")
+    assert [r["round"] for r in ex.round_fits_key(rounds).collect()] == [100]
 
 
 def test_upsert_by_key(spark):
