@@ -46,14 +46,19 @@ def latest_per_key(df: DataFrame, key_cols, value_cols, order_cols) -> DataFrame
 
 
 def snapshot_step(target: VersionedTable, source: DataFrame, key: str, check_cols, run_ts: Column) -> None:
-    """Apply one snapshot run to ``target`` (created on the first run). ``source`` has one row per key."""
+    """Apply one snapshot run to ``target`` (created on the first run). ``source`` has one row per key.
+
+    When the target is partitioned by ``dbt_valid_to`` only the open versions (the null partition,
+    read by partition pruning) take part: the run replaces that partition with the new open set and
+    adds the versions it closes under the run's partition. History already closed is never read or
+    rewritten, so a run costs the number of open versions, not the length of the history.
+    """
     if not target.exists():
         target.overwrite(_meta(source, key, run_ts))
         return
     cur = target.read()
     cols = cur.columns
     src_cols = [c for c in cols if not c.startswith("dbt_")]
-    closed = cur.where(F.col("dbt_valid_to").isNotNull())
     open_ = cur.where(F.col("dbt_valid_to").isNull()).alias("o")
     s = source.select(*src_cols).alias("s")
     j = open_.join(s, F.col(f"o.{key}") == F.col(f"s.{key}"), "full_outer")
@@ -67,7 +72,11 @@ def snapshot_step(target: VersionedTable, source: DataFrame, key: str, check_col
                          F.when(changed, ts).otherwise(F.col("o.dbt_valid_to")).alias("dbt_valid_to")))
     inserts = _meta(j.where(s_present & (~o_present | changed)).select(*[F.col(f"s.{c}").alias(c) for c in src_cols]),
                     key, run_ts)
-    target.overwrite(closed.unionByName(kept_open.select(*cols)).unionByName(inserts.select(*cols)))
+    new_open = kept_open.select(*cols).unionByName(inserts.select(*cols))
+    if target.partition_by == ["dbt_valid_to"]:
+        target.replace_partitions(new_open, [None])
+    else:
+        target.overwrite(cur.where(F.col("dbt_valid_to").isNotNull()).unionByName(new_open))
 
 
 def history(runs: DataFrame, key: str, check_cols, run_col: str, run_ts: Column) -> DataFrame:

@@ -120,8 +120,7 @@ def upsert_by_key(spark: SparkSession, d: str, root: str | None = None) -> DataF
     r = b.results_like(spark, d).withColumn("_b", b.batch_number())
     t.overwrite(staging.stage_results(r.where(F.col("_b") == 1)))
     for k in BATCHES[1:]:
-        batch = staging.stage_results(r.where(F.col("_b") == k))
-        t.overwrite(inc.upsert_by_key(t.read(), batch, "result_sk"))
+        inc.upsert_into(t, staging.stage_results(r.where(F.col("_b") == k)), "result_sk", "season_year")
     return t.read()
 
 
@@ -138,7 +137,7 @@ def scd2_history(spark: SparkSession, d: str, root: str | None = None) -> DataFr
     """I5 stepwise: one snapshot run per year (as of 1 January of the next year), check strategy on
     the customer's latest order priority. The run list is the distinct years (one per season)."""
     src = _snapshot_source(spark, d)
-    t = VersionedTable(spark, root or scratch_dir(spark, "snapshot"))
+    t = VersionedTable(spark, root or scratch_dir(spark, "snapshot"), partition_by=["dbt_valid_to"])
     years = [r.snapshot_year for r in src.select("snapshot_year").distinct().orderBy("snapshot_year").collect()]
     for y in years:
         run = src.where(F.col("snapshot_year") == y).drop("snapshot_year")

@@ -85,9 +85,7 @@ class VersionedTable:
         for part in h.parts:
             df = self.spark.read.schema(schema).parquet(part.path)
             if part.masked:
-                mask = F.struct(*[F.col(c).cast("string").alias(c) for c in h.partition_by])
-                key = F.to_json(mask)
-                df = df.where(~key.isin(list(part.masked)))
+                df = df.where(~_partition_key(h.partition_by).isin(list(part.masked)))
             frames.append(df.select(*cols))
         return reduce(DataFrame.unionByName, frames)
 
@@ -131,20 +129,37 @@ class VersionedTable:
         return self.overwrite(self.read())
 
     def replace_partitions(self, df: DataFrame, values) -> "VersionedTable":
-        """Delete every row whose partition value is in ``values`` and insert ``df`` (whose rows must
-        belong to those values). An empty ``df`` empties the listed partitions (T11)."""
+        """``DELETE WHERE partition IN values; INSERT df`` as one commit. ``values`` are values of the
+        single partition column (``None`` = the null partition); ``df`` may also hold rows of other
+        partitions, which are simply added. An empty ``df`` empties the listed partitions (T11)."""
         if len(self.partition_by) != 1:
             raise ValueError("replace_partitions needs exactly one partition column")
         head = self.head()
         df = self._bind(df, head)
-        c = self.partition_by[0]
-        masked_keys = [json.dumps({c: str(v)}, separators=(",", ":")) for v in values]
-        part = self._write_part(df.where(F.col(c).isin(list(values))))
+        masked_keys = [_partition_text(v) for v in values]
+        part = self._write_part(df)
         parts = [(p.path, sorted(set(p.masked) | set(masked_keys))) for p in head.parts] if head else []
         self._commit("replace", parts + [(part, [])], df.schema if head is None else self.schema(), head)
         return self
 
 
+# Partition values are masked by their text form; a null value gets a marker no text cast produces.
+_NULL_MARK = "\u0000null"
+
+
+def _partition_text(v) -> str:
+    if v is None:
+        return _NULL_MARK
+    if hasattr(v, "isoformat"):
+        return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
+    return str(v)
+
+
+def _partition_key(cols):
+    (c,) = cols
+    return F.coalesce(F.col(c).cast("string"), F.lit(_NULL_MARK))
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """K4: header CSV, comma separated, quotes escaped by doubling (T13: empty text reads back null)."""
     df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
