@@ -71,8 +71,8 @@ class Warehouse:
 
 def landing_from_testdata(spark: SparkSession, sf_dir: str, batch: int) -> dict[str, DataFrame]:
     """The landed frames of cumulative batch ``batch`` built from the test tables."""
-    results = conform(b.results_like(spark, sf_dir).where(b.batch_number() <= batch), schemas.RAW_RESULTS)
-    laps = b.laps_like(spark, sf_dir).where(b.batch_number() <= batch)
+    results = conform(b.results_like(spark, sf_dir).where(b.upto_batch(batch)), schemas.RAW_RESULTS)
+    laps = b.laps_like(spark, sf_dir).where(b.upto_batch(batch))
     races = b.races_like(spark, sf_dir, b.orders_in_batch(spark, sf_dir, batch))
     return {"raw_races": conform(races, schemas.RAW_RACES),
             "raw_results": results,

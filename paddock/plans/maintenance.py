@@ -31,14 +31,14 @@ REPLACED_SEASONS = (1998, 1999, 2000, 2001)
 def _raw_results(spark, d, batch=None) -> DataFrame:
     r = b.results_like(spark, d)
     if batch is not None:
-        r = r.where(b.batch_number() <= batch)
+        r = r.where(b.upto_batch(batch))
     return r
 
 
 def _raw_laps(spark, d, batch=None) -> DataFrame:
     laps = b.laps_like(spark, d)
     if batch is not None:
-        laps = laps.where(b.batch_number() <= batch)
+        laps = laps.where(b.upto_batch(batch))
     return staging.pick_fastest_lap(laps, tiebreak=b.LAP_TIEBREAKS)
 
 
@@ -117,15 +117,15 @@ def incremental_laps(spark: SparkSession, d: str, root: str | None = None) -> Da
 def upsert_by_key(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """I4: stage batch 1, then upsert the rows new in batch 2 and in batch 3 by ``result_sk``."""
     t = VersionedTable(spark, root or scratch_dir(spark, "upsert"), partition_by=["season_year"])
-    r = b.results_like(spark, d).withColumn("_b", b.batch_number())
-    t.overwrite(staging.stage_results(r.where(F.col("_b") == 1)))
+    r = b.results_like(spark, d)
+    t.overwrite(staging.stage_results(r.where(b.in_batch(1))))
     for k in BATCHES[1:]:
-        inc.upsert_into(t, staging.stage_results(r.where(F.col("_b") == k)), "result_sk", "season_year")
+        inc.upsert_into(t, staging.stage_results(r.where(b.in_batch(k))), "result_sk", "season_year")
     return t.read()
 
 
-def _snapshot_source(spark, d) -> DataFrame:
-    src = b.customer_priority_snapshots(spark, d)
+def _snapshot_source(spark, d, year=None) -> DataFrame:
+    src = b.customer_priority_snapshots(spark, d, year)
     return src.select("snapshot_year", surrogate_key("o_custkey").alias("snapshot_sk"), "o_custkey", "o_orderpriority")
 
 
@@ -136,11 +136,11 @@ def _run_ts(year_col):
 def scd2_history(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """I5 stepwise: one snapshot run per year (as of 1 January of the next year), check strategy on
     the customer's latest order priority. The run list is the distinct years (one per season)."""
-    src = _snapshot_source(spark, d)
     t = VersionedTable(spark, root or scratch_dir(spark, "snapshot"), partition_by=["dbt_valid_to"])
-    years = [r.snapshot_year for r in src.select("snapshot_year").distinct().orderBy("snapshot_year").collect()]
-    for y in years:
-        run = src.where(F.col("snapshot_year") == y).drop("snapshot_year")
+    # one run per calendar year between the first and last order; a year without orders is a run
+    # with an empty source, which changes nothing (vanished keys stay open)
+    for y in b.order_years(spark, d):
+        run = _snapshot_source(spark, d, y).drop("snapshot_year")
         scd2.snapshot_step(t, run, "snapshot_sk", ["o_orderpriority"], _run_ts(F.lit(y)))
     return t.read()
 
@@ -162,9 +162,9 @@ def stream_incremental_results(spark: SparkSession, d: str, root: str | None = N
 
     root = root or scratch_dir(spark, "stream")
     target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"])
-    raw = b.results_like(spark, d).withColumn("_b", b.batch_number())
+    raw = b.results_like(spark, d)
     for k in BATCHES:
-        conform(raw.where(F.col("_b") == k), schemas.RAW_RESULTS).write.mode("append").parquet(f"{root}/landing")
+        conform(raw.where(b.in_batch(k)), schemas.RAW_RESULTS).write.mode("append").parquet(f"{root}/landing")
         stream_incremental_stage(spark, f"{root}/landing", schemas.RAW_RESULTS, target, staging.stage_results,
                                  race_id("year", "round"), f"{root}/_checkpoint")
     return target.read()

@@ -54,6 +54,36 @@ def batch_number(ts_col="o_orderdate"):
             .when(c < F.lit(BATCH_CUTS[1]).cast("timestamp_ntz"), 2).otherwise(3))
 
 
+def _cut(i: int):
+    return F.lit(BATCH_CUTS[i]).cast("timestamp_ntz")
+
+
+def upto_batch(batch: int, ts_col="o_orderdate"):
+    """Cumulative batches 1..``batch`` as a plain range on the order date, so the predicate reaches
+    the orders scan as a pushed filter (a CASE over the date would not)."""
+    if batch > len(BATCH_CUTS):
+        return F.lit(True)
+    return F.col(ts_col) < _cut(batch - 1)
+
+
+def in_batch(batch: int, ts_col="o_orderdate"):
+    """Exactly batch ``batch`` as a date range (pushed to the scan)."""
+    c = F.col(ts_col)
+    cond = F.lit(True)
+    if batch >= 2:
+        cond = cond & (c >= _cut(batch - 2))
+    if batch <= len(BATCH_CUTS):
+        cond = cond & (c < _cut(batch - 1))
+    return cond
+
+
+def year_range(year: int, ts_col="o_orderdate"):
+    """Rows of one calendar year as a date range (pushed to the scan, unlike ``year(ts) = y``)."""
+    c = F.col(ts_col)
+    return (c >= F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")) & \
+        (c < F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def _line_facts(spark: SparkSession, sf_dir: str, li_cols) -> DataFrame:
     """lineitem ⋈ orders ⋈ supplier ⋈ nation with the calendar fields of each line."""
     li = table(spark, sf_dir, "lineitem", *li_cols)
@@ -119,8 +149,14 @@ def races_like(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
 
 def orders_in_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     """Orders landed up to cumulative batch ``batch`` (1..3)."""
-    return (table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-            .where(batch_number() <= batch))
+    return table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").where(upto_batch(batch))
+
+
+def order_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Every calendar year from the first to the last order (one single-row aggregate)."""
+    r = table(spark, sf_dir, "orders", "o_orderdate").agg(
+        F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi")).first()
+    return [] if r.lo is None else list(range(r.lo, r.hi + 1))
 
 
 def events_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,10 +165,13 @@ def events_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("value_dec", F.col("value").cast("decimal(18,2)"))
 
 
-def customer_priority_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_priority_snapshots(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """One snapshot source per year: each customer's latest order priority in that year, by
-    (order date, order key). Columns: snapshot_year, o_custkey, o_orderpriority."""
+    (order date, order key). Columns: snapshot_year, o_custkey, o_orderpriority. With ``year`` only
+    that year's orders are read (date range pushed to the scan)."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if year is not None:
+        o = o.where(year_range(year))
     return (o.groupBy(F.year("o_orderdate").cast("int").alias("snapshot_year"), "o_custkey")
             .agg(F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("o_orderpriority")))
 
