@@ -18,20 +18,23 @@ from pyspark.sql import functions as F
 from paddock.sinks.tables import VersionedTable
 
 
-def not_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+def not_in(df: DataFrame, column: str, keys: DataFrame, key: str, facts=None) -> DataFrame:
     """Rows of ``df`` where ``column NOT IN (SELECT key FROM keys)`` is true.
 
     SQL three-valued logic: with an empty key set every row passes (null included); with a null in
     the key set no row passes; otherwise null probes are dropped and the rest is an anti join.
-    The two facts about the key set come from one single-row aggregate (an action on the key side
-    only). The anti join runs on the distinct keys — one row per race for the staging tables, so
+    The two facts about the key set (row count, null count) come from ``facts`` when the caller knows
+    them (a versioned table's log), else from one single-row aggregate on the key side. The anti join runs on the distinct keys — one row per race for the staging tables, so
     AQE broadcasts it; a large key set falls back to a sort-merge anti join, never a nested loop.
     """
     k = keys.select(F.col(key).alias("_k"))
-    facts = k.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k").isNull()).alias("nulls")).first()
-    if facts.n == 0:
+    if facts is None:
+        r = k.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k").isNull()).alias("nulls")).first()
+        facts = (r.n, r.nulls)
+    n, nulls = facts
+    if n == 0:
         return df
-    if facts.nulls > 0:
+    if nulls > 0:
         return df.where(F.lit(False))
     return (df.where(F.col(column).isNotNull())
             .join(k.distinct(), F.col(column) == F.col("_k"), "left_anti"))
@@ -55,8 +58,8 @@ def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, ta
     """
     if target.exists():
         existing = target.read().select(target_key)
-        batch = stage(not_in(raw.withColumn("_race_key", raw_key), "_race_key", existing, target_key)
-                      .drop("_race_key"))
+        batch = stage(not_in(raw.withColumn("_race_key", raw_key), "_race_key", existing, target_key,
+                             facts=target.facts(target_key)).drop("_race_key"))
     else:
         batch = stage(raw)
     target.append(batch)

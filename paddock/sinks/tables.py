@@ -11,6 +11,9 @@ per part, the partition values that are masked out. Consequences:
   replacement rows and masks the replaced partition values in older parts — partition pruning
   makes masked data free to skip, so a replace costs the size of the batch, not of the table.
 - ``overwrite`` / ``compact`` rewrite everything once into a single part.
+- Each part records its row count and per-column null counts, observed by the write job itself
+  (``DataFrame.observe``, no extra pass), so facts such as "is the key set empty / does it hold a
+  null" come from the log instead of a scan (``facts``).
 Columns are bound by name on every write (T10). One writer per table at a time.
 """
 
@@ -21,12 +24,12 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOG_SCHEMA = ("version INT, op STRING, parts ARRAY<STRUCT<path: STRING, masked: ARRAY<STRING>>>, "
-               "table_schema STRING, partition_by ARRAY<STRING>")
+_LOG_SCHEMA = ("version INT, op STRING, parts ARRAY<STRUCT<path: STRING, masked: ARRAY<STRING>, rows: BIGINT, "
+               "nulls: MAP<STRING, BIGINT>>>, table_schema STRING, partition_by ARRAY<STRING>")
 
 
 class VersionedTable:
@@ -62,7 +65,9 @@ class VersionedTable:
         return h.version if h else 0
 
     def _commit(self, op: str, parts, schema: T.StructType, head) -> None:
-        row = [((head.version if head else 0) + 1, op, [(p, list(m)) for p, m in parts], schema.json(),
+        """``parts``: (path, masked values, (rows, nulls) stats or None) per live part."""
+        row = [((head.version if head else 0) + 1, op,
+                [(p, list(m), *(st if st else (None, None))) for p, m, st in parts], schema.json(),
                 self.partition_by)]
         commit = self.spark.createDataFrame(row, _LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self._log)
@@ -90,13 +95,37 @@ class VersionedTable:
         return reduce(DataFrame.unionByName, frames)
 
     # -- write -----------------------------------------------------------------------------------
-    def _write_part(self, df: DataFrame) -> str:
+    def _write_part(self, df: DataFrame):
+        """Write ``df`` as a new part; return (path, (rows, {column: nulls})) observed by the write."""
         p = f"{self.path}/part-{uuid.uuid4().hex}"
-        w = df.write.mode("errorifexists")
+        obs = Observation(f"stats_{uuid.uuid4().hex}")
+        metrics = [F.count(F.lit(1)).alias("_rows")] + \
+            [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
+        w = df.observe(obs, *metrics).write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(p)
-        return p
+        m = obs.get
+        return p, (m["_rows"], {c: m[f"_null_{i}"] for i, c in enumerate(df.columns)})
+
+    def facts(self, column: str):
+        """(rows, nulls of ``column``) of the current version from the log, or None when a part
+        has masked partitions or no stats (then the caller scans)."""
+        h = self.head()
+        if h is None:
+            return None
+        rows = nulls = 0
+        for part in h.parts:
+            if part.masked or part.rows is None or part.nulls is None or column not in part.nulls:
+                return None
+            rows += part.rows
+            nulls += part.nulls[column]
+        return rows, nulls
+
+    @staticmethod
+    def _live(head):
+        return [(p.path, p.masked, (p.rows, p.nulls) if p.rows is not None else None) for p in head.parts] \
+            if head else []
 
     def _bind(self, df: DataFrame, head) -> DataFrame:
         if head is None:
@@ -108,21 +137,21 @@ class VersionedTable:
         """K1: create the table with ``like``'s schema and no rows, only if it does not exist."""
         head = self.head()
         if head is None:
-            self._commit("create", [(self._write_part(like.where(F.lit(False))), [])], like.schema, None)
+            path, st = self._write_part(like.where(F.lit(False)))
+            self._commit("create", [(path, [], st)], like.schema, None)
         return self
 
     def append(self, df: DataFrame) -> "VersionedTable":
         head = self.head()
         df = self._bind(df, head)
-        part = self._write_part(df)
-        parts = [(p.path, p.masked) for p in head.parts] if head else []
-        self._commit("append", parts + [(part, [])], df.schema if head is None else self.schema(), head)
+        path, st = self._write_part(df)
+        self._commit("append", self._live(head) + [(path, [], st)], df.schema if head is None else self.schema(), head)
         return self
 
     def overwrite(self, df: DataFrame) -> "VersionedTable":
         head = self.head()
-        part = self._write_part(df)
-        self._commit("overwrite", [(part, [])], df.schema, head)
+        path, st = self._write_part(df)
+        self._commit("overwrite", [(path, [], st)], df.schema, head)
         return self
 
     def compact(self) -> "VersionedTable":
@@ -137,9 +166,9 @@ class VersionedTable:
         head = self.head()
         df = self._bind(df, head)
         masked_keys = [_partition_text(v) for v in values]
-        part = self._write_part(df)
-        parts = [(p.path, sorted(set(p.masked) | set(masked_keys))) for p in head.parts] if head else []
-        self._commit("replace", parts + [(part, [])], df.schema if head is None else self.schema(), head)
+        path, st = self._write_part(df)
+        parts = [(p, sorted(set(m) | set(masked_keys)), s) for p, m, s in self._live(head)]
+        self._commit("replace", parts + [(path, [], st)], df.schema if head is None else self.schema(), head)
         return self
 
 

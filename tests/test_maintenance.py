@@ -123,3 +123,14 @@ def test_build_all_is_idempotent_and_streaming_equals_batch(spark, scratch):
     streamed = mt.stream_incremental_results(spark, SF_SMALL, scratch("stream"))
     batch = mt.incremental_results(spark, SF_SMALL, scratch("batch"))
     assert rows(streamed) == rows(batch)
+
+
+def test_part_stats_drive_not_in_facts(spark, scratch):
+    t = VersionedTable(spark, scratch("stats"), partition_by=["year"])
+    df = spark.createDataFrame([(2022, "a", None), (2023, None, "x")], "year int, k string, w string")
+    t.append(df)
+    assert t.facts("k") == (2, 1) and t.facts("w") == (2, 1)
+    t.append(df.where("k IS NOT NULL"))
+    assert t.facts("k") == (3, 1)
+    t.replace_partitions(df.where("year = 2023"), [2023])
+    assert t.facts("k") is None            # masked parts: the caller must scan
