@@ -2,6 +2,7 @@ from paddock.functions.columns import (  # noqa: F401
     classify_position,
     format_lap_time,
     interval_seconds,
+    iso_date,
     nan_to_null,
     points_label,
     race_id,

@@ -104,6 +104,11 @@ def interval_seconds(x) -> Column:
     return (whole + F.extract(F.lit("SECOND"), c)).cast("double")
 
 
+def iso_date(d) -> Column:
+    """Date -> ISO ``yyyy-MM-dd`` text (how a landed calendar carries its dates)."""
+    return F.date_format(_col(d), "yyyy-MM-dd")
+
+
 def season_week(ts) -> Column:
     """Round number of a timestamp inside its year: 7-day blocks from 1 January (1..53)."""
     return (F.floor((F.dayofyear(_col(ts)) - F.lit(1)) / F.lit(7))).cast("int") + F.lit(1)

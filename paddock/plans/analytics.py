@@ -1,9 +1,9 @@
 """Dashboard and question-answering queries (D1-D10, H2-H6) over the marts and staging tables.
 
 The originals run one season at a time with a bound parameter; here every function takes an optional
-``season`` (``None`` = all seasons at once, the season becoming part of every group key). A season
-filter is pushed to the parquet scan as a ``PushedFilters`` entry; with a season-partitioned table
-it becomes a partition filter. Presentation aliases (``#``, ``Año``...) are kept as in the original.
+``season`` (``None`` = all seasons at once, the season becoming part of every group key). On the
+stored staging and mart tables, which are partitioned by season, the filter is a partition filter
+(only that season's files are listed and read). Presentation aliases (``#``, ``Año``...) are kept as in the original.
 Selections made with widgets (first two drivers, first six teams) are computed as top-k per season
 and applied with a semi join, never collected to the driver.
 """

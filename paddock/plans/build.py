@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock import schemas
-from paddock.functions.columns import race_id
+from paddock.functions.columns import iso_date, race_id
 from paddock.operators import expectations as ex
 from paddock.operators import incremental as inc
 from paddock.plans import marts, staging
@@ -73,8 +73,8 @@ def landing_from_testdata(spark: SparkSession, sf_dir: str, batch: int) -> dict[
     """The landed frames of cumulative batch ``batch`` built from the test tables."""
     results = conform(b.results_like(spark, sf_dir).where(b.upto_batch(batch)), schemas.RAW_RESULTS)
     laps = b.laps_like(spark, sf_dir).where(b.upto_batch(batch))
-    races = b.races_like(spark, sf_dir, b.orders_in_batch(spark, sf_dir, batch))
-    return {"raw_races": conform(races, schemas.RAW_RACES),
+    races = b.races_like(spark, sf_dir, b.orders_in_batch(spark, sf_dir, batch)).withColumn("date", iso_date("date"))
+    return {"raw_races": conform(staging.exclude_testing_events(races), schemas.RAW_RACES),
             "raw_results": results,
             "raw_fastest_laps": staging.pick_fastest_lap(laps, tiebreak=b.LAP_TIEBREAKS)}
 

@@ -76,6 +76,11 @@ def pick_fastest_lap(laps: DataFrame, race_cols=("year", "round"), time_col="lap
                     .alias(time_col)))
 
 
+def exclude_testing_events(calendar: DataFrame, round_col: str = "round") -> DataFrame:
+    """Drop pre-season testing events from a landed calendar: they carry round 0."""
+    return calendar.where(F.col(round_col) != 0)
+
+
 def coerce_results(landed: DataFrame, calendar: DataFrame, year_col="year", round_col="round") -> DataFrame:
     """Landed session rows -> raw_results: calendar fields copied by an inner join on (year, round),
     missing text fields -> '', text coercion of codes and names, NaN numbers -> null."""
