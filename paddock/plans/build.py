@@ -118,6 +118,11 @@ def build_marts(wh: Warehouse, seasons=None) -> None:
              "team_performance": marts.team_performance(results),
              "fastest_laps_enriched": marts.fastest_laps_enriched(
                  _seasons(wh.stg_fastest_laps.read(), "season_year", seasons), wh.stg_races.read())}
+    # no stored row order in Spark tables: consumers sort; rows are ordered inside each file so the
+    # Parquet min/max statistics of the ranking columns let readers skip row groups (O1)
+    order = {"driver_standings": ["championship_position"], "team_performance": ["constructors_position"],
+             "fastest_laps_enriched": ["round_number"]}
+    built = {n: df.sortWithinPartitions("season_year", *order[n]) for n, df in built.items()}
     for name in MARTS:
         t = wh.mart(name)
         if seasons is None or not t.exists():

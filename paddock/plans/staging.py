@@ -81,9 +81,13 @@ def exclude_testing_events(calendar: DataFrame, round_col: str = "round") -> Dat
     return calendar.where(F.col(round_col) != 0)
 
 
-def coerce_results(landed: DataFrame, calendar: DataFrame, year_col="year", round_col="round") -> DataFrame:
+def coerce_results(landed: DataFrame, calendar: DataFrame, year_col="year", round_col="round",
+                   season: int | None = None) -> DataFrame:
     """Landed session rows -> raw_results: calendar fields copied by an inner join on (year, round),
-    missing text fields -> '', text coercion of codes and names, NaN numbers -> null."""
+    missing text fields -> '', text coercion of codes and names, NaN numbers -> null. With ``season``
+    the rows carry no year of their own and the season is stamped on every row (P10)."""
+    if season is not None:
+        landed = landed.withColumn("year", F.lit(season).cast("int"))
     cal = calendar.select(F.col(year_col).alias("year"), F.col(round_col).alias("round"), "event_name")
     return (landed.join(cal, ["year", "round"])
             .select("year", "round", "event_name",

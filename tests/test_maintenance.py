@@ -134,3 +134,21 @@ def test_part_stats_drive_not_in_facts(spark, scratch):
     assert t.facts("k") == (3, 1)
     t.replace_partitions(df.where("year = 2023"), [2023])
     assert t.facts("k") is None            # masked parts: the caller must scan
+
+
+def test_stream_restart_processes_only_new_files(spark, scratch):
+    from paddock.streaming.incremental import stream_incremental_stage
+
+    root = scratch("restart")
+    target = VersionedTable(spark, f"{root}/stg", partition_by=["season_year"])
+    raw = conform(b.results_like(spark, SF_SMALL), schemas.RAW_RESULTS)
+    raw.where(b.in_batch(1)).write.parquet(f"{root}/landing/b1")
+    args = (spark, f"{root}/landing/*", schemas.RAW_RESULTS, target, staging.stage_results,
+            race_id("year", "round"), f"{root}/_ckpt")
+    stream_incremental_stage(*args)
+    v, n = target.version(), target.read().count()
+    stream_incremental_stage(*args)        # nothing new landed: no commit
+    assert target.version() == v and target.read().count() == n
+    raw.where(b.in_batch(2)).write.parquet(f"{root}/landing/b2")
+    stream_incremental_stage(*args)
+    assert target.read().count() > n

@@ -104,3 +104,17 @@ def test_csv_seed_reader(spark, tmp_path):
     got = df.collect()
     assert got[0].event_name == "São Paulo Grand Prix" and got[1].event_name == 'Quote "x", y'
     assert conform(df, schemas.SEED_RACES).schema == schemas.SEED_RACES
+
+
+def test_json_landing_reader_and_season_stamp(spark, tmp_path):
+    from paddock.sources.readers import read_json
+
+    p = tmp_path / "results.json"
+    p.write_text('{"round": 1, "driver_number": "1", "driver_code": "VER", "full_name": "Max", "team": "RBR",'
+                 ' "position": 1.0, "points": 25.0, "status": "Finished"}\n'
+                 '{"round": 1, "driver_code": "SAR", "position": null, "points": 0.0}\n', encoding="utf-8")
+    landed = read_json(spark, str(p), schemas.RAW_RESULTS).drop("year", "event_name")
+    cal = spark.createDataFrame([(2024, 1, "Bahrain Grand Prix")], "year int, round int, event_name string")
+    got = {r.driver_code: r for r in staging.coerce_results(landed, cal, season=2024).collect()}
+    assert got["VER"].year == 2024 and got["VER"].event_name == "Bahrain Grand Prix"
+    assert got["SAR"].driver_number == "" and got["SAR"].team == "" and got["SAR"].position is None
