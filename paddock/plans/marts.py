@@ -2,8 +2,10 @@
 
 Plan shape (``explain`` of ``driver_standings``): parquet scan with the not-null filter pushed down
 -> partial HashAggregate (map-side combine, so a hot driver costs one row per task) -> exchange on
-the 4 group keys -> final HashAggregate -> exchange on season -> Window. The window runs after
-aggregation, on one row per driver and season, so it never sees raw-row volume.
+the 4 group keys -> final HashAggregate -> ranking. Ranking runs after aggregation, on one row per
+driver and season; because the drivers of one season still grow with the data, the championship
+position is numbered over range partitions (``distributed_row_number``) instead of one window task
+per season. Constructors and per-season laps are bounded by the calendar and use plain windows.
 
 Ties in points are broken by the group keys (ascending, nulls last) so ranks are deterministic.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paddock.operators.ranking import distributed_row_number
 from paddock.functions.columns import (
     FINISHED_STATUS,
     PODIUM_POSITION,
@@ -42,9 +45,9 @@ def driver_standings(stg_results: DataFrame) -> DataFrame:
                       round_half_away(F.avg(pos), 2).alias("avg_finish_position"),
                       F.min(pos).alias("best_finish"),
                       classify_position(F.min(pos)).alias("best_finish_label")))
-    w = Window.partitionBy("season_year").orderBy(
-        F.col("total_points").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys[1:]])
-    return standings.withColumn("championship_position", F.row_number().over(w).cast("bigint"))
+    # drivers per season grow with the data: number them with range partitions, not one window task
+    order = [F.col("total_points").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys[1:]]]
+    return distributed_row_number(standings, ["season_year"], order, "championship_position")
 
 
 def team_performance(stg_results: DataFrame) -> DataFrame:
@@ -59,6 +62,7 @@ def team_performance(stg_results: DataFrame) -> DataFrame:
                       _count_if(pos == WIN_POSITION).alias("wins"),
                       _count_if(pos <= PODIUM_POSITION).alias("podiums"),
                       round_half_away(F.avg(pos), 2).alias("avg_finish_position")))
+    # teams per season are few (bounded by the constructors / nations), so one window task per season
     w = Window.partitionBy("season_year").orderBy(F.col("total_points").desc_nulls_last(),
                                                   F.col("team_name").asc_nulls_last())
     return standings.withColumn("constructors_position", F.row_number().over(w).cast("bigint"))

@@ -101,3 +101,17 @@ def test_first_batch_forms_agree(spark):
     df = spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", 2), ("r2", 3), ("r2", 2), (None, 3), (None, 2)],
                                "race string, b int")
     assert rows(first_batch_wins(df, "race", "b")) == rows(first_batch_window(df, "race", "b"))
+
+
+@pytest.mark.parametrize("n", [1, 3, 8])
+def test_distributed_row_number_equals_window(spark, n):
+    from paddock.operators.ranking import distributed_row_number
+
+    rnd = random.Random(n)
+    data = [(0 if i % 2 else rnd.randint(1, 4), float(rnd.randint(0, 5)), f"d{i:04d}") for i in range(1500)]
+    data += [(None, 1.0, "n1"), (None, 1.0, "n0")]
+    df = spark.createDataFrame(data, "season int, pts double, code string")
+    order = [F.col("pts").desc_nulls_last(), F.col("code").asc_nulls_last()]
+    got = distributed_row_number(df, ["season"], order, "rn", num_partitions=n)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("season").orderBy(*order)).cast("bigint"))
+    assert rows(got) == rows(want)
