@@ -11,6 +11,8 @@ per part, the partition values that are masked out. Consequences:
   replacement rows and masks the replaced partition values in older parts — partition pruning
   makes masked data free to skip, so a replace costs the size of the batch, not of the table.
 - ``overwrite`` / ``compact`` rewrite everything once into a single part.
+- Parts are ``vt_part=<id>`` directories under the table root; a read lists only the live parts and
+  scans them as one relation (``basePath``), the part id and masks acting as partition filters.
 - Each part records its row count and per-column null counts, observed by the write job itself
   (``DataFrame.observe``, no extra pass), so facts such as "is the key set empty / does it hold a
   null" come from the log instead of a scan (``facts``).
@@ -86,18 +88,23 @@ class VersionedTable:
             raise FileNotFoundError(f"no table at {self.path}")
         schema = T.StructType.fromJson(json.loads(h.table_schema))
         cols = schema.fieldNames()
-        frames = []
-        for part in h.parts:
-            df = self.spark.read.schema(schema).parquet(part.path)
-            if part.masked:
-                df = df.where(~_partition_key(h.partition_by).isin(list(part.masked)))
-            frames.append(df.select(*cols))
-        return reduce(DataFrame.unionByName, frames)
+        # all live parts in one scan: each part is a ``vt_part=<id>`` directory under the table root,
+        # so with ``basePath`` the part id is a partition column and masks are partition filters
+        read_schema = T.StructType(schema.fields + [T.StructField(_PART_COL, T.StringType())])
+        df = (self.spark.read.schema(read_schema).option("basePath", self.path)
+              .parquet(*[p.path for p in h.parts]))
+        masked = [(p.path.rsplit("=", 1)[1], list(p.masked)) for p in h.parts if p.masked]
+        if masked:
+            key = _partition_key(h.partition_by)
+            hidden = reduce(lambda a, b: a | b,
+                            [(F.col(_PART_COL) == F.lit(pid)) & key.isin(vals) for pid, vals in masked])
+            df = df.where(~hidden)
+        return df.select(*cols)
 
     # -- write -----------------------------------------------------------------------------------
     def _write_part(self, df: DataFrame):
         """Write ``df`` as a new part; return (path, (rows, {column: nulls})) observed by the write."""
-        p = f"{self.path}/part-{uuid.uuid4().hex}"
+        p = f"{self.path}/{_PART_COL}={uuid.uuid4().hex}"
         obs = Observation(f"stats_{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("_rows")] + \
             [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
@@ -172,6 +179,9 @@ class VersionedTable:
         return self
 
 
+# Directory prefix of a part; read back as a partition column and dropped.
+_PART_COL = "vt_part"
+
 # Partition values are masked by their text form; a null value gets a marker no text cast produces.
 _NULL_MARK = "\u0000null"
 
