@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOG_SCHEMA = ("version INT, op STRING, parts ARRAY<STRUCT<path: STRING, masked: ARRAY<STRING>, rows: BIGINT, "
-               "nulls: MAP<STRING, BIGINT>>>, table_schema STRING, partition_by ARRAY<STRING>")
+               "nulls: MAP<STRING, BIGINT>, pvalues: ARRAY<STRING>>>, table_schema STRING, "
+               "partition_by ARRAY<STRING>")
 
 
 class VersionedTable:
@@ -67,9 +68,13 @@ class VersionedTable:
         return h.version if h else 0
 
     def _commit(self, op: str, parts, schema: T.StructType, head) -> None:
-        """``parts``: (path, masked values, (rows, nulls) stats or None) per live part."""
+        """``parts``: (path, masked values, (rows, nulls, partition values) stats or None) per part.
+        A part whose partition values are all masked holds no live row and leaves the log."""
+        live = [(p, m, st) for p, m, st in parts
+                if not (st and st[2] is not None and m and set(st[2]) <= set(m))]
         row = [((head.version if head else 0) + 1, op,
-                [(p, list(m), *(st if st else (None, None))) for p, m, st in parts], schema.json(),
+                [(p, sorted(set(m) & set(st[2])) if st and st[2] is not None else list(m),
+                  *(st if st else (None, None, None))) for p, m, st in live], schema.json(),
                 self.partition_by)]
         commit = self.spark.createDataFrame(row, _LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self._log)
@@ -108,12 +113,15 @@ class VersionedTable:
         obs = Observation(f"stats_{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("_rows")] + \
             [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
+        if len(self.partition_by) == 1:  # the part's partition values: at most one per season
+            metrics.append(F.collect_set(_partition_key(self.partition_by)).alias("_pvalues"))
         w = df.observe(obs, *metrics).write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(p)
         m = obs.get
-        return p, (m["_rows"], {c: m[f"_null_{i}"] for i, c in enumerate(df.columns)})
+        pvalues = sorted(m["_pvalues"]) if "_pvalues" in m else None
+        return p, (m["_rows"], {c: m[f"_null_{i}"] for i, c in enumerate(df.columns)}, pvalues)
 
     def facts(self, column: str):
         """(rows, nulls of ``column``) of the current version from the log, or None when a part
@@ -123,6 +131,7 @@ class VersionedTable:
             return None
         rows = nulls = 0
         for part in h.parts:
+            # masks are kept only where they hit the part's values, so any mask makes counts inexact
             if part.masked or part.rows is None or part.nulls is None or column not in part.nulls:
                 return None
             rows += part.rows
@@ -131,8 +140,8 @@ class VersionedTable:
 
     @staticmethod
     def _live(head):
-        return [(p.path, p.masked, (p.rows, p.nulls) if p.rows is not None else None) for p in head.parts] \
-            if head else []
+        return [(p.path, p.masked, (p.rows, p.nulls, p.pvalues) if p.rows is not None else None)
+                for p in head.parts] if head else []
 
     def _bind(self, df: DataFrame, head) -> DataFrame:
         if head is None:

@@ -152,3 +152,15 @@ def test_stream_restart_processes_only_new_files(spark, scratch):
     raw.where(b.in_batch(2)).write.parquet(f"{root}/landing/b2")
     stream_incremental_stage(*args)
     assert target.read().count() > n
+
+
+def test_fully_masked_parts_leave_the_log(spark, scratch):
+    t = VersionedTable(spark, scratch("drop"), partition_by=["year"])
+    t.append(spark.createDataFrame([(2022, "a")], "year int, v string"))
+    t.append(spark.createDataFrame([(2023, "b"), (2024, "c")], "year int, v string"))
+    t.replace_partitions(spark.createDataFrame([(2022, "A")], "year int, v string"), [2022])
+    parts = t.head().parts
+    assert len(parts) == 2                       # the 2022-only part is gone
+    assert all(not p.masked for p in parts)      # masks that miss a part are not kept
+    assert t.facts("v") == (3, 0)
+    assert rows(t.read()) == [(2022, "A"), (2023, "b"), (2024, "c")]
