@@ -22,7 +22,9 @@ Columns are bound by name on every write (T10). One writer per table at a time.
 from __future__ import annotations
 
 import json
+import logging
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -53,7 +55,8 @@ class VersionedTable:
         if self._head is not None and not refresh:
             return self._head
         try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log)
+            with _quiet_expected_errors():  # a missing log is the normal state of a new table
+                log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log)
             rows = log.orderBy(F.col("version").desc()).limit(1).collect()
         except AnalysisException:
             return None
@@ -188,6 +191,20 @@ class VersionedTable:
         return self
 
 
+@contextmanager
+def _quiet_expected_errors():
+    """PySpark logs every captured analysis error; silence that log around an expected miss."""
+    loggers = [logging.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
+    before = [lg.disabled for lg in loggers]
+    for lg in loggers:
+        lg.disabled = True
+    try:
+        yield
+    finally:
+        for lg, b in zip(loggers, before):
+            lg.disabled = b
+
+
 # Directory prefix of a part; read back as a partition column and dropped.
 _PART_COL = "vt_part"
 
