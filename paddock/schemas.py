@@ -8,7 +8,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
-    TimestampType,
+    TimestampNTZType,
 )
 
 
@@ -49,5 +49,5 @@ FASTEST_LAPS_ENRICHED = _s(("lap_time_formatted", S), ("season_year", I), ("roun
                            ("team_name", S), ("lap_time_seconds", D), ("fastest_lap_rank_in_season", L))
 
 # SCD2 validity columns appended to a snapshot's source columns.
-SCD2_META = _s(("dbt_scd_id", S), ("dbt_updated_at", TimestampType()), ("dbt_valid_from", TimestampType()),
-               ("dbt_valid_to", TimestampType()))
+SCD2_META = _s(("dbt_scd_id", S), ("dbt_updated_at", TimestampNTZType()), ("dbt_valid_from", TimestampNTZType()),
+               ("dbt_valid_to", TimestampNTZType()))

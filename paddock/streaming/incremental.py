@@ -7,6 +7,10 @@ scheduler runs it once per landing. The checkpoint location (under the session's
 folder) records which files were consumed; with the target's own commit log this makes a restarted
 run skip work already committed.
 
+Failure: if a trigger dies after the target commit but before the stream's own checkpoint commit,
+the micro-batch is replayed; the incremental rule then finds its races already staged and appends
+nothing, so a replay cannot duplicate rows.
+
 Semantics: "first batch wins" applies per micro-batch — rows of a race that arrive in a later
 micro-batch are dropped exactly as in the batch pipeline, so a landing must carry a race complete
 (or at least everything known about it) in one trigger.
