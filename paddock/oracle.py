@@ -424,11 +424,11 @@ SELECT * FROM s1
 UNION ALL SELECT * FROM s2 WHERE race_id NOT IN (SELECT race_id FROM s1)
 UNION ALL SELECT * FROM s3 WHERE race_id NOT IN (SELECT race_id FROM s1 UNION ALL SELECT race_id FROM s2)""",
                               laps_like=LAPS_LIKE,
-                              f1=_laps_of(f"{BATCH_OF} <= 1"), f2=_laps_of(f"{BATCH_OF} <= 2"),
-                              f3=_laps_of(f"{BATCH_OF} <= 3"),
-                              s1=STG_LAPS.replace("FROM raw_fastest_laps", "FROM f1"),
-                              s2=STG_LAPS.replace("FROM raw_fastest_laps", "FROM f2"),
-                              s3=STG_LAPS.replace("FROM raw_fastest_laps", "FROM f3")),
+                              fl1=_laps_of(f"{BATCH_OF} <= 1"), fl2=_laps_of(f"{BATCH_OF} <= 2"),
+                              fl3=_laps_of(f"{BATCH_OF} <= 3"),
+                              s1=STG_LAPS.replace("FROM raw_fastest_laps", "FROM fl1"),
+                              s2=STG_LAPS.replace("FROM raw_fastest_laps", "FROM fl2"),
+                              s3=STG_LAPS.replace("FROM raw_fastest_laps", "FROM fl3")),
     "upsert_by_key": with_("""
 SELECT * FROM t2 WHERE result_sk NOT IN (SELECT result_sk FROM s3)
 UNION ALL SELECT * FROM s3""",
