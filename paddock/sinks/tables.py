@@ -22,12 +22,12 @@ Columns are bound by name on every write (T10). One writer per table at a time.
 from __future__ import annotations
 
 import json
-import logging
 import uuid
 from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -194,7 +194,8 @@ class VersionedTable:
 @contextmanager
 def _quiet_expected_errors():
     """PySpark logs every captured analysis error; silence that log around an expected miss."""
-    loggers = [logging.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
+    # obtained the way PySpark obtains them, so they keep PySpark's logger class
+    loggers = [PySparkLogger.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
     before = [lg.disabled for lg in loggers]
     for lg in loggers:
         lg.disabled = True

@@ -164,3 +164,11 @@ def test_fully_masked_parts_leave_the_log(spark, scratch):
     assert all(not p.masked for p in parts)      # masks that miss a part are not kept
     assert t.facts("v") == (3, 0)
     assert rows(t.read()) == [(2022, "A"), (2023, "b"), (2024, "c")]
+
+
+def test_quiet_probe_keeps_error_handling(spark, scratch):
+    from pyspark.errors import AnalysisException
+
+    assert not VersionedTable(spark, scratch("none")).exists()
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(scratch("missing")).count()
