@@ -1,7 +1,8 @@
 """``build_all``: one application for the whole medallion flow of a landed batch.
 
     landing frames -> raw (season replace for the calendar, append of unseen rounds for results and
-    laps) -> staging (incremental, NOT IN on the race key) -> marts (full rebuild) -> expectations
+    laps) -> staging (incremental, NOT IN on the race key) -> marts (the landed seasons rebuilt)
+    -> expectations
 
 All tables are ``VersionedTable``s under one warehouse folder (by default inside the session's shared
 checkpoint folder), partitioned by season. Marts are rebuilt from the staging tables as written,
