@@ -40,26 +40,38 @@ def not_in(df: DataFrame, column: str, keys: DataFrame, key: str, facts=None) ->
             .join(k.distinct(), F.col(column) == F.col("_k"), "left_anti"))
 
 
-def append_unseen(target: VersionedTable, landed: DataFrame, keys=("year", "round")) -> DataFrame:
+def append_unseen(target: VersionedTable, landed: DataFrame, keys=("year", "round"), seasons=None,
+                  season_col: str = "year") -> DataFrame:
     """Rows of ``landed`` whose ``keys`` are not yet in the target (a missing target = empty set).
-    Plain (not null-aware) anti join, like a membership test against a set of loaded rounds."""
+    Plain (not null-aware) anti join, like a membership test against a set of loaded rounds. With
+    ``seasons`` (the landed seasons; the keys contain the season) only those target partitions are
+    read."""
     if not target.exists():
         return landed
-    loaded = target.read().select(*keys).distinct()
-    return landed.join(loaded, list(keys), "left_anti")
+    loaded = target.read()
+    if seasons is not None:
+        loaded = loaded.where(F.col(season_col).isin(list(seasons)))
+    return landed.join(loaded.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, target_key: str = "race_id") -> DataFrame:
+def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, target_key: str = "race_id",
+                      seasons=None, season_col: str = "season_year") -> DataFrame:
     """One incremental run of a staging model; returns the rows appended.
 
     ``stage`` maps raw rows to staged rows; ``raw_key`` is the race-key Column on raw rows. Because
     the unique key of every staging model contains the race, rows of a race not yet in the target
     can never match a target key, so the model's delete+insert reduces to an append.
+
+    With ``seasons`` (``raw`` holds only those seasons) the target's keys are read from those season
+    partitions only: a race key starts with its season, so keys of other seasons can never match.
+    The emptiness and null facts of NOT IN still describe the whole key set (from the commit log).
     """
     if target.exists():
-        existing = target.read().select(target_key)
-        batch = stage(not_in(raw.withColumn("_race_key", raw_key), "_race_key", existing, target_key,
-                             facts=target.facts(target_key)).drop("_race_key"))
+        existing = target.read()
+        if seasons is not None:
+            existing = existing.where(F.col(season_col).isin(list(seasons)))
+        batch = stage(not_in(raw.withColumn("_race_key", raw_key), "_race_key", existing.select(target_key),
+                             target_key, facts=target.facts(target_key)).drop("_race_key"))
     else:
         batch = stage(raw)
     target.append(batch)

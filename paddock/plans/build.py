@@ -89,7 +89,7 @@ def land(wh: Warehouse, landing: dict[str, DataFrame], seasons) -> None:
     races.replace_partitions(landing["raw_races"].where(F.col("year").isin(list(seasons))), list(seasons))
     for name in ("raw_results", "raw_fastest_laps"):
         t = getattr(wh, name)
-        t.append(inc.append_unseen(t, landing[name], keys=("year", "round")))
+        t.append(inc.append_unseen(t, landing[name], keys=("year", "round"), seasons=seasons))
 
 
 def _seasons(df: DataFrame, col: str, seasons) -> DataFrame:
@@ -100,11 +100,10 @@ def stage(wh: Warehouse, seasons=None) -> None:
     """Staging layer. With ``seasons`` only those raw partitions are read (partition pruning): every
     run stages what it lands, so older seasons hold no unstaged race. ``None`` scans everything."""
     key = race_id("year", "round")
-    inc.incremental_stage(wh.stg_races, _seasons(wh.raw_races.read(), "year", seasons), staging.stage_races, key)
-    inc.incremental_stage(wh.stg_results, _seasons(wh.raw_results.read(), "year", seasons),
-                          staging.stage_results, key)
-    inc.incremental_stage(wh.stg_fastest_laps, _seasons(wh.raw_fastest_laps.read(), "year", seasons),
-                          staging.stage_fastest_laps, key)
+    for target, raw, fn in ((wh.stg_races, wh.raw_races, staging.stage_races),
+                            (wh.stg_results, wh.raw_results, staging.stage_results),
+                            (wh.stg_fastest_laps, wh.raw_fastest_laps, staging.stage_fastest_laps)):
+        inc.incremental_stage(target, _seasons(raw.read(), "year", seasons), fn, key, seasons=seasons)
 
 
 MARTS = ("driver_standings", "team_performance", "fastest_laps_enriched")
