@@ -111,7 +111,8 @@ class VersionedTable:
 
     # -- write -----------------------------------------------------------------------------------
     def _write_part(self, df: DataFrame):
-        """Write ``df`` as a new part; return (path, (rows, {column: nulls})) observed by the write."""
+        """Write ``df`` as a new part; return (path, (rows, {column: nulls}, partition values)), all
+        observed by the write job itself."""
         p = f"{self.path}/{_PART_COL}={uuid.uuid4().hex}"
         obs = Observation(f"stats_{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("_rows")] + \
