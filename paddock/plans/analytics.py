@@ -46,12 +46,25 @@ def top10_drivers(standings: DataFrame, colours: DataFrame, season=None) -> Data
 
 
 # -- D3 / D4 / D5: points evolution page ------------------------------------------------------------
-def cumulative_points(stg_results: DataFrame, tiebreak=(), season=None) -> DataFrame:
+# Composite chunk: the round in the high bits, a block of the first tie-breaker in the low bits.
+CHUNK_BLOCK_BITS, CHUNK_ROUND_SHIFT = 26, 40
+
+
+def cumulative_points(stg_results: DataFrame, tiebreak=(), season=None, block_first_tiebreak: bool = False) -> DataFrame:
     """Running points per (season, driver) in round order, no position filter (unlike the marts).
-    Rows of one round are ordered by ``tiebreak`` so the running value is deterministic."""
+    Rows of one round are ordered by ``tiebreak`` so the running value is deterministic.
+
+    The running sum is chunked by round; with ``block_first_tiebreak`` (a non-negative integral first
+    tie-breaker) a round is further cut into blocks of 2^26 values of that tie-breaker, so even one
+    driver's round larger than a task is split, while the offsets window per driver stays at
+    #rounds x #blocks rows."""
     df = _season(stg_results, season)
+    chunk = F.col("round_number").cast("long")
+    if block_first_tiebreak and tiebreak:
+        chunk = chunk * F.lit(1 << CHUNK_ROUND_SHIFT) + F.shiftright(F.col(tiebreak[0]).cast("long"), CHUNK_BLOCK_BITS)
+    df = df.withColumn("_chunk", chunk)
     out = running_sum(df, ["season_year", "driver_code"], ["round_number", *tiebreak], "points_scored",
-                      "cumulative_points", chunk="round_number")
+                      "cumulative_points", chunk="_chunk")
     return out.select("season_year", "driver_name", "driver_code", "team_name", "round_number",
                       "cumulative_points", *tiebreak)
 

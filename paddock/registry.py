@@ -38,7 +38,8 @@ def register(name: str):
 
 
 def _cum(spark, d):
-    return an.cumulative_points(models.stg_results(spark, d, keep=b.RESULT_TIEBREAKS), tiebreak=b.RESULT_TIEBREAKS)
+    return an.cumulative_points(models.stg_results(spark, d, keep=b.RESULT_TIEBREAKS), tiebreak=b.RESULT_TIEBREAKS,
+                                block_first_tiebreak=True)
 
 
 # --- staging and marts ---------------------------------------------------------------------------

@@ -115,3 +115,19 @@ def test_distributed_row_number_equals_window(spark, n):
     got = distributed_row_number(df, ["season"], order, "rn", num_partitions=n)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("season").orderBy(*order)).cast("bigint"))
     assert rows(got) == rows(want)
+
+
+def test_cumulative_points_with_fine_blocks_equals_plain_window(spark, monkeypatch):
+    from paddock.plans import analytics
+
+    monkeypatch.setattr(analytics, "CHUNK_BLOCK_BITS", 2)   # blocks of 4 order keys: many chunks per round
+    rnd = random.Random(3)
+    data = [(2022, "HOT" if i % 3 else f"D{i % 5}", "n", "t", rnd.randint(1, 3), i, float(rnd.randint(0, 25)))
+            for i in range(600)]
+    stg = spark.createDataFrame(data, "season_year int, driver_code string, driver_name string, team_name string, "
+                                      "round_number int, k long, points_scored double")
+    got = analytics.cumulative_points(stg, tiebreak=("k",), block_first_tiebreak=True)
+    w = Window.partitionBy("season_year", "driver_code").orderBy("round_number", "k") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    want = stg.withColumn("cumulative_points", F.sum("points_scored").over(w))
+    assert rows(got, "driver_code", "k", "cumulative_points") == rows(want, "driver_code", "k", "cumulative_points")
