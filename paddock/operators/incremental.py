@@ -67,9 +67,15 @@ def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, ta
     The emptiness and null facts of NOT IN still describe the whole key set (from the commit log).
     """
     if target.exists():
-        existing = target.read()
-        if seasons is not None:
-            existing = existing.where(F.col(season_col).isin(list(seasons)))
+        catalog = target.key_catalog() if target.catalog_key == target_key else None
+        if catalog is not None:
+            # the loaded race keys come from the commit log: a metadata-sized relation (bounded by
+            # the calendar), no scan of the target
+            existing = target.spark.createDataFrame([(k,) for k in catalog], f"{target_key} STRING")
+        else:
+            existing = target.read()
+            if seasons is not None:
+                existing = existing.where(F.col(season_col).isin(list(seasons)))
         batch = stage(not_in(raw.withColumn("_race_key", raw_key), "_race_key", existing.select(target_key),
                              target_key, facts=target.facts(target_key)).drop("_race_key"))
     else:

@@ -36,10 +36,11 @@ class Warehouse:
     root: str
     _tables: dict = field(default_factory=dict)
 
-    def table(self, name: str, partition_by=()) -> VersionedTable:
+    def table(self, name: str, partition_by=(), catalog_key=None) -> VersionedTable:
         """One table object per name, so its cached commit head is reused across layers."""
         if name not in self._tables:
-            self._tables[name] = VersionedTable(self.spark, f"{self.root}/{name}", partition_by=partition_by)
+            self._tables[name] = VersionedTable(self.spark, f"{self.root}/{name}", partition_by=partition_by,
+                                                catalog_key=catalog_key)
         return self._tables[name]
 
     @property
@@ -56,15 +57,15 @@ class Warehouse:
 
     @property
     def stg_races(self):
-        return self.table("stg_races", ["season_year"])
+        return self.table("stg_races", ["season_year"], catalog_key="race_id")
 
     @property
     def stg_results(self):
-        return self.table("stg_results", ["season_year"])
+        return self.table("stg_results", ["season_year"], catalog_key="race_id")
 
     @property
     def stg_fastest_laps(self):
-        return self.table("stg_fastest_laps", ["season_year"])
+        return self.table("stg_fastest_laps", ["season_year"], catalog_key="race_id")
 
     def mart(self, name: str) -> VersionedTable:
         return self.table(name, ["season_year"])

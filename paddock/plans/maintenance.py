@@ -91,7 +91,7 @@ def append_new_rounds(spark: SparkSession, d: str, root: str | None = None) -> D
 
 
 def _incremental(spark, d, root, name, raw_of, stage) -> DataFrame:
-    t = VersionedTable(spark, root or scratch_dir(spark, name), partition_by=["season_year"])
+    t = VersionedTable(spark, root or scratch_dir(spark, name), partition_by=["season_year"], catalog_key="race_id")
     for k in BATCHES:
         inc.incremental_stage(t, raw_of(spark, d, k), stage, race_id("year", "round"))
     return t.read()
@@ -161,7 +161,7 @@ def stream_incremental_results(spark: SparkSession, d: str, root: str | None = N
     from paddock.streaming.incremental import stream_incremental_stage
 
     root = root or scratch_dir(spark, "stream")
-    target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"])
+    target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"], catalog_key="race_id")
     raw = b.results_like(spark, d)
     for k in BATCHES:
         conform(raw.where(b.in_batch(k)), schemas.RAW_RESULTS).write.mode("append").parquet(f"{root}/landing")

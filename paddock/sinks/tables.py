@@ -33,15 +33,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOG_SCHEMA = ("version INT, op STRING, parts ARRAY<STRUCT<path: STRING, masked: ARRAY<STRING>, rows: BIGINT, "
-               "nulls: MAP<STRING, BIGINT>, pvalues: ARRAY<STRING>>>, table_schema STRING, "
+               "nulls: MAP<STRING, BIGINT>, pvalues: ARRAY<STRING>, keys: ARRAY<STRING>>>, table_schema STRING, "
                "partition_by ARRAY<STRING>")
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, partition_by=()):
+    def __init__(self, spark: SparkSession, path: str, partition_by=(), catalog_key: str | None = None):
+        """``catalog_key``: a column whose distinct values per part are few and bounded by the
+        calendar (a race key: at most ~53 per season). Each write records them in the log, so the
+        table's key set is read from metadata (``key_catalog``) instead of scanning the column."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
+        self.catalog_key = catalog_key
         self._head = None  # last commit seen by this writer (one writer per table)
 
     # -- log -------------------------------------------------------------------------------------
@@ -77,7 +81,7 @@ class VersionedTable:
                 if not (st and st[2] is not None and m and set(st[2]) <= set(m))]
         row = [((head.version if head else 0) + 1, op,
                 [(p, sorted(set(m) & set(st[2])) if st and st[2] is not None else list(m),
-                  *(st if st else (None, None, None))) for p, m, st in live], schema.json(),
+                  *(st if st else (None, None, None, None))) for p, m, st in live], schema.json(),
                 self.partition_by)]
         commit = self.spark.createDataFrame(row, _LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self._log)
@@ -119,13 +123,16 @@ class VersionedTable:
             [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
         if len(self.partition_by) == 1:  # the part's partition values: at most one per season
             metrics.append(F.collect_set(_partition_key(self.partition_by)).alias("_pvalues"))
+        if self.catalog_key and self.catalog_key in df.columns:
+            metrics.append(F.collect_set(F.col(self.catalog_key).cast("string")).alias("_keys"))
         w = df.observe(obs, *metrics).write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(p)
         m = obs.get
         pvalues = sorted(m["_pvalues"]) if "_pvalues" in m else None
-        return p, (m["_rows"], {c: m[f"_null_{i}"] for i, c in enumerate(df.columns)}, pvalues)
+        keys = sorted(m["_keys"]) if "_keys" in m else None
+        return p, (m["_rows"], {c: m[f"_null_{i}"] for i, c in enumerate(df.columns)}, pvalues, keys)
 
     def facts(self, column: str):
         """(rows, nulls of ``column``) of the current version from the log, or None when a part
@@ -142,9 +149,22 @@ class VersionedTable:
             nulls += part.nulls[column]
         return rows, nulls
 
+    def key_catalog(self):
+        """The distinct non-null values of ``catalog_key`` over the current version, from the log;
+        None when unknown (no catalog key, a part without the record, or masked partitions)."""
+        h = self.head()
+        if h is None or not self.catalog_key:
+            return None
+        keys = set()
+        for part in h.parts:
+            if part.masked or part.keys is None:
+                return None
+            keys.update(part.keys)
+        return sorted(keys)
+
     @staticmethod
     def _live(head):
-        return [(p.path, p.masked, (p.rows, p.nulls, p.pvalues) if p.rows is not None else None)
+        return [(p.path, p.masked, (p.rows, p.nulls, p.pvalues, p.keys) if p.rows is not None else None)
                 for p in head.parts] if head else []
 
     def _bind(self, df: DataFrame, head) -> DataFrame:

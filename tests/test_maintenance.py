@@ -172,3 +172,17 @@ def test_quiet_probe_keeps_error_handling(spark, scratch):
     assert not VersionedTable(spark, scratch("none")).exists()
     with pytest.raises(AnalysisException):
         spark.read.parquet(scratch("missing")).count()
+
+
+def test_key_catalog_replaces_the_key_scan(spark, scratch):
+    t = VersionedTable(spark, scratch("cat"), partition_by=["season_year"], catalog_key="race_id")
+    for k in (1, 2, 3):
+        raw = conform(b.results_like(spark, SF_SMALL).where(b.upto_batch(k)), schemas.RAW_RESULTS)
+        inc.incremental_stage(t, raw, staging.stage_results, race_id("year", "round"))
+    scanned = sorted(r.race_id for r in t.read().select("race_id").distinct().collect())
+    assert t.key_catalog() == scanned
+    plain = VersionedTable(spark, scratch("nocat"), partition_by=["season_year"])
+    for k in (1, 2, 3):
+        raw = conform(b.results_like(spark, SF_SMALL).where(b.upto_batch(k)), schemas.RAW_RESULTS)
+        inc.incremental_stage(plain, raw, staging.stage_results, race_id("year", "round"))
+    assert plain.key_catalog() is None and rows(plain.read()) == rows(t.read())
