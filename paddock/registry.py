@@ -87,8 +87,8 @@ def surrogate_key_q(spark, d):
 @register("coerce_results")
 def coerce_results_q(spark, d):
     from paddock.plans.staging import coerce_results
-    from paddock.sources.bindings import _line_facts
-    f = _line_facts(spark, d, ("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"))
+    from paddock.sources.bindings import line_facts
+    f = line_facts(spark, d, ("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"))
     landed = f.select(
         "year", "round",
         F.col("l_suppkey").alias("driver_number"),

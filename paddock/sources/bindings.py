@@ -84,7 +84,7 @@ def year_range(year: int, ts_col="o_orderdate"):
         (c < F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def _line_facts(spark: SparkSession, sf_dir: str, li_cols) -> DataFrame:
+def line_facts(spark: SparkSession, sf_dir: str, li_cols) -> DataFrame:
     """lineitem ⋈ orders ⋈ supplier ⋈ nation with the calendar fields of each line."""
     li = table(spark, sf_dir, "lineitem", *li_cols)
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
@@ -103,7 +103,7 @@ def _line_facts(spark: SparkSession, sf_dir: str, li_cols) -> DataFrame:
 
 def results_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_results-shaped rows: one per line item; driver = supplier, team = its nation."""
-    f = _line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    f = line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                     "l_extendedprice", "l_returnflag", "l_linestatus"))
     position = (F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
                 .otherwise(F.ceil(F.col("l_quantity") / F.lit(2.5)).cast("double")))
@@ -121,7 +121,7 @@ def results_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def laps_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lap rows: one per line item, lap time = extended price / 1000 seconds."""
-    f = _line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    f = line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                     "l_extendedprice"))
     return f.select(
         "year", "round", "event_name",
