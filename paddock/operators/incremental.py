@@ -94,20 +94,11 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key) -> DataFrame:
 
 def upsert_into(target: VersionedTable, batch: DataFrame, key, partition_col: str) -> None:
     """I4 on a partitioned ``VersionedTable`` whose key determines the partition (``result_sk``
-    hashes the season): only the partitions the batch touches are read, merged and replaced, so an
-    upsert costs the touched seasons, not the table. The touched values are collected (one row per
-    partition value of the batch, bounded by the calendar)."""
-    if not target.exists():
-        target.overwrite(batch)
-        return
-    values = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    c = F.col(partition_col)
-    present = [v for v in values if v is not None]
-    cond = c.isin(present) if present else F.lit(False)
-    if len(present) < len(values):
-        cond = cond | c.isNull()
-    touched = target.read().where(cond)
-    target.replace_partitions(upsert_by_key(touched, batch, key), values)
+    hashes the season): only the partitions the batch touches are read, merged and replaced, in one
+    commit, and the batch itself is computed once (see ``VersionedTable.upsert``)."""
+    if target.partition_by != [partition_col]:
+        raise ValueError(f"target must be partitioned by {partition_col}")
+    target.upsert(batch, key)
 
 
 def first_batch_wins(df: DataFrame, race_key: str, batch_col: str) -> DataFrame:

@@ -212,6 +212,33 @@ class VersionedTable:
         return self
 
 
+    def upsert(self, batch: DataFrame, key) -> "VersionedTable":
+        """I4 for a table whose key determines its (single) partition column: ``DELETE WHERE key IN
+        batch; INSERT batch`` restricted to the partitions the batch touches, as one commit.
+
+        The batch is computed once: it is written first as a part (its partition values observed by
+        the write), its keys are read back from that part, the touched partitions' rows whose key is
+        not in the batch are rewritten as a second part, and the commit masks the touched partitions
+        in every older part."""
+        if len(self.partition_by) != 1:
+            raise ValueError("upsert needs exactly one partition column")
+        head = self.head()
+        if head is None:
+            return self.overwrite(batch)
+        batch = self._bind(batch, head)
+        keys = [key] if isinstance(key, str) else list(key)
+        b_path, b_st = self._write_part(batch)
+        touched = b_st[2]
+        schema = T.StructType(self.schema().fields + [T.StructField(_PART_COL, T.StringType())])
+        written = self.spark.read.schema(schema).option("basePath", self.path).parquet(b_path)
+        keep = (self.read().where(_partition_key(self.partition_by).isin(touched))
+                .join(written.select(*keys).distinct(), keys, "left_anti"))
+        k_path, k_st = self._write_part(keep)
+        parts = [(p, sorted(set(m) | set(touched)), st) for p, m, st in self._live(head)]
+        self._commit("upsert", parts + [(b_path, [], b_st), (k_path, [], k_st)], self.schema(), head)
+        return self
+
+
 @contextmanager
 def _quiet_expected_errors():
     """PySpark logs every captured analysis error; silence that log around an expected miss."""

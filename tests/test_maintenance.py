@@ -186,3 +186,12 @@ def test_key_catalog_replaces_the_key_scan(spark, scratch):
         raw = conform(b.results_like(spark, SF_SMALL).where(b.upto_batch(k)), schemas.RAW_RESULTS)
         inc.incremental_stage(plain, raw, staging.stage_results, race_id("year", "round"))
     assert plain.key_catalog() is None and rows(plain.read()) == rows(t.read())
+
+
+def test_table_upsert_touches_only_batch_partitions(spark, scratch):
+    t = VersionedTable(spark, scratch("ups"), partition_by=["season"])
+    t.overwrite(spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 3), (2, "c", 4)], "season int, k string, v int"))
+    t.upsert(spark.createDataFrame([(1, "a", 9), (1, "z", 8)], "season int, k string, v int"), "k")
+    assert rows(t.read()) == [(1, "a", 9), (1, "b", 3), (1, "z", 8), (2, "c", 4)]
+    assert all(p.masked == [] or p.masked == ["1"] for p in t.head().parts)
+    assert sum(1 for p in t.head().parts if p.masked) == 1     # only the old part, only season 1
