@@ -22,6 +22,7 @@ Columns are bound by name on every write (T10). One writer per table at a time.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from contextlib import contextmanager
 from functools import reduce
@@ -58,6 +59,9 @@ class VersionedTable:
         read and after every commit of this object; ``refresh=True`` re-reads the log."""
         if self._head is not None and not refresh:
             return self._head
+        local = _local_path(self._log)
+        if local is not None and not os.path.isdir(local):
+            return None  # a new table on a local file system: no failing read needed
         try:
             with _quiet_expected_errors():  # a missing log is the normal state of a new table
                 log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log)
@@ -239,6 +243,13 @@ class VersionedTable:
         return self
 
 
+def _local_path(path: str):
+    """The OS path of a local-file-system location, or None for any other file system."""
+    if path.startswith("file:"):
+        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[len("file:"):]
+    return None if "://" in path else path
+
+
 @contextmanager
 def _quiet_expected_errors():
     """PySpark logs every captured analysis error; silence that log around an expected miss."""
