@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from paddock.llm import (
+    suffix_dedup,
     token_counts,
     token_output,
 )
 
 QUERIES = {
     "op1_token_counts": token_counts.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op4_token_output": token_output.query,
 }
 
