@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from paddock.llm import (
+    decontamination,
     suffix_dedup,
     token_counts,
     token_output,
@@ -12,6 +13,9 @@ QUERIES = {
     "op1_token_counts": token_counts.query,
     "op2_suffix_dedup": suffix_dedup.query,
     "op4_token_output": token_output.query,
+    "op5_decontamination": decontamination.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_decontamination": decontamination.ORACLE,
+}
