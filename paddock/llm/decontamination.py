@@ -18,7 +18,6 @@ named like an output are replaced.
 
 from __future__ import annotations
 
-import functools
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,60 +30,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paddock.llm.common import landed, table
+from paddock.llm.wordhash import FOLD, SLICE, byte_class, hashed_words, mixed
 
 # Fixed value: what counts as a word, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-SLICE = 1 << 20  # bytes hashed at once
 LANE = 128  # window positions of a lane
 BLOCK_WORDS = 3
 
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_IS_WORD = np.zeros(256, dtype=bool)
-_IS_WORD[0x30:0x3A] = _IS_WORD[0x61:0x7B] = _IS_WORD[0x80:] = True
-
-_RNG = np.random.default_rng(13)
-_LETTERS = _RNG.integers(1, 1 << 64, 256, dtype=np.uint64)
-_WEIGHTS = _RNG.integers(1 << 62, 1 << 64, BLOCK_WORDS, dtype=np.uint64) | np.uint64(1)
-
-
-@functools.lru_cache(maxsize=8)
-def _powers(bits: int) -> np.ndarray:
-    out = np.full(1 << bits, 0x9E3779B97F4A7C15, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def words_of(folded: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of folded bytes."""
-    parts, at = [], 0
-    while at < len(folded):
-        end = min(at + SLICE, len(folded))
-        while end < len(folded) and _IS_WORD[folded[end]] and _IS_WORD[folded[end - 1]]:
-            end += 1  # a slice ends where no word goes on
-        part = folded[at:end]
-        inside = np.concatenate(([False], _IS_WORD[part], [False]))
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        if len(starts):
-            sizes = ends - starts
-            chars = np.flatnonzero(inside[1:-1])
-            first = np.cumsum(sizes) - sizes
-            place = np.arange(len(chars)) - np.repeat(first, sizes)
-            sums = np.add.reduceat(_LETTERS[part[chars]] * _powers(max(10, int(sizes.max()).bit_length()))[place], first)
-            parts.append((starts + at, ends + at, _mixed(sums)))
-        at = end
-    if not parts:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, none.astype(np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+_IS_WORD = byte_class([(0x30, 0x3A), (0x61, 0x7B), (0x80, 0x100)])
+
+_WEIGHTS = np.random.default_rng(14).integers(1 << 62, 1 << 64, BLOCK_WORDS, dtype=np.uint64) | np.uint64(1)
 
 
 def block_hash(hashes: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
@@ -92,7 +49,7 @@ def block_hash(hashes: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
     out = hashes[ends] * _WEIGHTS[0]
     for k in range(1, words):
         out = out + hashes[ends - k] * _WEIGHTS[k]
-    return _mixed(out)
+    return mixed(out)
 
 
 class WuManber:
@@ -102,7 +59,7 @@ class WuManber:
         self.length, self.block = length, min(BLOCK_WORDS, length)
         self.items, self.buckets = patterns, defaultdict(list)
         texts = list(patterns)
-        hashes = words_of(np.frombuffer(b"\n".join(texts), dtype=np.uint8))[2]
+        hashes = hashed_words(np.frombuffer(b"\n".join(texts), dtype=np.uint8), _IS_WORD)[2]
         first = np.arange(len(texts)) * length
         bits = max(12, int(4 * len(texts) * length).bit_length())
         self.down = np.uint64(64 - min(bits, 24))
@@ -155,8 +112,8 @@ class Searcher:
 
     def matches(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
         """For each text: its number of words, the maximal runs of hit words (first, number), and the items that hit."""
-        folded = _FOLD[np.frombuffer(b"\n".join(texts), dtype=np.uint8)]
-        starts, ends, hashes = words_of(folded)
+        folded = FOLD[np.frombuffer(b"\n".join(texts), dtype=np.uint8)]
+        starts, ends, hashes = hashed_words(folded, _IS_WORD)
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         limits = np.cumsum(sizes + 1)
         last = np.searchsorted(starts, limits - 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from paddock.llm import (
     decontamination,
+    near_dup,
     suffix_dedup,
     token_counts,
     token_output,
@@ -14,8 +15,10 @@ QUERIES = {
     "op2_suffix_dedup": suffix_dedup.query,
     "op4_token_output": token_output.query,
     "op5_decontamination": decontamination.query,
+    "op7_near_dup": near_dup.query,
 }
 
 ORACLES: dict[str, str] = {
     "op5_decontamination": decontamination.ORACLE,
+    "op7_near_dup": near_dup.ORACLE,
 }

@@ -68,7 +68,9 @@ def test_empty_inputs(spark, data):
 def test_words_across_slices(monkeypatch):
     import numpy as np
 
-    text = dc._FOLD[np.frombuffer(("Some words, é and 漢字 " * 50).encode(), dtype=np.uint8)]
-    whole = dc.words_of(text)
-    monkeypatch.setattr(dc, "SLICE", 7)
-    assert all((a == b).all() for a, b in zip(whole, dc.words_of(text), strict=True))
+    from paddock.llm import wordhash
+
+    text = wordhash.FOLD[np.frombuffer(("Some words, é and 漢字 " * 50).encode(), dtype=np.uint8)]
+    whole = wordhash.hashed_words(text, dc._IS_WORD)
+    monkeypatch.setattr(wordhash, "SLICE", 7)
+    assert all((a == b).all() for a, b in zip(whole, wordhash.hashed_words(text, dc._IS_WORD), strict=True))
