@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from paddock.llm import (
     decontamination,
+    mixing,
     near_dup,
+    quality_rules,
     suffix_dedup,
     token_counts,
     token_output,
@@ -15,10 +17,14 @@ QUERIES = {
     "op2_suffix_dedup": suffix_dedup.query,
     "op4_token_output": token_output.query,
     "op5_decontamination": decontamination.query,
+    "op6_mixing": mixing.query,
     "op7_near_dup": near_dup.query,
+    "op10_quality_rules": quality_rules.query,
 }
 
 ORACLES: dict[str, str] = {
     "op5_decontamination": decontamination.ORACLE,
+    "op6_mixing": mixing.ORACLE,
     "op7_near_dup": near_dup.ORACLE,
+    "op10_quality_rules": quality_rules.ORACLE,
 }
