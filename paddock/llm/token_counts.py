@@ -47,7 +47,7 @@ class TwoTierCounter:
         get = self.known.get
         for i, text in enumerate(texts):
             for plain, special in tk.by_specials(text or "", self.specials):
-                if special is not None:
+                if special:
                     totals[i] += 1
                     continue
                 for part in tk.slices(plain):
@@ -58,7 +58,7 @@ class TwoTierCounter:
                         missed.append((i, list(compress(tokens, map(not_, found)))))
         if missed:
             new = list(set().union(*(m for _, m in missed)))
-            lengths = dict(zip(new, (len(e.ids) for e in self.encode(new, add_special_tokens=False)), strict=True))
+            lengths = dict(zip(new, (len(e) for e in self.encode(new, add_special_tokens=False)), strict=True))
             for i, tokens in missed:
                 totals[i] += sum(map(lengths.__getitem__, tokens))
             for token, n in lengths.items():
@@ -76,7 +76,7 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str, sample_docs: int
     for r in some:
         counted.update(t for t in find(r[0]) if len(t) <= MAX_KEY_CHARS)
     top = [t for t, _ in counted.most_common(entries)]
-    return dict(zip(top, (len(e.ids) for e in tk.load(path).encode_batch_fast(top, add_special_tokens=False)), strict=True))
+    return dict(zip(top, (len(e) for e in tk.load(path).encode_batch_fast(top, add_special_tokens=False)), strict=True))
 
 
 _workers: dict[str, TwoTierCounter] = {}

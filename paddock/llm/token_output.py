@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -71,44 +72,27 @@ class UnitEncoder:
         return plain.split(" ")
 
     def ids(self, texts: list[str | None], end: bytes) -> list[bytes]:
-        per_text, new = [], set()
+        known, per_text = self.known, []
         for text in texts:
-            units: list = []
+            units: list[str] = []
             for plain, special in tk.by_specials(text or "", self.specials):
-                if special is not None:
-                    units.append(np.uint32(special).tobytes())
+                if special:
+                    units.append("\0" + plain)  # alone it encodes to its id
                     continue
                 for part in tk.slices(plain):
                     found = self.units(part)
                     if found:
                         found[0] = "\0" + found[0]
                     units += found
-            new.update(u for u in set(units) - self.known.keys() if isinstance(u, str))
             per_text.append(units)
-        known = self.known
-        if new:
-            order = list(new)
-            fresh = {u: np.array(e.ids, dtype="<u4").tobytes() for u, e in zip(order, self.encode(
-                [u[1:] if u[:1] == "\0" else " " + u for u in order], add_special_tokens=False), strict=True)}
-            for u, b in fresh.items():
-                if len(known) >= self.room:
-                    break
-                if len(u) <= MAX_UNIT_CHARS:
-                    known[u] = b
-            known = _Both(known, fresh)
+        order = [u for u in set().union(*per_text) if u not in known]
+        for u, e in zip(order, self.encode([u[1:] if u[:1] == "\0" else " " + u for u in order], add_special_tokens=False), strict=True):
+            known[u] = array("I", e.ids).tobytes()
         get = known.__getitem__
-        return [b"".join([get(u) if isinstance(u, str) else u for u in units] + [end]) for units in per_text]
-
-
-class _Both(dict):
-    """Lookup in the batch's own fresh units first, then in the cache."""
-
-    def __init__(self, known: dict, fresh: dict):
-        super().__init__(fresh)
-        self.known = known
-
-    def __missing__(self, key):
-        return self.known[key]
+        out = [b"".join(map(get, units)) + end for units in per_text]
+        for u in order if len(known) > self.room else [u for u in order if len(u) > MAX_UNIT_CHARS]:
+            del known[u]
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -171,7 +155,7 @@ def _arrow(ddl_schema) -> pa.Schema:
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text", block_ids: int = BLOCK_IDS, bits: bool = False, level: int = 3,
-                 cache_entries: int = 400_000) -> str:
+                 cache_entries: int = 700_000) -> str:
     """Write the file set of ``docs`` and return its folder (a fresh one under the checkpoint folder by default)."""
     from pyspark.sql.types import _parse_datatype_string
 

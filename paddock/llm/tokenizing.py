@@ -26,12 +26,12 @@ def load(path: str):
 
 
 @functools.lru_cache(maxsize=4)
-def special_strings(path: str) -> dict[str, int]:
+def special_strings(path: str) -> frozenset[str]:
     with open(path, encoding="utf-8") as f:
         added = json.load(f).get("added_tokens") or []
     if any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in added):
         raise ValueError("only added tokens that match their plain text are supported")
-    return {a["content"]: a["id"] for a in added}
+    return frozenset(a["content"] for a in added)
 
 
 def check_byte_level(path: str) -> None:
@@ -43,16 +43,14 @@ def check_byte_level(path: str) -> None:
         raise ValueError(f"{path}: not a plain byte-level BPE tokenizer")
 
 
-def by_specials(text: str, specials: dict[str, int]) -> Iterator[tuple[str, int | None]]:
-    """Split at special strings as the library does by default: (plain text, None) or ("", special id)."""
+def by_specials(text: str, specials: frozenset[str]) -> Iterator[tuple[str, bool]]:
+    """Split at special strings as the library does by default: (part, whether it is a special string)."""
     if not any(s in text for s in specials):
-        yield text, None
+        yield text, False
         return
     for part in regex.split("(" + "|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")", text):
-        if part in specials:
-            yield "", specials[part]
-        elif part:
-            yield part, None
+        if part:
+            yield part, part in specials
 
 
 _CUT = regex.compile(r"(?<=\S)\s")
