@@ -243,7 +243,7 @@ ORACLE = r"""
 WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' ')) END) AS s FROM w),
+        ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM w),
 e AS (SELECT doc_id, unnest(s) AS x FROM s),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (SELECT a, b FROM common JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b WHERE 100 * c >= 85 * (len(p.s) + len(q.s) - c)),

@@ -143,11 +143,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     ratios = {"symbols": "n_symbols", "dup_lines": "n_dup_lines", "repeats": "n_repeat_words", "word_length": "word_chars"}
-    values = "\n    UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS m, {s} AS slack, {str(both).lower()} AS both, 1000 * {ratios[m]} // n_words AS v FROM f WHERE n_words > 0"
+    values = "\n    UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS m, {s} AS slack, {str(both).lower()} AS low_too, 1000 * {ratios[m]} // n_words AS v FROM f WHERE n_words > 0"
                                      for m, (_, both, s) in MEASURES.items())
     return rf"""
 WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1),
 r AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k FROM again) GROUP BY doc_id),
@@ -156,14 +156,14 @@ f AS (SELECT w.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(len
         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
 v AS ({values}),
 b AS (SELECT *, v - v % CAST(pow(2, greatest(length(bin(v)) - 8, 0)) AS BIGINT) AS bucket FROM v),
-own AS (SELECT lang, source, m, slack, both, count(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3 FROM b GROUP BY ALL),
+own AS (SELECT lang, source, m, slack, low_too, count(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3 FROM b GROUP BY ALL),
 per_lang AS (SELECT lang, m, count(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3 FROM b GROUP BY ALL),
 whole AS (SELECT m, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3 FROM b GROUP BY ALL),
-q AS (SELECT own.lang, own.source, own.m, slack, both,
+q AS (SELECT own.lang, own.source, own.m, slack, low_too,
         CASE WHEN own.n >= 40 THEN own.q1 WHEN per_lang.n >= 40 THEN per_lang.q1 ELSE whole.q1 END AS q1,
         CASE WHEN own.n >= 40 THEN own.q3 WHEN per_lang.n >= 40 THEN per_lang.q3 ELSE whole.q3 END AS q3
         FROM own JOIN per_lang ON own.lang IS NOT DISTINCT FROM per_lang.lang AND own.m = per_lang.m JOIN whole ON own.m = whole.m),
-ok AS (SELECT doc_id, bool_and(v <= q3 + 3 * (q3 - q1) + q.slack AND (NOT q.both OR v >= q1 - 3 * (q3 - q1) - q.slack)) AS inside
+ok AS (SELECT doc_id, bool_and(v <= q3 + 3 * (q3 - q1) + q.slack AND (NOT q.low_too OR v >= q1 - 3 * (q3 - q1) - q.slack)) AS inside
         FROM v JOIN q ON v.m = q.m AND v.lang IS NOT DISTINCT FROM q.lang AND v.source IS NOT DISTINCT FROM q.source GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(inside, false) AS kept
