@@ -17,7 +17,16 @@ def landed(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     lost executor costs a re-read of a few files and later plans see the real sizes."""
     path = scratch_dir(df.sparkSession, purpose)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.landed_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``landed`` wrote, once everything made from it is written itself."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.landed_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
@@ -31,4 +40,5 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
 def join_by_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join on the row key of :func:`row_key`, null ids included; the right side's key columns go."""
     on = left["key_id"].eqNullSafe(right["key_id"]) & (left["key_hash"] == right["key_hash"])
-    return left.join(right, on, how).drop(right["key_id"], right["key_hash"])
+    joined = left.join(right, on, how)
+    return joined if how == "left_semi" else joined.drop(right["key_id"], right["key_hash"])

@@ -36,7 +36,7 @@ BITS = 18
 MAX_RATED = 8000
 MAX_SAMPLE_CHARS = 20_000  # longer documents are scored, but not learned from
 MIN_DOCS, MIN_DEVIATIONS = 3, 4.0
-SPARED = 0.005
+SPARED = 0.01
 PENALTY = 1.0
 STEPS = 250
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from paddock.llm import (
     decontamination,
+    html_text,
+    language_id,
     mixing,
     near_dup,
+    quality_classifier,
     quality_rules,
     suffix_dedup,
     token_counts,
@@ -15,10 +18,13 @@ from paddock.llm import (
 QUERIES = {
     "op1_token_counts": token_counts.query,
     "op2_suffix_dedup": suffix_dedup.query,
+    "op3_quality_classifier": quality_classifier.query,
     "op4_token_output": token_output.query,
     "op5_decontamination": decontamination.query,
     "op6_mixing": mixing.query,
     "op7_near_dup": near_dup.query,
+    "op8_html_text": html_text.query,
+    "op9_language_id": language_id.query,
     "op10_quality_rules": quality_rules.query,
 }
 
