@@ -12,46 +12,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paddock.session import stored
 from paddock.sinks.tables import VersionedTable
 
 
-def not_in(df: DataFrame, column: str, keys: DataFrame, key: str, facts=None) -> DataFrame:
+def not_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` where ``column NOT IN (SELECT key FROM keys)`` is true.
 
     SQL three-valued logic: with an empty key set every row passes (null included); with a null in
-    the key set no row passes; otherwise null probes are dropped and the rest is an anti join.
-    The two facts about the key set (row count, null count) come from ``facts`` when the caller knows
-    them (a versioned table's log), else from one single-row aggregate on the key side. The anti join runs on the distinct keys — one row per race for the staging tables, so
-    AQE broadcasts it; a large key set falls back to a sort-merge anti join, never a nested loop.
+    the key set no row passes; otherwise null probes are dropped and the rest is an anti join. The distinct
+    keys (one row per race for the staging tables) are written once: the two facts about them are one
+    small aggregate, and their file size lets the optimizer broadcast them when they are small instead
+    of shuffling the rows on a few hundred keys; a large key set is a sort-merge anti join.
     """
-    k = keys.select(F.col(key).alias("_k"))
-    if facts is None:
-        r = k.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k").isNull()).alias("nulls")).first()
-        facts = (r.n, r.nulls)
-    n, nulls = facts
-    if n == 0:
+    k = stored(keys.select(F.col(key).alias("_k")).distinct(), "keys")
+    r = k.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k").isNull()).alias("nulls")).first()
+    if r.n == 0:
         return df
-    if nulls > 0:
+    if r.nulls > 0:
         return df.where(F.lit(False))
-    return (df.where(F.col(column).isNotNull())
-            .join(k.distinct(), F.col(column) == F.col("_k"), "left_anti"))
+    return df.where(F.col(column).isNotNull()).join(k, F.col(column) == F.col("_k"), "left_anti")
 
 
 def append_unseen(target: VersionedTable, landed: DataFrame, keys=("year", "round"), seasons=None,
                   season_col: str = "year") -> DataFrame:
     """Rows of ``landed`` whose ``keys`` are not yet in the target (a missing target = empty set).
     Plain (not null-aware) anti join, like a membership test against a set of loaded rounds. With
-    ``seasons`` (the landed seasons; the keys contain the season) only those target partitions are
-    read."""
+    ``seasons`` the run is about those seasons only: rows of others are left for their own run, and
+    only those target partitions are read."""
+    if seasons is not None:
+        landed = landed.where(F.col(season_col).isin(list(seasons)))
     if not target.exists():
         return landed
     loaded = target.read()
     if seasons is not None:
         loaded = loaded.where(F.col(season_col).isin(list(seasons)))
-    return landed.join(loaded.select(*keys).distinct(), list(keys), "left_anti")
+    return landed.join(stored(loaded.select(*keys).distinct(), "rounds"), list(keys), "left_anti")
 
 
 def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, target_key: str = "race_id",
@@ -64,20 +63,13 @@ def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, ta
 
     With ``seasons`` (``raw`` holds only those seasons) the target's keys are read from those season
     partitions only: a race key starts with its season, so keys of other seasons can never match.
-    The emptiness and null facts of NOT IN still describe the whole key set (from the commit log).
     """
     if target.exists():
-        catalog = target.key_catalog() if target.catalog_key == target_key else None
-        if catalog is not None:
-            # the loaded race keys come from the commit log: a metadata-sized relation (bounded by
-            # the calendar), no scan of the target
-            existing = target.spark.createDataFrame([(k,) for k in catalog], f"{target_key} STRING")
-        else:
-            existing = target.read()
-            if seasons is not None:
-                existing = existing.where(F.col(season_col).isin(list(seasons)))
-        batch = stage(not_in(raw.withColumn("_race_key", raw_key), "_race_key", existing.select(target_key),
-                             target_key, facts=target.facts(target_key)).drop("_race_key"))
+        existing = target.read()
+        if seasons is not None:
+            existing = existing.where(F.col(season_col).isin(list(seasons)))
+        raw = raw.withColumn("_race_key", raw_key)
+        batch = stage(not_in(raw, "_race_key", existing.select(target_key), target_key).drop("_race_key"))
     else:
         batch = stage(raw)
     target.append(batch)
@@ -108,10 +100,3 @@ def first_batch_wins(df: DataFrame, race_key: str, batch_col: str) -> DataFrame:
     first = df.groupBy(F.col(race_key).alias("_rk")).agg(F.min(batch_col).alias("_first"))
     return (df.join(first, F.col(race_key).eqNullSafe(F.col("_rk")))
             .where(F.col(batch_col) == F.col("_first")).drop("_first", "_rk"))
-
-
-def first_batch_window(df: DataFrame, race_key: str, batch_col: str) -> DataFrame:
-    """The same closed form written as a window (reference formulation, for tests)."""
-    w = Window.partitionBy(race_key)
-    return (df.withColumn("_first", F.min(batch_col).over(w))
-            .where(F.col(batch_col) == F.col("_first")).drop("_first"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every paddock job wants; sizes are per-cluster and left to the caller.
 BASE_CONF = {
@@ -56,7 +56,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system it belongs to (local, shared or remote)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/paddock/{purpose}-{uuid.uuid4().hex[:12]}"
 
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back: computed once, and planned
+    from then on by its real size."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

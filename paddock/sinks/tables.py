@@ -1,201 +1,132 @@
-"""Table maintenance without a lakehouse format (K1-K3, K6, I4, I6; traps T10-T12).
+"""Tables whose versions appear atomically (K1-K3, K6, I4, I6; traps T10-T12).
 
-A ``VersionedTable`` is a directory of immutable parquet *parts* plus an append-only commit log
-(``_commits``, itself parquet). Each commit row names the version, the parts that make it up and,
-per part, the partition values that are masked out. Consequences:
+A ``VersionedTable`` is a folder of immutable Parquet *parts* plus an append-only commit log
+(``_commits``, itself Parquet). A commit is one row: the part it adds and the partition values it takes
+from the parts before it (``overwrite`` takes everything). A part becomes visible only when its
+commit row is appended after the part's Spark job; a failed run leaves the previous version, and no
+path that is being read is ever written to (T12). The log grows by one row a commit.
 
-- A reader never sees a half-written version: a part becomes visible only when the one-row commit
-  is appended after the part's Spark job committed. A failed run leaves the previous version.
-- Writing never overwrites a path that is being read (T12): every write goes to a fresh part.
 - ``append`` writes only the new rows; ``replace_partitions`` (season replace, I6) writes only the
-  replacement rows and masks the replaced partition values in older parts — partition pruning
-  makes masked data free to skip, so a replace costs the size of the batch, not of the table.
-- ``overwrite`` / ``compact`` rewrite everything once into a single part.
-- Parts are ``vt_part=<id>`` directories under the table root; a read lists only the live parts and
-  scans them as one relation (``basePath``), the part id and masks acting as partition filters.
-- Each part records its row count and per-column null counts, observed by the write job itself
-  (``DataFrame.observe``, no extra pass), so facts such as "is the key set empty / does it hold a
-  null" come from the log instead of a scan (``facts``).
+  replacement and hides the replaced partition values in older parts, by a partition filter that
+  prunes their files. ``compact`` rewrites everything once into a single part.
+- Parts are ``vt_part=<id>`` folders under the table; a read scans the live ones as one relation.
+- Files are written by partition value after a rebalance on it, so that a value has a few files of
+  fair size, and a large value is split over several tasks.
+
 Columns are bound by name on every write (T10). One writer per table at a time.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
-from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.logger import PySparkLogger
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOG_SCHEMA = ("version INT, op STRING, parts ARRAY<STRUCT<path: STRING, masked: ARRAY<STRING>, rows: BIGINT, "
-               "nulls: MAP<STRING, BIGINT>, pvalues: ARRAY<STRING>, keys: ARRAY<STRING>>>, table_schema STRING, "
-               "partition_by ARRAY<STRING>")
+from paddock.session import path_exists
+
+_LOG_SCHEMA = "version INT, op STRING, part STRING, hidden ARRAY<STRING>, table_schema STRING, partition_by ARRAY<STRING>"
+
+# Folder prefix of a part; read back as a partition column and dropped.
+_PART_COL = "vt_part"
+
+# Partition values are hidden by their text form; a null value gets a marker no text cast produces.
+_NULL_MARK = "\u0000null"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, partition_by=(), catalog_key: str | None = None):
-        """``catalog_key``: a column whose distinct values per part are few and bounded by the
-        calendar (a race key: at most ~53 per season). Each write records them in the log, so the
-        table's key set is read from metadata (``key_catalog``) instead of scanning the column."""
+    def __init__(self, spark: SparkSession, path: str, partition_by=()):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
-        self.catalog_key = catalog_key
-        self._head = None  # last commit seen by this writer (one writer per table)
+        self._log_rows = None  # the log as last seen by this writer (one writer per table)
 
     # -- log -------------------------------------------------------------------------------------
     @property
     def _log(self) -> str:
         return f"{self.path}/_commits"
 
-    def head(self, refresh: bool = False):
-        """Latest commit row, or None when the table does not exist yet. Cached after the first
-        read and after every commit of this object; ``refresh=True`` re-reads the log."""
-        if self._head is not None and not refresh:
-            return self._head
-        local = _local_path(self._log)
-        if local is not None and not os.path.isdir(local):
-            return None  # a new table on a local file system: no failing read needed
-        try:
-            with _quiet_expected_errors():  # a missing log is the normal state of a new table
-                log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log)
-            rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-        except AnalysisException:
-            return None
-        self._head = rows[0] if rows else None
-        return self._head
+    def commits(self) -> list:
+        """The commits since the last overwrite, oldest first; empty when the table does not exist. Any
+        failure to read a log that is there is an error, never an empty table."""
+        if self._log_rows is None:
+            rows = []
+            if path_exists(self.spark, self._log):
+                rows = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log).orderBy("version").collect()
+            self._log_rows = self._current(rows)
+        return self._log_rows
+
+    @staticmethod
+    def _current(rows: list) -> list:
+        last = max((i for i, r in enumerate(rows) if r.op == "overwrite"), default=0)
+        return rows[last:]
 
     def exists(self) -> bool:
-        return self.head() is not None
+        return bool(self.commits())
 
     def version(self) -> int:
-        h = self.head()
-        return h.version if h else 0
-
-    def _commit(self, op: str, parts, schema: T.StructType, head) -> None:
-        """``parts``: (path, masked values, (rows, nulls, partition values) stats or None) per part.
-        A part whose partition values are all masked holds no live row and leaves the log."""
-        live = [(p, m, st) for p, m, st in parts
-                if not (st and st[2] is not None and m and set(st[2]) <= set(m))]
-        row = [((head.version if head else 0) + 1, op,
-                [(p, sorted(set(m) & set(st[2])) if st and st[2] is not None else list(m),
-                  *(st if st else (None, None, None, None))) for p, m, st in live], schema.json(),
-                self.partition_by)]
-        commit = self.spark.createDataFrame(row, _LOG_SCHEMA)
+        log = self.commits()
+        return log[-1].version if log else 0
+
+    def _commit(self, op: str, part: str, hidden, schema: T.StructType) -> None:
+        row = (self.version() + 1, op, part, list(hidden), schema.json(), self.partition_by)
+        commit = self.spark.createDataFrame([row], _LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self._log)
-        self._head = commit.first()
+        self._log_rows = self._current([*self.commits(), commit.first()])
 
     # -- read ------------------------------------------------------------------------------------
     def schema(self) -> T.StructType:
-        h = self.head()
-        if h is None:
+        log = self.commits()
+        if not log:
             raise FileNotFoundError(f"no table at {self.path}")
-        return T.StructType.fromJson(json.loads(h.table_schema))
+        return T.StructType.fromJson(json.loads(log[-1].table_schema))
+
+    def _scan(self, parts) -> DataFrame:
+        """The rows of ``parts`` in one scan, with the part id as a partition column."""
+        read_schema = T.StructType(self.schema().fields + [T.StructField(_PART_COL, T.StringType())])
+        return (self.spark.read.schema(read_schema).option("basePath", self.path)
+                .parquet(*[f"{self.path}/{_PART_COL}={p}" for p in parts]))
 
     def read(self) -> DataFrame:
-        h = self.head()
-        if h is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        schema = T.StructType.fromJson(json.loads(h.table_schema))
-        cols = schema.fieldNames()
-        # all live parts in one scan: each part is a ``vt_part=<id>`` directory under the table root,
-        # so with ``basePath`` the part id is a partition column and masks are partition filters
-        read_schema = T.StructType(schema.fields + [T.StructField(_PART_COL, T.StringType())])
-        df = (self.spark.read.schema(read_schema).option("basePath", self.path)
-              .parquet(*[p.path for p in h.parts]))
-        masked = [(p.path.rsplit("=", 1)[1], list(p.masked)) for p in h.parts if p.masked]
-        if masked:
-            key = _partition_key(h.partition_by)
-            hidden = reduce(lambda a, b: a | b,
-                            [(F.col(_PART_COL) == F.lit(pid)) & key.isin(vals) for pid, vals in masked])
-            df = df.where(~hidden)
-        return df.select(*cols)
+        schema, log = self.schema(), self.commits()
+        df = self._scan([c.part for c in log])
+        hidden = [(F.col(_PART_COL).isin([c.part for c in log[:i]])) & _partition_key(commit.partition_by).isin(list(commit.hidden))
+                  for i, commit in enumerate(log) if i and commit.hidden]
+        if hidden:
+            df = df.where(~reduce(lambda a, b: a | b, hidden))
+        return df.select(*schema.fieldNames())
 
     # -- write -----------------------------------------------------------------------------------
-    def _write_part(self, df: DataFrame):
-        """Write ``df`` as a new part; return (path, (rows, {column: nulls}, partition values)), all
-        observed by the write job itself."""
-        p = f"{self.path}/{_PART_COL}={uuid.uuid4().hex}"
-        obs = Observation(f"stats_{uuid.uuid4().hex}")
-        metrics = [F.count(F.lit(1)).alias("_rows")] + \
-            [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
-        if len(self.partition_by) == 1:  # the part's partition values: at most one per season
-            metrics.append(F.collect_set(_partition_key(self.partition_by)).alias("_pvalues"))
-        if self.catalog_key and self.catalog_key in df.columns:
-            metrics.append(F.collect_set(F.col(self.catalog_key).cast("string")).alias("_keys"))
-        w = df.observe(obs, *metrics).write.mode("errorifexists")
+    def _write_part(self, df: DataFrame) -> str:
+        part = uuid.uuid4().hex
         if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(p)
-        m = obs.get
-        pvalues = sorted(m["_pvalues"]) if "_pvalues" in m else None
-        keys = sorted(m["_keys"]) if "_keys" in m else None
-        return p, (m["_rows"], {c: m[f"_null_{i}"] for i, c in enumerate(df.columns)}, pvalues, keys)
-
-    def facts(self, column: str):
-        """(rows, nulls of ``column``) of the current version from the log, or None when a part
-        has masked partitions or no stats (then the caller scans)."""
-        h = self.head()
-        if h is None:
-            return None
-        rows = nulls = 0
-        for part in h.parts:
-            # masks are kept only where they hit the part's values, so any mask makes counts inexact
-            if part.masked or part.rows is None or part.nulls is None or column not in part.nulls:
-                return None
-            rows += part.rows
-            nulls += part.nulls[column]
-        return rows, nulls
-
-    def key_catalog(self):
-        """The distinct non-null values of ``catalog_key`` over the current version, from the log;
-        None when unknown (no catalog key, a part without the record, or masked partitions)."""
-        h = self.head()
-        if h is None or not self.catalog_key:
-            return None
-        keys = set()
-        for part in h.parts:
-            if part.masked or part.keys is None:
-                return None
-            keys.update(part.keys)
-        return sorted(keys)
-
-    @staticmethod
-    def _live(head):
-        return [(p.path, p.masked, (p.rows, p.nulls, p.pvalues, p.keys) if p.rows is not None else None)
-                for p in head.parts] if head else []
-
-    def _bind(self, df: DataFrame, head) -> DataFrame:
-        if head is None:
+            writer = df.hint("rebalance", *[F.col(c) for c in self.partition_by]).write.partitionBy(*self.partition_by)
+        else:
+            writer = df.write
+        writer.mode("errorifexists").parquet(f"{self.path}/{_PART_COL}={part}")
+        return part
+
+    def _bind(self, df: DataFrame) -> DataFrame:
+        if not self.exists():
             return df
-        schema = T.StructType.fromJson(json.loads(head.table_schema))
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema().fields])
 
     def create_empty(self, like: DataFrame) -> "VersionedTable":
         """K1: create the table with ``like``'s schema and no rows, only if it does not exist."""
-        head = self.head()
-        if head is None:
-            path, st = self._write_part(like.where(F.lit(False)))
-            self._commit("create", [(path, [], st)], like.schema, None)
+        if not self.exists():
+            self._commit("create", self._write_part(like.where(F.lit(False))), [], like.schema)
         return self
 
     def append(self, df: DataFrame) -> "VersionedTable":
-        head = self.head()
-        df = self._bind(df, head)
-        path, st = self._write_part(df)
-        self._commit("append", self._live(head) + [(path, [], st)], df.schema if head is None else self.schema(), head)
+        df = self._bind(df)
+        self._commit("append", self._write_part(df), [], df.schema)
         return self
 
     def overwrite(self, df: DataFrame) -> "VersionedTable":
-        head = self.head()
-        path, st = self._write_part(df)
-        self._commit("overwrite", [(path, [], st)], df.schema, head)
+        self._commit("overwrite", self._write_part(df), [], df.schema)
         return self
 
     def compact(self) -> "VersionedTable":
@@ -207,71 +138,34 @@ class VersionedTable:
         partitions, which are simply added. An empty ``df`` empties the listed partitions (T11)."""
         if len(self.partition_by) != 1:
             raise ValueError("replace_partitions needs exactly one partition column")
-        head = self.head()
-        df = self._bind(df, head)
-        masked_keys = [_partition_text(v) for v in values]
-        path, st = self._write_part(df)
-        parts = [(p, sorted(set(m) | set(masked_keys)), s) for p, m, s in self._live(head)]
-        self._commit("replace", parts + [(path, [], st)], df.schema if head is None else self.schema(), head)
+        df = self._bind(df)
+        self._commit("replace", self._write_part(df), [_partition_text(v) for v in values], df.schema)
         return self
 
-
     def upsert(self, batch: DataFrame, key) -> "VersionedTable":
-        """I4 for a table whose key determines its (single) partition column: ``DELETE WHERE key IN
-        batch; INSERT batch`` restricted to the partitions the batch touches, as one commit.
+        """I4: ``DELETE WHERE key IN batch; INSERT batch`` as one commit, for a table whose key determines
+        its (single) partition column. Only the partitions that the batch touches are read and replaced.
 
-        The batch is computed once: it is written first as a part (its partition values observed by
-        the write), its keys are read back from that part, the touched partitions' rows whose key is
-        not in the batch are rewritten as a second part, and the commit masks the touched partitions
-        in every older part."""
+        The batch is written first, as a part that no commit names yet, so it is computed once. A key of
+        the batch that the table holds in another partition breaks the precondition and raises."""
         if len(self.partition_by) != 1:
             raise ValueError("upsert needs exactly one partition column")
-        head = self.head()
-        if head is None:
+        if not self.exists():
             return self.overwrite(batch)
-        batch = self._bind(batch, head)
         keys = [key] if isinstance(key, str) else list(key)
-        b_path, b_st = self._write_part(batch)
-        touched = b_st[2]
-        schema = T.StructType(self.schema().fields + [T.StructField(_PART_COL, T.StringType())])
-        written = self.spark.read.schema(schema).option("basePath", self.path).parquet(b_path)
-        keep = (self.read().where(_partition_key(self.partition_by).isin(touched))
-                .join(written.select(*keys).distinct(), keys, "left_anti"))
-        k_path, k_st = self._write_part(keep)
-        parts = [(p, sorted(set(m) | set(touched)), st) for p, m, st in self._live(head)]
-        self._commit("upsert", parts + [(b_path, [], b_st), (k_path, [], k_st)], self.schema(), head)
+        written = self._scan([self._write_part(self._bind(batch))]).drop(_PART_COL)
+        # one row per partition value (season) of the batch
+        touched = [r[0] for r in written.select(_partition_key(self.partition_by)).distinct().collect()]
+        inside = _partition_key(self.partition_by).isin(touched)
+        ids = written.select(*keys).distinct()
+        if not self.read().where(~inside).select(*keys).join(ids, keys, "left_semi").isEmpty():
+            raise ValueError("a key of the batch is in the table under another partition value")
+        keep = self.read().where(inside).join(ids, keys, "left_anti")
+        merged = self._bind(keep.unionByName(written))
+        self._commit("upsert", self._write_part(merged), touched, merged.schema)
         return self
 
 
-def _local_path(path: str):
-    """The OS path of a local-file-system location, or None for any other file system."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[len("file:"):]
-    return None if "://" in path else path
-
-
-@contextmanager
-def _quiet_expected_errors():
-    """PySpark logs every captured analysis error; silence that log around an expected miss."""
-    # obtained the way PySpark obtains them, so they keep PySpark's logger class
-    loggers = [PySparkLogger.getLogger(n) for n in ("DataFrameQueryContextLogger", "SQLQueryContextLogger")]
-    before = [lg.disabled for lg in loggers]
-    for lg in loggers:
-        lg.disabled = True
-    try:
-        yield
-    finally:
-        for lg, b in zip(loggers, before):
-            lg.disabled = b
-
-
-# Directory prefix of a part; read back as a partition column and dropped.
-_PART_COL = "vt_part"
-
-# Partition values are masked by their text form; a null value gets a marker no text cast produces.
-_NULL_MARK = "\u0000null"
-
-
 def _partition_text(v) -> str:
     if v is None:
         return _NULL_MARK

@@ -50,7 +50,7 @@ def test_failed_write_keeps_previous_version(spark, scratch):
 def test_incremental_stepwise_equals_closed_form_and_is_idempotent(spark, scratch):
     target = VersionedTable(spark, scratch("inc"), partition_by=["season_year"])
     for k in (1, 2, 3):
-        raw = conform(b.results_like(spark, SF_SMALL).where(b.batch_number() <= k), schemas.RAW_RESULTS)
+        raw = conform(b.results_like(spark, SF_SMALL).where(b.upto_batch(k)), schemas.RAW_RESULTS)
         inc.incremental_stage(target, raw, staging.stage_results, race_id("year", "round"))
     n = target.read().count()
     # a second run over the same landing adds nothing
@@ -58,7 +58,7 @@ def test_incremental_stepwise_equals_closed_form_and_is_idempotent(spark, scratc
                                   staging.stage_results, race_id("year", "round"))
     assert again.count() == 0 and target.read().count() == n
     closed = inc.first_batch_wins(
-        b.results_like(spark, SF_SMALL).withColumn("_b", b.batch_number()).withColumn("race_id", race_id("year", "round")),
+        b.results_like(spark, SF_SMALL).withColumn("_b", F.when(b.in_batch(1), 1).when(b.in_batch(2), 2).otherwise(3)).withColumn("race_id", race_id("year", "round")),
         "race_id", "_b")
     assert rows(target.read()) == rows(staging.stage_results(closed))
     # late rows exist: the closed form drops some rows of the landing
@@ -66,9 +66,13 @@ def test_incremental_stepwise_equals_closed_form_and_is_idempotent(spark, scratc
 
 
 def test_replace_season_query(spark, scratch):
-    got = mt.replace_season(spark, SF_SMALL, scratch("rs"))
-    assert got.where("year = 2001").count() == 0
-    assert got.groupBy("year", "round").count().where("count > 1").count() == 0
+    t = VersionedTable(spark, scratch("rs"), partition_by=["year"])
+    got = mt.replace_season(spark, SF_SMALL, t.path)
+    assert rows(got) == rows(b.races_like(spark, SF_SMALL))
+    # one commit per later batch; after batch 2 the season it does not reach was empty
+    assert [c.op for c in t.commits()] == ["overwrite", "replace", "replace"]
+    t._log_rows = t.commits()[:2]
+    assert t.read().where("year = 2001").count() == 0 and t.read().where("year = 1999").count() > 0
 
 
 def test_scd2_stepwise_equals_closed_form(spark, scratch):
@@ -109,14 +113,14 @@ def test_csv_round_trip(spark, scratch):
 
 
 def test_build_all_is_idempotent_and_streaming_equals_batch(spark, scratch):
-    from paddock.plans.build import MARTS, Warehouse, build_all, landing_from_testdata, seasons_of
+    from paddock.plans.build import MARTS, Warehouse, build_all, landing_from_testdata
 
     wh = Warehouse(spark, scratch("wh"))
     landing = landing_from_testdata(spark, SF_SMALL, 3)
-    build_all(spark, landing, seasons_of(landing), wh)
+    build_all(spark, landing, warehouse=wh)
     first = {n: rows(wh.mart(n).read()) for n in MARTS}
     n_stg = wh.stg_results.read().count()
-    build_all(spark, landing, seasons_of(landing), wh)   # same landing again: nothing changes
+    build_all(spark, landing, warehouse=wh)   # same landing again: nothing changes
     assert {n: rows(wh.mart(n).read()) for n in MARTS} == first
     assert wh.stg_results.read().count() == n_stg
 
@@ -125,15 +129,15 @@ def test_build_all_is_idempotent_and_streaming_equals_batch(spark, scratch):
     assert rows(streamed) == rows(batch)
 
 
-def test_part_stats_drive_not_in_facts(spark, scratch):
-    t = VersionedTable(spark, scratch("stats"), partition_by=["year"])
-    df = spark.createDataFrame([(2022, "a", None), (2023, None, "x")], "year int, k string, w string")
-    t.append(df)
-    assert t.facts("k") == (2, 1) and t.facts("w") == (2, 1)
-    t.append(df.where("k IS NOT NULL"))
-    assert t.facts("k") == (3, 1)
-    t.replace_partitions(df.where("year = 2023"), [2023])
-    assert t.facts("k") is None            # masked parts: the caller must scan
+def test_a_race_split_over_files_of_a_landing_is_staged_whole(spark, scratch):
+    from paddock.streaming.incremental import stream_incremental_stage
+
+    root = scratch("split")
+    raw = spark.createDataFrame([(2024, 1, "E", str(i), f"D{i}", f"n{i}", "T", 1.0, 1.0, "Finished") for i in range(6)], schemas.RAW_RESULTS)
+    raw.repartition(3).write.parquet(f"{root}/landing")
+    target = VersionedTable(spark, f"{root}/stg", partition_by=["season_year"])
+    stream_incremental_stage(spark, f"{root}/landing", schemas.RAW_RESULTS, target, staging.stage_results, race_id("year", "round"), f"{root}/_ckpt")
+    assert rows(target.read()) == rows(staging.stage_results(raw))
 
 
 def test_stream_restart_processes_only_new_files(spark, scratch):
@@ -154,38 +158,27 @@ def test_stream_restart_processes_only_new_files(spark, scratch):
     assert target.read().count() > n
 
 
-def test_fully_masked_parts_leave_the_log(spark, scratch):
-    t = VersionedTable(spark, scratch("drop"), partition_by=["year"])
+def test_log_grows_by_one_row_a_commit(spark, scratch):
+    t = VersionedTable(spark, scratch("log"), partition_by=["year"])
     t.append(spark.createDataFrame([(2022, "a")], "year int, v string"))
     t.append(spark.createDataFrame([(2023, "b"), (2024, "c")], "year int, v string"))
     t.replace_partitions(spark.createDataFrame([(2022, "A")], "year int, v string"), [2022])
-    parts = t.head().parts
-    assert len(parts) == 2                       # the 2022-only part is gone
-    assert all(not p.masked for p in parts)      # masks that miss a part are not kept
-    assert t.facts("v") == (3, 0)
-    assert rows(t.read()) == [(2022, "A"), (2023, "b"), (2024, "c")]
+    assert spark.read.parquet(t._log).count() == 3 == t.version()
+    assert rows(VersionedTable(spark, t.path).read()) == [(2022, "A"), (2023, "b"), (2024, "c")]
+    t.compact()
+    assert len(VersionedTable(spark, t.path).commits()) == 1
 
 
-def test_quiet_probe_keeps_error_handling(spark, scratch):
+def test_only_a_missing_log_is_a_new_table(spark, scratch):
     from pyspark.errors import AnalysisException
 
     assert not VersionedTable(spark, scratch("none")).exists()
-    with pytest.raises(AnalysisException):
-        spark.read.parquet(scratch("missing")).count()
-
-
-def test_key_catalog_replaces_the_key_scan(spark, scratch):
-    t = VersionedTable(spark, scratch("cat"), partition_by=["season_year"], catalog_key="race_id")
-    for k in (1, 2, 3):
-        raw = conform(b.results_like(spark, SF_SMALL).where(b.upto_batch(k)), schemas.RAW_RESULTS)
-        inc.incremental_stage(t, raw, staging.stage_results, race_id("year", "round"))
-    scanned = sorted(r.race_id for r in t.read().select("race_id").distinct().collect())
-    assert t.key_catalog() == scanned
-    plain = VersionedTable(spark, scratch("nocat"), partition_by=["season_year"])
-    for k in (1, 2, 3):
-        raw = conform(b.results_like(spark, SF_SMALL).where(b.upto_batch(k)), schemas.RAW_RESULTS)
-        inc.incremental_stage(plain, raw, staging.stage_results, race_id("year", "round"))
-    assert plain.key_catalog() is None and rows(plain.read()) == rows(t.read())
+    path = scratch("broken")
+    spark.createDataFrame([(1,)], "k int").write.parquet(f"{path}/other")
+    spark.createDataFrame([("x",)], "v string").write.text(f"{path}/_commits")
+    with pytest.raises(Exception) as e:
+        VersionedTable(spark, path).exists()
+    assert not isinstance(e.value, (AssertionError, FileNotFoundError)) and AnalysisException is not None
 
 
 def test_table_upsert_touches_only_batch_partitions(spark, scratch):
@@ -193,5 +186,63 @@ def test_table_upsert_touches_only_batch_partitions(spark, scratch):
     t.overwrite(spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 3), (2, "c", 4)], "season int, k string, v int"))
     t.upsert(spark.createDataFrame([(1, "a", 9), (1, "z", 8)], "season int, k string, v int"), "k")
     assert rows(t.read()) == [(1, "a", 9), (1, "b", 3), (1, "z", 8), (2, "c", 4)]
-    assert all(p.masked == [] or p.masked == ["1"] for p in t.head().parts)
-    assert sum(1 for p in t.head().parts if p.masked) == 1     # only the old part, only season 1
+    assert [list(c.hidden) for c in t.commits()] == [[], ["1"]]     # only season 1 of the old part
+    with pytest.raises(ValueError):                                 # the key is there, in another season
+        t.upsert(spark.createDataFrame([(2, "a", 1)], "season int, k string, v int"), "k")
+
+
+def _landing(spark, races, results, laps=()):
+    return {"raw_races": spark.createDataFrame(races, schemas.RAW_RACES), "raw_results": spark.createDataFrame(results, schemas.RAW_RESULTS),
+            "raw_fastest_laps": spark.createDataFrame(list(laps), schemas.RAW_FASTEST_LAPS)}
+
+
+def _result(year, rnd, code="AAA", points=25.0):
+    return (year, rnd, "E", "7", code, "Name", "Team", 1.0, points, "Finished")
+
+
+def test_build_by_seasons_neither_doubles_nor_loses(spark, scratch):
+    from paddock.operators.expectations import ExpectationFailed
+    from paddock.plans.build import Warehouse, build_all
+
+    landing = _landing(spark, [(y, 1, "E", "C", f"{y}-03-01") for y in (2024, 2025)], [_result(2024, 1), _result(2025, 1)],
+                       [(y, 1, "E", "AAA", "Team", 80.0) for y in (2024, 2025)])
+    wh = Warehouse(spark, scratch("seasons"))
+    for seasons in ([2025], [2024], [2025, 2024]):
+        build_all(spark, landing, seasons, wh)
+    got = {r.season_year: (r.races_entered, r.total_points) for r in wh.mart("driver_standings").read().collect()}
+    assert got == {2024: (1, 25.0), 2025: (1, 25.0)} and wh.raw_results.read().count() == 2
+    # results of a season whose calendar is stored already need no landed calendar
+    build_all(spark, _landing(spark, [], [_result(2025, 1, "BBB"), ]), warehouse=wh)
+    assert wh.raw_races.read().count() == 2
+    for bad in ([_result(2023, 1)], [_result(2025, 100)], [_result(None, 1)]):  # no calendar row, no room in the key, no season
+        with pytest.raises(ExpectationFailed):
+            build_all(spark, _landing(spark, [(2025, 100, "E", "C", "2025-01-01")], bad), warehouse=wh)
+    assert wh.raw_results.read().count() == 2
+
+
+def test_build_coerces_and_drops_testing_events(spark, scratch):
+    from paddock.plans.build import build_all
+
+    landing = _landing(spark, [(2024, 0, "Testing", "C", "2024-02-01"), (None, 1, "Opening", "C", "2024-03-01")],
+                       [(None, 1, "x", None, None, "Name", None, float("nan"), 3.0, None), _result(2024, 0)],
+                       [(None, 1, "Opening", "AAA", "Team", 80.0)])
+    wh = build_all(spark, landing, None, scratch("coerce"), season=2024)
+    (r,) = wh.raw_results.read().collect()
+    assert tuple(r) == (2024, 1, "Opening", "", "", "Name", "", None, 3.0, "")
+    assert [x.round_number for x in wh.stg_races.read().collect()] == [1]
+    assert wh.report.where("test_name = 'relationships'").count() == 2
+
+
+def test_scd2_driver_team_has_movers(spark, scratch):
+    t = mt.scd2_driver_team(spark, SF_SMALL, scratch("dt"))
+    versions = t.groupBy("driver_code", "season_year").count()
+    assert versions.where("count > 1").count() > 0 and t.where("dbt_valid_to IS NULL").count() == versions.count()
+
+
+def test_snapshot_keeps_a_null_key(spark, scratch):
+    from paddock.operators import scd2
+    t = VersionedTable(spark, scratch("null_key"), partition_by=["dbt_valid_to"])
+    ts = lambda y: F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz")
+    for y, team in ((2020, "X"), (2021, "X"), (2022, "Y")):
+        scd2.snapshot_step(t, spark.createDataFrame([(None, team)], "k string, team string"), "k", ["team"], ts(y))
+    assert sorted((r.team, r.dbt_valid_to is None) for r in t.read().collect()) == [("X", False), ("Y", True)]
