@@ -18,6 +18,7 @@ from paddock.functions.columns import (
     text_or_empty,
     to_int,
 )
+from paddock.session import stored
 
 
 def stage_races(raw: DataFrame, keep=()) -> DataFrame:
@@ -62,23 +63,29 @@ def stage_fastest_laps(raw: DataFrame, keep=()) -> DataFrame:
 
 def pick_fastest_lap(laps: DataFrame, race_cols=("year", "round"), time_col="lap_time_seconds",
                      tiebreak=(), payload=("event_name", "driver_code", "team")) -> DataFrame:
-    """Fastest lap per race as one aggregate: ``min_by(payload, (time, tie-breakers))``.
+    """Fastest lap per race: the least time by a hash aggregate, then the laps with that time, then the
+    least tie-breaker among those few.
 
-    ``min_by`` is a declarative aggregate, so Spark combines it map-side before the shuffle: a race
-    holding a third of all laps still sends one partial row per map task. Laps without a time are
-    ignored (a race whose laps are all untimed yields no row), and ties go to the least tie-breaker.
+    The least times (one row per race) are written once, so that their file size lets the join with
+    the laps be a broadcast; only laps that equal their race's least time reach the second aggregate,
+    whose text payload Spark can only sort. Both combine map-side, so a race that holds a third of all laps
+    sends one row per task. Laps without a time are ignored (a race of untimed laps yields no row).
     """
-    order = F.struct(F.col(time_col), *[F.col(c) for c in tiebreak])
+    timed = laps.where(F.col(time_col).isNotNull())
+    least = stored(timed.groupBy(*race_cols).agg(F.min(time_col).alias("_least")), "least-times")
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"t.{c}")) for c in race_cols] + [F.col(f"l.{time_col}") == F.col("t._least")]
+    fastest = timed.alias("l").join(least.alias("t"), on).select("l.*")
+    order = F.struct(*[F.col(c) for c in (time_col, *tiebreak)])
     best = F.min_by(F.struct(*[F.col(c) for c in payload], F.col(time_col)), order)
-    return (laps.where(F.col(time_col).isNotNull())
-            .groupBy(*race_cols).agg(best.alias("_best"))
+    return (fastest.groupBy(*race_cols).agg(best.alias("_best"))
             .select(*race_cols, *[F.col(f"_best.{c}").alias(c) for c in payload], F.col(f"_best.{time_col}")
                     .alias(time_col)))
 
 
-def exclude_testing_events(calendar: DataFrame, round_col: str = "round") -> DataFrame:
-    """Drop pre-season testing events from a landed calendar: they carry round 0."""
-    return calendar.where(F.col(round_col) != 0)
+def exclude_testing_events(landed: DataFrame, round_col: str = "round") -> DataFrame:
+    """Drop pre-season testing events from a landed table: they carry round 0 (F9). A missing round is
+    not round 0 and stays, to be found by the landing check."""
+    return landed.where(~F.col(round_col).eqNullSafe(F.lit(0)))
 
 
 def coerce_results(landed: DataFrame, calendar: DataFrame, year_col="year", round_col="round",
@@ -89,7 +96,7 @@ def coerce_results(landed: DataFrame, calendar: DataFrame, year_col="year", roun
     if season is not None:
         landed = landed.withColumn("year", F.lit(season).cast("int"))
     cal = calendar.select(F.col(year_col).alias("year"), F.col(round_col).alias("round"), "event_name")
-    return (landed.join(cal, ["year", "round"])
+    return (landed.drop("event_name").join(cal, ["year", "round"])
             .select("year", "round", "event_name",
                     text_or_empty("driver_number").alias("driver_number"),
                     text_or_empty("driver_code").alias("driver_code"),

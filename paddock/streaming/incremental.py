@@ -11,9 +11,9 @@ Failure: if a trigger dies after the target commit but before the stream's own c
 the micro-batch is replayed; the incremental rule then finds its races already staged and appends
 nothing, so a replay cannot duplicate rows.
 
-Semantics: "first batch wins" applies per micro-batch — rows of a race that arrive in a later
-micro-batch are dropped exactly as in the batch pipeline, so a landing must carry a race complete
-(or at least everything known about it) in one trigger.
+Semantics: "first batch wins" applies per run. All files landed since the last run form one
+micro-batch (no limit on files per trigger), so a race that is spread over several files of a landing
+is staged whole, as in the batch pipeline; rows of a race that land after its run are dropped, also as there.
 """
 
 from __future__ import annotations
@@ -25,12 +25,9 @@ from paddock.sinks.tables import VersionedTable
 
 
 def stream_incremental_stage(spark: SparkSession, landing_dir: str, schema, target: VersionedTable, stage,
-                             race_key, checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+                             race_key, checkpoint: str) -> None:
     """Run one ``availableNow`` trigger over ``landing_dir`` (parquet, given ``schema``)."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.parquet(landing_dir)
+    raw = spark.readStream.schema(schema).parquet(landing_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         inc.incremental_stage(target, batch, stage, race_key)
