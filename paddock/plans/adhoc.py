@@ -1,18 +1,26 @@
 """Guarded ad-hoc SQL over the marts (H1).
 
 The question-answering screens run a generated statement and show either its rows or the error as
-text. Here the statement (trimmed, one trailing ';' allowed) is wrapped as ``SELECT * FROM (<sql>) q``
-before Spark parses it, so only a query can run: DDL, commands and several statements are parse
-errors, captured as text like the original. The marts are exposed as temporary views; the result
-stays a lazy DataFrame and only a bounded preview is ever collected (``preview``).
+text. Here the statement (trimmed, one trailing ';' allowed) is wrapped as a sub-query before Spark
+parses it, so only a query can run: DDL, commands and several statements are parse errors. Files by path
+and functions that call into the JVM are refused too. Errors, whether found by analysis or while the query
+runs, come back as text. The marts are exposed as temporary views; the result stays a lazy DataFrame:
+``answer`` writes all of it to a folder, or prints a bounded number of rows and says when there are more.
 """
 
 from __future__ import annotations
 
+import re
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-ERROR_PREFIX = "Error ejecutando SQL: "
+from paddock.sinks.tables import export_csv
+
+ERROR_PREFIX = "Query failed: "
+
+_INTO_THE_JVM = re.compile(r"\b(java_method|reflect|try_reflect)\s*\(", re.IGNORECASE)
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
@@ -24,7 +32,22 @@ def guarded(spark: SparkSession, sql: str) -> DataFrame:
     text = sql.strip()
     if text.endswith(";"):
         text = text[:-1].rstrip()
-    return spark.sql(f"SELECT * FROM ({text}) q")
+    if _INTO_THE_JVM.search(text):
+        raise ValueError("only queries over the marts are allowed")
+    key = "spark.sql.runSQLOnFiles"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        # the newline keeps a trailing comment from swallowing the parenthesis
+        df = spark.sql(f"SELECT * FROM ({text}\n) q")
+        df.schema  # analysis happens here: unknown tables/columns surface now
+        return df
+    finally:
+        spark.conf.set(key, before)
+
+
+def _text(e: Exception) -> str:
+    return ERROR_PREFIX + next((line.strip() for line in str(e).splitlines() if line.strip()), type(e).__name__)
 
 
 def run_adhoc(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None):
@@ -32,16 +55,31 @@ def run_adhoc(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None
     if views:
         register_views(views)
     try:
-        df = guarded(spark, sql)
-        df.schema  # analysis happens here: unknown tables/columns surface now
-        return df, None
-    except PySparkException as e:
-        return None, ERROR_PREFIX + str(e).splitlines()[0]
+        return guarded(spark, sql), None
+    except (PySparkException, ValueError) as e:
+        return None, _text(e)
 
 
 def preview(df: DataFrame, n: int = 100) -> str:
-    """Text table of at most ``n`` rows for display."""
-    return df.limit(n).toPandas().to_string(index=False)
+    """Text table of at most ``n`` rows for display, with a note when there are more."""
+    rows = df.limit(n + 1).toPandas()
+    more = f"\n(the first {n} rows; there are more)" if len(rows) > n else ""
+    return rows.head(n).to_string(index=False) + more
+
+
+def answer(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None, n: int = 100,
+           output: str | None = None) -> tuple[str, bool]:
+    """(text, failed): the rows, or where the whole result was written, or the error."""
+    df, err = run_adhoc(spark, sql, views)
+    if err:
+        return err, True
+    try:
+        if output is None:
+            return preview(df, n), False
+        export_csv(df, output)
+        return f"written to {output}", False
+    except (PySparkException, Py4JJavaError) as e:
+        return _text(e), True
 
 
 def describe(spark: SparkSession, table: str) -> list[str]:

@@ -29,7 +29,7 @@ def test_describe_and_preview(spark):
     cols = adhoc.describe(spark, "driver_standings")
     assert cols[0] == "season_year (int)" and "championship_position (bigint)" in cols
     text = adhoc.preview(spark.table("driver_standings"), 3)
-    assert len(text.splitlines()) == 4
+    assert len(text.splitlines()) == 5 and "there are more" in text
 
 
 def test_season_parameter_prunes_stored_partitions(spark, scratch):
@@ -47,3 +47,19 @@ def test_exclude_testing_events(spark):
     cal = spark.createDataFrame([(2024, 0, "Pre-Season Testing"), (2024, 1, "Bahrain Grand Prix")],
                                 "year int, round int, event_name string")
     assert [r["round"] for r in staging.exclude_testing_events(cal).collect()] == [1]
+
+
+def test_errors_while_running_and_comments_and_cuts(spark, scratch):
+    text, failed = adhoc.answer(spark, "SELECT 1 / (id - 1) AS x FROM range(3)")
+    assert failed and text.startswith(adhoc.ERROR_PREFIX) and len(text) > len(adhoc.ERROR_PREFIX)
+    text, failed = adhoc.answer(spark, "SELECT count(*) AS n FROM range(7) -- all of them")
+    assert not failed and text.split() == ["n", "7"]
+    for sql in ("SELECT java_method('java.lang.System', 'lineSeparator')", f"SELECT * FROM parquet.`{SF_SMALL}/nation.parquet`"):
+        text, failed = adhoc.answer(spark, sql)
+        assert failed and len(text) > len(adhoc.ERROR_PREFIX), sql
+    text, failed = adhoc.answer(spark, "SELECT id FROM range(250)")
+    assert not failed and "there are more" in text
+    assert "there are more" not in adhoc.answer(spark, "SELECT id FROM range(100)")[0]
+    out = scratch("answer")
+    assert adhoc.answer(spark, "SELECT id FROM range(250)", output=out) == (f"written to {out}", False)
+    assert spark.read.option("header", True).csv(out).count() == 250
