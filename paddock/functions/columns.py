@@ -69,6 +69,11 @@ def to_int(x) -> Column:
     return F.rint(_col(x).cast("double")).cast("int")
 
 
+def exact_points(x) -> Column:
+    """Points as DECIMAL, so that their sums do not depend on the order of the rows."""
+    return _col(x).cast("decimal(18,6)")
+
+
 def nan_to_null(x) -> Column:
     """NaN -> null, so a later integer cast cannot fail and aggregates skip the value."""
     c = _col(x)

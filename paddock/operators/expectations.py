@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The marts' tests: (table, column) pairs that must not be null, and the unique combination.
+# The marts' tests, (table, column) pairs that must not be null, and the unique combination.
 NOT_NULL_TESTS = (
     ("driver_standings", "driver_code"),
     ("driver_standings", "season_year"),

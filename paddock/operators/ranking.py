@@ -52,41 +52,32 @@ def desc(c: str) -> Column:
     return F.col(c).desc_nulls_last()
 
 
-def distributed_row_number(df: DataFrame, partition_by, order_by, out: str, num_partitions: int | None = None) -> DataFrame:
+def distributed_row_number(df: DataFrame, partition_by, buckets, order_by, out: str) -> DataFrame:
     """``row_number() OVER (PARTITION BY p ORDER BY o)`` without sending a whole group to one task.
 
     A window sends every row of a group to one task, and a group here (the drivers of a season) grows
-    with the data. Instead the rows are range-partitioned on the full order (group keys first), so a
-    large group is cut into many ranges (Spark samples the sort keys to balance them; ties are split
-    too because the order is total), each range is sorted inside its task, and a row's number is its
-    position inside its (group, range) block plus the rows of its group in earlier ranges.
-
-    - local position: ``monotonically_increasing_id()`` numbers the rows of a partition in the order
-      the sorted task emits them (its low 33 bits are the record number, as documented);
-    - the numbered rows are materialised once with ``checkpoint()`` (the session's shared checkpoint
-      folder), so the block counts and the rows are read from the same layout — two executions of a
-      range exchange could sample different bounds;
-    - offsets: one aggregate row per (group, range), bounded by ``num_partitions`` x #groups, a
-      prefix sum over ranges, and an equi-join back (broadcast when AQE measures it small).
-    ``order_by`` must make the order total (append tie-breakers), as for any reproducible row_number.
+    with the data. Instead a group is cut into ``buckets``: (column name, descending) pairs, non-null columns
+    whose order is a coarsening of ``order_by`` (the points, then the head of a name). Rows are counted per
+    (group, bucket), combined map-side; a running sum of the counts over a group's buckets gives the
+    rows before each; and a window numbers the rows of one bucket. Everything stays lazy, so filters on the
+    group reach the scan and unused columns are pruned. ``order_by`` must make the order total.
     """
-    from paddock.session import checkpoint_root
-
-    spark = df.sparkSession
-    checkpoint_root(spark)  # make sure a checkpoint folder is configured (tests set a local one)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = list(partition_by)
-    full = [F.col(c).asc_nulls_last() for c in part] + _cols(order_by)
-    pos = (df.repartitionByRange(n, *full).sortWithinPartitions(*full)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-           .checkpoint(eager=True))
-    blocks = pos.groupBy(*part, "_pid").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(part)],
-                            F.col("_pid").alias("_opid"), "_first",
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    cond = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(part)] + [F.col("_pid") == F.col("_opid")]
-    return (pos.join(offsets, cond)
-            .withColumn(out, (F.col("_before") + F.col("_idx") - F.col("_first") + 1).cast("bigint"))
+    part, names = list(partition_by), [n for n, _ in buckets]
+    counts = df.groupBy(*part, *names).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col(n).desc() if descending else F.col(n).asc() for n, descending in buckets]
+    before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate([*part, *names])],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*part, *names).orderBy(*_cols(order_by))
+    numbered = df.withColumn("_rn", F.row_number().over(inside))
+    cond = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate([*part, *names])]
+    return (numbered.join(offsets, cond).withColumn(out, (F.col("_before") + F.col("_rn")).cast("bigint"))
             .select(*df.columns, out))
+
+
+def sorted_values(df: DataFrame, group_by, value: str, out: str, descending: bool = False) -> DataFrame:
+    """The different values per group with their place in sorted order, nulls last (O6): row order does not
+    survive a stored table, a place does. One row per different value reaches the numbering."""
+    v = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    w = Window.partitionBy(*group_by).orderBy(v) if group_by else Window.orderBy(v)
+    return df.select(*group_by, value).distinct().withColumn(out, F.row_number().over(w).cast("bigint"))

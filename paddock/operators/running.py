@@ -4,25 +4,24 @@ that survives a hot partition key.
 A plain window sends every row of one partition key to one task; if one driver or user holds a third
 of all rows, that task holds a third of the data. Here the sum is split in two levels:
 
-1. ``chunk`` is a coarse, non-null column that is monotone in the order (the leading order column
-   or a bucket of it: the round of a result, the day of an event). The rows of one (key, chunk)
+1. ``chunk`` is a coarse column that is monotone in the order (the leading order column or a bucket
+   of it: the round of a result, the hour of an event; null with it). The rows of one (key, chunk)
    are summed by a window partitioned by key *and* chunk, so a hot key is spread over its chunks.
-2. Per (key, chunk) totals get an exclusive prefix sum over the chunks of the key. That window sees
-   at most #chunks rows per key (bounded by the calendar, not by data volume).
+2. Per (key, chunk) totals, combined map-side from the input itself, get an exclusive prefix sum over the
+   chunks of the key. That window sees at most #chunks rows per key (bounded by the calendar).
 3. An equi-join on (key, chunk) adds the offset to the in-chunk sum. The detail side is already
-   hash-partitioned on exactly those columns by step 1, so only the small offsets side shuffles.
+   hash-partitioned on exactly those columns by step 1, so only the small offsets side shuffles: the rows
+   themselves cross one exchange.
 
-Steps 1 and 2 read one explicit ``repartition`` on (key, chunk): Spark plans the second use as a
-``ReusedExchange``, so the input (often a join) is computed and shuffled once, not once per branch.
-
-Null partition keys form their own group (as in SQL): keys are joined through a coalesced value
-plus an is-null flag so the equi-join stays a plain hash/sort-merge join.
+Null partition keys form their own group (as in SQL) and null order values come last, as a chunk of
+their own: both are joined through a coalesced value plus an is-null flag, so the equi-join stays a
+plain hash/sort-merge join and no row is lost.
 Exact for integral and DECIMAL values; sum DOUBLE fractions through DECIMAL (T6).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,35 +42,30 @@ def running_sum(df: DataFrame, partition_by, order_by, value: str, out: str, chu
     """Add column ``out`` = running sum of ``value`` per ``partition_by`` in ``order_by`` order.
 
     ``order_by`` is a list of column names or Columns; its first element must be ``chunk`` (or a
-    column that ``chunk`` is a monotone bucket of). With ``chunk=None`` a single window is used.
+    column that ``chunk`` is a monotone bucket of); names are ordered ascending, nulls last. With ``chunk=None`` a single window is used.
     """
     part = list(partition_by)
-    orders = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    orders = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
     if chunk is None:
         w = Window.partitionBy(*part).orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(w))
 
     types = {f.name: f.dataType for f in df.schema.fields}
     keys = []
-    staged = df
-    for i, c in enumerate(part):
-        staged = (staged.withColumn(f"_rk{i}", F.coalesce(F.col(c), _default_for(types[c])))
-                  .withColumn(f"_rn{i}", F.col(c).isNull()))
+    for i, c in enumerate([*part, chunk]):
+        df = (df.withColumn(f"_rk{i}", F.coalesce(F.col(c), _default_for(types[c])))
+              .withColumn(f"_rn{i}", F.col(c).isNull()))
         keys += [f"_rk{i}", f"_rn{i}"]
-    ck = keys + [chunk]
-    staged = staged.repartition(*ck)
-
-    w_in = Window.partitionBy(*ck).orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    detail = staged.withColumn("_in_chunk", F.sum(value).over(w_in))
-
-    totals = staged.groupBy(*ck).agg(F.sum(value).alias("_chunk_sum"))
-    w_prev = Window.partitionBy(*keys).orderBy(F.col(chunk).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*ck, F.coalesce(F.sum("_chunk_sum").over(w_prev), F.lit(0)).alias("_offset"))
+    group, (in_chunk, no_chunk) = keys[:-2], keys[-2:]
 
-    return (detail.join(offsets, ck)
-            .withColumn(out, F.col("_offset") + F.col("_in_chunk"))
-            .drop("_offset", "_in_chunk", *keys))
+    w_in = Window.partitionBy(*keys).orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    detail = df.withColumn("_in_chunk", F.sum(value).over(w_in))
 
+    totals = df.groupBy(*keys).agg(F.sum(value).alias("_chunk_sum"))
+    w_prev = (Window.partitionBy(*group).orderBy(F.col(no_chunk), F.col(in_chunk))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(*keys, F.sum("_chunk_sum").over(w_prev).alias("_offset"))
 
-def as_double(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
+    # a sum over nulls only stays null, as in SQL
+    whole = F.when(F.col("_offset").isNull(), F.col("_in_chunk")).otherwise(F.col("_offset") + F.coalesce("_in_chunk", F.lit(0)))
+    return detail.join(offsets, keys).withColumn(out, whole).drop("_offset", "_in_chunk", *keys)

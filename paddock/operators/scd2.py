@@ -59,10 +59,10 @@ def snapshot_step(target: VersionedTable, source: DataFrame, key: str, check_col
     cur = target.read()
     cols = cur.columns
     src_cols = [c for c in cols if not c.startswith("dbt_")]
-    open_ = cur.where(F.col("dbt_valid_to").isNull()).alias("o")
-    s = source.select(*src_cols).alias("s")
-    j = open_.join(s, F.col(f"o.{key}") == F.col(f"s.{key}"), "full_outer")
-    o_present, s_present = F.col(f"o.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    open_ = cur.where(F.col("dbt_valid_to").isNull()).withColumn("_there", F.lit(True)).alias("o")
+    s = source.select(*src_cols).withColumn("_there", F.lit(True)).alias("s")
+    j = open_.join(s, F.col(f"o.{key}").eqNullSafe(F.col(f"s.{key}")), "full_outer")  # a null key is a key
+    o_present, s_present = F.col("o._there").isNotNull(), F.col("s._there").isNotNull()
     changed = o_present & s_present & _distinct([F.col(f"o.{c}") for c in check_cols],
                                                 [F.col(f"s.{c}") for c in check_cols])
     ts = run_ts.cast("timestamp_ntz")

@@ -97,6 +97,7 @@ SELECT {sk('year', 'round', 'driver_code')} AS fastest_lap_sk,
        event_name, driver_code, team AS team_name, round(lap_time_seconds, 3) AS lap_time_seconds
 FROM raw_fastest_laps"""
 
+# Fixed values in the CASE: the labels of finishing positions.
 DRIVER_STANDINGS = """
 SELECT *, row_number() OVER (PARTITION BY season_year
           ORDER BY total_points DESC, driver_code, driver_name, team_name) AS championship_position
@@ -168,6 +169,7 @@ ORACLES: dict[str, str] = {
 }
 
 # --- scalar functions ----------------------------------------------------------------------------
+# The colour table of the dashboard, in its natural order.
 COLOURS_SQL = """
 SELECT n.n_name AS team, v.colour FROM nation n JOIN (VALUES
   (0, '#3671C6'), (1, '#E8002D'), (2, '#27F4D2'), (3, '#FF87BC'), (4, '#FF8000'), (5, '#C92D4B'),
@@ -187,6 +189,7 @@ FROM lineitem""",
         f"SELECT l_orderkey, l_linenumber, round(lap_time_seconds, 3) AS lap_time_seconds, "
         f"{LAP_FMT.format(s='round(lap_time_seconds, 3)')} AS lap_time_formatted FROM laps_like",
         laps_like=LAPS_LIKE),
+    # fixed values: the labels of finishing positions
     "classify_position": with_("""
 SELECT l_orderkey, l_linenumber, finish_position,
        CASE WHEN finish_position = 1 THEN 'Victoria'
@@ -286,7 +289,23 @@ WHERE f.rn = 1""", **CUM_STACK, colours=COLOURS_SQL),
 SELECT season_year, driver_name, max(cumulative_points) AS final_points,
        CAST(CAST(trunc(max(cumulative_points)) AS INTEGER) AS VARCHAR) || ' pts' AS final_label
 FROM cum GROUP BY season_year, driver_name""", **CUM_STACK),
-    "distinct_sorted": with_("SELECT DISTINCT season_year, driver_name FROM stg_results", **RESULTS_STACK),
+    "distinct_sorted": with_("""
+SELECT *, row_number() OVER (PARTITION BY season_year ORDER BY driver_name NULLS LAST) AS place
+FROM (SELECT DISTINCT season_year, driver_name FROM stg_results) d""", **RESULTS_STACK),
+    "seasons_descending": with_("""
+SELECT *, row_number() OVER (ORDER BY season_year DESC NULLS LAST) AS place
+FROM (SELECT DISTINCT season_year FROM stg_races) d""", **RACES_STACK),
+    "season_slice_bound": with_(SEASON_SLICE + "\nWHERE season_year = 1996\nORDER BY championship_position", **STANDINGS_STACK),
+    "cumulative_points_sparse": with_(f"""
+SELECT season_year, driver_name, driver_code, team_name, round_number,
+       CAST(sum(CAST(points_scored AS DECIMAL(18,6))) OVER (PARTITION BY season_year, driver_code
+                                ORDER BY round_number NULLS LAST, {TIEBREAK_COLS}
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_points,
+       {TIEBREAK_COLS}
+FROM stg_results""", raw_all=RESULTS_LIKE,
+                                      raw_results="""
+SELECT * REPLACE (CASE WHEN l_linenumber <> 1 THEN round END AS round, l_quantity / CAST(10.0 AS DOUBLE) AS points) FROM raw_all""",
+                                      stg_results=stg_results_sql(extra=", " + TIEBREAK_COLS)),
     "season_laps": with_(SEASON_LAPS, **ENRICHED_STACK),
     "lap_axis_bounds": with_("""
 SELECT season_year, min(lap_time_seconds) * CAST(0.995 AS DOUBLE) AS y_min,
@@ -397,10 +416,20 @@ def _laps_of(batch_pred: str) -> str:
 
 ORACLES.update({
     "schema_clone": with_(f"SELECT {RAW_COLS} FROM raw_results WHERE 1 = 0", raw_results=RESULTS_LIKE),
-    "replace_season": with_("""
-SELECT * FROM r1 WHERE year NOT IN (1998, 1999, 2000, 2001)
-UNION ALL SELECT * FROM r2 WHERE year IN (1998, 1999, 2000, 2001)""",
-                            o1=ORDERS_B1, o2=ORDERS_B2, r1=races_like("o1"), r2=races_like("o2")),
+    # every season ends with the calendar of its last batch, and the last batch of a season holds all of it
+    "replace_season": with_("SELECT * FROM raw_races", raw_races=RACES_LIKE),
+    "ingest_results": with_("""
+SELECT l.year, l.round, c.event_name, coalesce(driver_number, '') AS driver_number, coalesce(driver_code, '') AS driver_code,
+       full_name, team, position, points, coalesce(status, '') AS status
+FROM landed l JOIN raw_races c ON l.year = c.year AND l.round = c.round""", raw_races=RACES_LIKE, landed=f"""
+SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year, {ROUND_OF.format(c='o.o_orderdate')} AS round,
+       CASE WHEN l.l_suppkey % 5 <> 0 THEN CAST(l.l_suppkey AS VARCHAR) END AS driver_number,
+       CASE WHEN l.l_suppkey % 3 <> 0 THEN s.s_name END AS driver_code, 'Driver ' || s.s_name AS full_name, n.n_name AS team,
+       CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(ceil(l.l_quantity / 2.5) AS DOUBLE) END AS position,
+       CASE WHEN l.l_returnflag = 'A' THEN NULL ELSE 51.0 - l.l_quantity END AS points,
+       CASE WHEN l.l_linestatus = 'F' THEN 'Finished' END AS status
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE l.l_linenumber <> 7"""),
     "csv_round_trip": with_(f"SELECT {RAW_COLS} FROM raw_results", raw_results=RESULTS_LIKE),
     "incremental_not_in": with_(f"""
 SELECT * FROM (SELECT {RAW_COLS}, {rid()} AS race_id FROM raw_results) x
@@ -462,7 +491,26 @@ versions AS (
   FROM starts)
 """
 
+DRIVER_TEAM_VERSIONS = f"""
+WITH rows AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS season_year, {ROUND_OF.format(c='o_orderdate')} AS round, 'D' || l_suppkey AS driver_code,
+         n_name AS team_name, l_orderkey, l_linenumber, {BATCH_OF} AS batch
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+run AS (SELECT * FROM (VALUES (1, {CUT1}), (2, {CUT2}), (3, TIMESTAMP '2002-01-01 00:00:00')) v(run, ts)),
+latest AS (
+  SELECT run, ts, season_year, driver_code, team_name FROM (
+    SELECT *, row_number() OVER (PARTITION BY run, season_year, driver_code ORDER BY round DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+    FROM rows JOIN run ON batch <= run) t WHERE rn = 1),
+flagged AS (
+  SELECT *, {sk('driver_code', 'season_year')} AS driver_team_sk, row_number() OVER w AS rn, lag(team_name) OVER w AS prev
+  FROM latest WINDOW w AS (PARTITION BY season_year, driver_code ORDER BY run)),
+starts AS (SELECT * FROM flagged WHERE rn = 1 OR prev IS DISTINCT FROM team_name)
+SELECT driver_code, season_year, team_name, driver_team_sk, md5(driver_team_sk || '|' || CAST(ts AS VARCHAR)) AS dbt_scd_id,
+       ts AS dbt_updated_at, ts AS dbt_valid_from, lead(ts) OVER (PARTITION BY driver_team_sk ORDER BY ts) AS dbt_valid_to
+FROM starts"""
+
 ORACLES.update({
+    "scd2_driver_team": DRIVER_TEAM_VERSIONS,
     "scd2_history": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
     "scd2_current": SNAPSHOT_VERSIONS + "SELECT * FROM versions WHERE dbt_valid_to IS NULL",
 })

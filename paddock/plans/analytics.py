@@ -13,10 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.functions.columns import points_label, round_half_away, short_event_name
+from paddock.functions.columns import exact_points, points_label, round_half_away, short_event_name
 from paddock.operators.lookup import lookup_with_default
 from paddock.operators.ranking import asc, desc, first_n_distinct, first_value_by, top_k, top_k_per_group
 from paddock.operators.running import running_sum
+from paddock.plans.marts import championship_order, fastest_laps_enriched
 from paddock.sources.bindings import DEFAULT_COLOUR
 
 
@@ -24,9 +25,14 @@ def _season(df: DataFrame, season, col="season_year") -> DataFrame:
     return df if season is None else df.where(F.col(col) == F.lit(season))
 
 
+def _in_order(df: DataFrame, season, *order) -> DataFrame:
+    """One season is shown in order (O2); over all seasons a stored result has no row order."""
+    return df if season is None else df.orderBy(*order)
+
+
 # -- D1 / D2: drivers page ----------------------------------------------------------------------
 def season_slice(standings: DataFrame, season=None) -> DataFrame:
-    return _season(standings, season).select(
+    return _in_order(_season(standings, season).select(
         "season_year",
         F.col("championship_position").alias("#"),
         F.col("driver_name").alias("Piloto"),
@@ -35,12 +41,14 @@ def season_slice(standings: DataFrame, season=None) -> DataFrame:
         F.col("wins").alias("Victorias"),
         F.col("podiums").alias("Podios"),
         F.col("races_entered").alias("Carreras"),
-        round_half_away("avg_finish_position", 1).alias("Pos_Media"))
+        round_half_away("avg_finish_position", 1).alias("Pos_Media")), season, asc("#"))
 
 
-def top10_drivers(standings: DataFrame, colours: DataFrame, season=None) -> DataFrame:
-    """Ten best of each season by championship position, with the team colour (default if none)."""
-    top = top_k_per_group(season_slice(standings, season), ["season_year"], [asc("#")], 10)
+def top10_drivers(totals: DataFrame, colours: DataFrame, season=None) -> DataFrame:
+    """Ten best of each season in championship order, with the team colour (default if none). The first k places
+    need no numbering of the rest: each task forwards its ten best per season."""
+    ranked = top_k_per_group(_season(totals, season), ["season_year"], championship_order(), 10, rank_col="championship_position")
+    top = season_slice(ranked)
     return lookup_with_default(top.select("season_year", "#", "Piloto", "Equipo", "Puntos", "Victorias", "Podios"),
                                "Equipo", colours, "team", "colour", DEFAULT_COLOUR)
 
@@ -63,14 +71,16 @@ def cumulative_points(stg_results: DataFrame, tiebreak=(), season=None, block_fi
     if block_first_tiebreak and tiebreak:
         chunk = chunk * F.lit(1 << CHUNK_ROUND_SHIFT) + F.shiftright(F.col(tiebreak[0]).cast("long"), CHUNK_BLOCK_BITS)
     df = df.withColumn("_chunk", chunk)
-    out = running_sum(df, ["season_year", "driver_code"], ["round_number", *tiebreak], "points_scored",
-                      "cumulative_points", chunk="_chunk")
+    out = running_sum(df.withColumn("_points", exact_points("points_scored")), ["season_year", "driver_code"],
+                      ["round_number", *tiebreak], "_points", "cumulative_points", chunk="_chunk")
+    out = out.withColumn("cumulative_points", F.col("cumulative_points").cast("double"))
     return out.select("season_year", "driver_name", "driver_code", "team_name", "round_number",
                       "cumulative_points", *tiebreak)
 
 
 def points_evolution(cumulative: DataFrame, stg_races: DataFrame) -> DataFrame:
-    """Left join to the calendar on (season, round), null-safe like a pandas merge."""
+    """Left join to the calendar on (season, round), null-safe like a pandas merge. A chart of one season draws
+    it in round order."""
     r = stg_races.select(F.col("season_year").alias("_sy"), F.col("round_number").alias("_rn"), "event_name")
     cond = F.col("season_year").eqNullSafe(F.col("_sy")) & F.col("round_number").eqNullSafe(F.col("_rn"))
     return cumulative.join(r, cond, "left").drop("_sy", "_rn")
@@ -115,7 +125,7 @@ def season_laps(enriched: DataFrame, season=None) -> DataFrame:
         F.col("lap_time_formatted").alias("Tiempo"),
         F.col("lap_time_seconds").alias("Segundos"),
         F.col("fastest_lap_rank_in_season").alias("Rank_Temporada"))
-    return full
+    return _in_order(full, season, asc("Ronda"))
 
 
 def season_laps_table(enriched: DataFrame, season=None) -> DataFrame:
@@ -160,8 +170,8 @@ def team_colour_lookup(performance: DataFrame, colours: DataFrame) -> DataFrame:
 
 
 # -- H2-H6: the chatbot's example questions, for every season ------------------------------------------
-def q_most_wins(standings: DataFrame) -> DataFrame:
-    top = top_k_per_group(standings, ["season_year"], [desc("wins"), asc("championship_position")], 1)
+def q_most_wins(totals: DataFrame) -> DataFrame:
+    top = top_k_per_group(totals, ["season_year"], [desc("wins"), *championship_order()], 1)
     return top.select("season_year", "driver_name", "team_name", "wins")
 
 
@@ -169,17 +179,19 @@ def q_most_points_team(performance: DataFrame) -> DataFrame:
     return performance.where(F.col("constructors_position") == 1).select("season_year", "team_name", "total_points")
 
 
-def q_fastest_lap_overall(enriched: DataFrame) -> DataFrame:
-    return top_k(enriched, [asc("lap_time_seconds"), asc("season_year"), asc("round_number")], 1).select(
+def q_fastest_lap_overall(stg_fastest_laps: DataFrame, stg_races: DataFrame) -> DataFrame:
+    """The one lap first, then its calendar row and display columns."""
+    one = top_k(stg_fastest_laps, [asc("lap_time_seconds"), asc("season_year"), asc("round_number")], 1)
+    return fastest_laps_enriched(one, stg_races).select(
         "season_year", "round_number", "event_name", "driver_code", "team_name", "lap_time_formatted",
         "lap_time_seconds")
 
 
-def q_driver_podiums(standings: DataFrame) -> DataFrame:
-    return (standings.groupBy("season_year", "driver_code", "driver_name")
+def q_driver_podiums(totals: DataFrame) -> DataFrame:
+    return (totals.groupBy("season_year", "driver_code", "driver_name")
             .agg(F.sum("podiums").cast("bigint").alias("podiums")))
 
 
-def q_most_finishes(standings: DataFrame) -> DataFrame:
-    top = top_k_per_group(standings, ["season_year"], [desc("races_finished"), asc("championship_position")], 1)
+def q_most_finishes(totals: DataFrame) -> DataFrame:
+    top = top_k_per_group(totals, ["season_year"], [desc("races_finished"), *championship_order()], 1)
     return top.select("season_year", "driver_name", "races_finished")

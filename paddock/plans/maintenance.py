@@ -23,9 +23,12 @@ from paddock.sources import bindings as b
 from paddock.sources.readers import conform, read_csv
 
 BATCHES = (1, 2, 3)
-# Seasons re-ingested after the first load in ``replace_season`` (fixture parameter): the last one
-# has no rows in batch 2, so its replacement is empty and the season is emptied.
-REPLACED_SEASONS = (1998, 1999, 2000, 2001)
+# First season re-ingested with a batch in ``replace_season`` (fixture parameter): the batch's own first season.
+FIRST_REPLACED = {2: 1998, 3: 2000}
+# Season that the first run of ``append_new_rounds`` does not list although its landing holds it.
+UNLISTED_SEASON = 1996
+# As-of dates of the driver/team snapshot runs, one after each batch.
+SNAPSHOT_RUNS = (*b.BATCH_CUTS, "2002-01-01")
 
 
 def _raw_results(spark, d, batch=None) -> DataFrame:
@@ -57,13 +60,15 @@ def schema_clone(spark: SparkSession, d: str, root: str | None = None) -> DataFr
 
 
 def replace_season(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
-    """Load the batch-1 calendar, then replace each of ``REPLACED_SEASONS`` with its batch-2
-    calendar (delete the season's rows, insert the new ones; an empty season ends up empty)."""
+    """Load the batch-1 calendar; with each later batch replace its seasons' calendars (delete the seasons'
+    rows, insert the new ones) in one commit. The batch's seasons are a date range on the orders scan; a
+    season without orders in the batch ends up empty (T11) until a later batch fills it."""
     t = VersionedTable(spark, root or scratch_dir(spark, "raw_races"), partition_by=["year"])
     t.overwrite(_raw_races(spark, d, 1))
-    fresh = _raw_races(spark, d, 2)
-    for season in REPLACED_SEASONS:
-        t.replace_partitions(fresh.where(F.col("year") == season), [season])
+    last = max(b.order_years(spark, d), default=0)
+    for k, first in FIRST_REPLACED.items():
+        orders = b.orders_in_batch(spark, d, k).where(F.col("o_orderdate") >= F.lit(f"{first}-01-01").cast("timestamp_ntz"))
+        t.replace_partitions(b.races_like(spark, d, orders), range(first, last + 1))
     return t.read()
 
 
@@ -82,16 +87,18 @@ def incremental_not_in(spark: SparkSession, d: str) -> DataFrame:
 
 
 def append_new_rounds(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
-    """Per landed batch, append the result rows of rounds not yet in raw_results."""
+    """Per landed batch, append the result rows of rounds not yet in raw_results. Each run is about the
+    seasons it lists: a landed season that it does not list waits for the next run."""
     t = VersionedTable(spark, root or scratch_dir(spark, "raw_results"), partition_by=["year"])
+    years = b.order_years(spark, d)
     for k in BATCHES:
         landed = conform(_raw_results(spark, d, k), schemas.RAW_RESULTS)
-        t.append(inc.append_unseen(t, landed, keys=("year", "round")))
+        t.append(inc.append_unseen(t, landed, keys=("year", "round"), seasons=[y for y in years if k > 1 or y != UNLISTED_SEASON]))
     return t.read()
 
 
 def _incremental(spark, d, root, name, raw_of, stage) -> DataFrame:
-    t = VersionedTable(spark, root or scratch_dir(spark, name), partition_by=["season_year"], catalog_key="race_id")
+    t = VersionedTable(spark, root or scratch_dir(spark, name), partition_by=["season_year"])
     for k in BATCHES:
         inc.incremental_stage(t, raw_of(spark, d, k), stage, race_id("year", "round"))
     return t.read()
@@ -155,13 +162,36 @@ def scd2_closed_form(spark: SparkSession, d: str) -> DataFrame:
     return scd2.history(src, "snapshot_sk", ["o_orderpriority"], "snapshot_year", _run_ts(F.col("snapshot_year")))
 
 
+def scd2_driver_team(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """K8/I5 on drivers and teams: after each batch, one snapshot run over the staged results, check strategy on
+    the team. A driver who moved within a season has that of the latest row (``latest_per_key``)."""
+    t = VersionedTable(spark, root or scratch_dir(spark, "driver_team"), partition_by=["dbt_valid_to"])
+    for k, ts in zip(BATCHES, SNAPSHOT_RUNS):
+        raw = b.transfers_like(spark, d).where(b.upto_batch(k))
+        staged = staging.stage_results(raw, keep=("l_orderkey", "l_linenumber"))
+        latest = scd2.latest_per_key(staged, ["driver_code", "season_year"], ["team_name"], ["round_number", "l_orderkey", "l_linenumber"])
+        source = latest.withColumn("driver_team_sk", surrogate_key("driver_code", "season_year"))
+        scd2.snapshot_step(t, source, "driver_team_sk", ["team_name"], F.lit(ts).cast("timestamp_ntz"))
+    return t.read()
+
+
+def ingest_results(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """J7, F9, X17, X18 on the build path: the results that a landing with gaps leaves in the raw table."""
+    from paddock.plans.build import Warehouse, land, prepare, seasons_of
+
+    wh = Warehouse(spark, root or scratch_dir(spark, "ingest"))
+    landing = prepare(wh, b.landing_with_gaps(spark, d))
+    land(wh, landing, seasons_of(landing))
+    return wh.raw_results.read()
+
+
 def stream_incremental_results(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """I2 as a stream: each batch's new rows land as files, then one ``availableNow`` trigger stages
     them into the versioned target through ``foreachBatch``."""
     from paddock.streaming.incremental import stream_incremental_stage
 
     root = root or scratch_dir(spark, "stream")
-    target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"], catalog_key="race_id")
+    target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"])
     raw = b.results_like(spark, d)
     for k in BATCHES:
         conform(raw.where(b.in_batch(k)), schemas.RAW_RESULTS).write.mode("append").parquet(f"{root}/landing")

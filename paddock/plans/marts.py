@@ -3,9 +3,10 @@
 Plan shape (``explain`` of ``driver_standings``): parquet scan with the not-null filter pushed down
 -> partial HashAggregate (map-side combine, so a hot driver costs one row per task) -> exchange on
 the 4 group keys -> final HashAggregate -> ranking. Ranking runs after aggregation, on one row per
-driver and season; because the drivers of one season still grow with the data, the championship
-position is numbered over range partitions (``distributed_row_number``) instead of one window task
-per season. Constructors and per-season laps are bounded by the calendar and use plain windows.
+driver and season (``driver_totals``, all that a top-k needs); because the drivers of one season still grow
+with the data, the championship position is numbered per bucket of points (``distributed_row_number``)
+instead of in one window task per season. Constructors and per-season laps are bounded by the
+calendar and use plain windows. Points are summed as DECIMAL: a sum of doubles depends on its order.
 
 Ties in points are broken by the group keys (ascending, nulls last) so ranks are deterministic.
 """
@@ -22,6 +23,7 @@ from paddock.functions.columns import (
     POINTS_POSITION,
     WIN_POSITION,
     classify_position,
+    exact_points,
     format_lap_time,
     round_half_away,
 )
@@ -31,23 +33,44 @@ def _count_if(cond):
     return F.count(F.when(cond, F.lit(1)))
 
 
-def driver_standings(stg_results: DataFrame) -> DataFrame:
+def _points():
+    return F.sum(exact_points("points_scored")).cast("double")
+
+
+DRIVER_KEYS = ["season_year", "driver_code", "driver_name", "team_name"]
+
+
+def championship_order():
+    """The championship's order within a season; total, because the keys are those of the rows."""
+    return [F.col("total_points").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in DRIVER_KEYS[1:]]]
+
+
+def driver_totals(stg_results: DataFrame) -> DataFrame:
+    """The standings without the position."""
     pos = F.col("finish_position")
-    keys = ["season_year", "driver_code", "driver_name", "team_name"]
-    standings = (stg_results.where(pos.isNotNull())
-                 .groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias("races_entered"),
-                      F.sum("points_scored").alias("total_points"),
-                      _count_if(pos == WIN_POSITION).alias("wins"),
-                      _count_if(pos <= PODIUM_POSITION).alias("podiums"),
-                      _count_if(pos <= POINTS_POSITION).alias("points_finishes"),
-                      _count_if(F.col("status") == FINISHED_STATUS).alias("races_finished"),
-                      round_half_away(F.avg(pos), 2).alias("avg_finish_position"),
-                      F.min(pos).alias("best_finish"),
-                      classify_position(F.min(pos)).alias("best_finish_label")))
-    # drivers per season grow with the data: number them with range partitions, not one window task
-    order = [F.col("total_points").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys[1:]]]
-    return distributed_row_number(standings, ["season_year"], order, "championship_position")
+    return (stg_results.where(pos.isNotNull())
+            .groupBy(*DRIVER_KEYS)
+            .agg(F.count(F.lit(1)).alias("races_entered"),
+                 _points().alias("total_points"),
+                 _count_if(pos == WIN_POSITION).alias("wins"),
+                 _count_if(pos <= PODIUM_POSITION).alias("podiums"),
+                 _count_if(pos <= POINTS_POSITION).alias("points_finishes"),
+                 _count_if(F.col("status") == FINISHED_STATUS).alias("races_finished"),
+                 round_half_away(F.avg(pos), 2).alias("avg_finish_position"),
+                 F.min(pos).alias("best_finish"),
+                 classify_position(F.min(pos)).alias("best_finish_label")))
+
+
+def driver_standings(stg_results: DataFrame) -> DataFrame:
+    totals = driver_totals(stg_results)
+    # buckets: equal points, and among those the head of the code
+    rows = (totals.withColumn("_no_points", F.col("total_points").isNull())
+            .withColumn("_points", F.coalesce("total_points", F.lit(0.0)))
+            .withColumn("_no_code", F.col("driver_code").isNull())
+            .withColumn("_head", F.coalesce(F.substring("driver_code", 1, 16), F.lit(""))))
+    numbered = distributed_row_number(rows, ["season_year"], [("_no_points", False), ("_points", True), ("_no_code", False), ("_head", False)],
+                                      championship_order(), "championship_position")
+    return numbered.select(*totals.columns, "championship_position")
 
 
 def team_performance(stg_results: DataFrame) -> DataFrame:
@@ -58,7 +81,7 @@ def team_performance(stg_results: DataFrame) -> DataFrame:
                  .groupBy("season_year", "team_name")
                  .agg(F.count_distinct("driver_code").alias("drivers_count"),
                       F.count(F.lit(1)).alias("total_entries"),
-                      F.sum("points_scored").alias("total_points"),
+                      _points().alias("total_points"),
                       _count_if(pos == WIN_POSITION).alias("wins"),
                       _count_if(pos <= PODIUM_POSITION).alias("podiums"),
                       round_half_away(F.avg(pos), 2).alias("avg_finish_position")))

@@ -38,6 +38,10 @@ def stg_fastest_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_fastest_laps(raw_fastest_laps(spark, sf_dir))
 
 
+def driver_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.driver_totals(stg_results(spark, sf_dir))
+
+
 def driver_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.driver_standings(stg_results(spark, sf_dir))
 

@@ -137,14 +137,53 @@ def races_like(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
     o = orders if orders is not None else table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return (o.select("o_custkey", "o_orderdate")
-            .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .groupBy(F.year("o_orderdate").cast("int").alias("year"), season_week("o_orderdate").alias("round"))
-            .agg(F.min_by("n_name", "n_nationkey").alias("country"),
-                 F.min("o_orderdate").cast("date").alias("date"))
+    # the least key by a hash aggregate over the orders; its name joins the few rows that are left
+    races = (o.select("o_custkey", "o_orderdate")
+             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+             .join(nation.select("n_nationkey"), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
+             .groupBy(F.year("o_orderdate").cast("int").alias("year"), season_week("o_orderdate").alias("round"))
+             .agg(F.min("c_nationkey").alias("_nation"), F.min("o_orderdate").cast("date").alias("date")))
+    return (races.join(nation, F.col("_nation") == F.col("n_nationkey"))
             .select("year", "round", F.concat(F.lit("Round "), F.col("round").cast("string")).alias("event_name"),
-                    "country", "date"))
+                    F.col("n_name").alias("country"), "date"))
+
+
+def transfers_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_results-shaped rows in which drivers change teams: driver = supplier, team = the nation of the
+    order's customer."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    customer = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    code = F.col("l_suppkey").cast("string")
+    return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.year("o_orderdate").cast("int").alias("year"), season_week("o_orderdate").alias("round"),
+                    F.lit("").alias("event_name"), code.alias("driver_number"), F.concat(F.lit("D"), code).alias("driver_code"),
+                    F.concat(F.lit("Driver "), code).alias("full_name"), F.col("n_name").alias("team"),
+                    F.lit(1.0).alias("position"), F.lit(0.0).alias("points"), F.lit(FINISHED_STATUS).alias("status"),
+                    "o_orderdate", "l_orderkey", "l_linenumber"))
+
+
+def landing_with_gaps(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Landed frames as an ingestion may find them: drivers without a code, NaN positions, and sessions of
+    testing events, which carry round 0 in the calendar and in the results."""
+    f = line_facts(spark, sf_dir, ("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"))
+    testing = F.col("l_linenumber") == 7
+    results = f.select(
+        "year", F.when(testing, 0).otherwise(F.col("round")).alias("round"), "event_name",
+        F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey").cast("string")).alias("driver_number"),
+        F.when(F.col("l_suppkey") % 3 != 0, F.col("s_name")).alias("driver_code"),
+        F.concat(F.lit("Driver "), F.col("s_name")).alias("full_name"), F.col("n_name").alias("team"),
+        F.when(F.col("l_returnflag") == "R", F.lit(float("nan"))).otherwise(F.ceil(F.col("l_quantity") / F.lit(2.5)).cast("double")).alias("position"),
+        F.when(F.col("l_returnflag") == "A", F.lit(float("nan"))).otherwise(F.lit(51.0) - F.col("l_quantity")).alias("points"),
+        F.when(F.col("l_linestatus") == "F", F.lit(FINISHED_STATUS)).alias("status"))
+    races = races_like(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    days = races.groupBy("year").agg(F.lit(0).alias("round"), F.lit("Testing").alias("event_name"), F.first("country").alias("country"),
+                                     F.min("date").alias("date"))
+    laps = results.select("year", "round", "event_name", "driver_code", "team", F.lit(80.0).alias("lap_time_seconds"))
+    return {"raw_races": races.unionByName(days), "raw_results": results, "raw_fastest_laps": laps}
 
 
 def orders_in_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
@@ -182,8 +221,3 @@ def team_colours_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "nation", "n_nationkey", "n_name")
             .join(colours, F.col("n_nationkey") == F.col("idx"))
             .select(F.col("n_name").alias("team"), "colour"))
-
-
-def team_colours(spark: SparkSession) -> DataFrame:
-    """The dashboard's own team -> colour table (16 rows, fixed)."""
-    return spark.createDataFrame(list(TEAM_COLOURS), "team STRING, colour STRING")

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paddock.operators import expectations as ex
-from paddock.operators.incremental import first_batch_window, first_batch_wins, not_in, upsert_by_key
+from paddock.operators.incremental import first_batch_wins, not_in, upsert_by_key
 from paddock.operators.lookup import lookup_with_default
 from paddock.operators.ranking import first_n_distinct, first_value_by, top_k, top_k_per_group
 from paddock.operators.running import running_sum
@@ -97,26 +97,42 @@ def test_upsert_by_key(spark):
     assert rows(upsert_by_key(target, batch, "k")) == [(1, "x"), (2, "c"), (3, "y")]
 
 
-def test_first_batch_forms_agree(spark):
+def test_first_batch_wins_equals_its_window_form(spark):
     df = spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", 2), ("r2", 3), ("r2", 2), (None, 3), (None, 2)],
                                "race string, b int")
-    assert rows(first_batch_wins(df, "race", "b")) == rows(first_batch_window(df, "race", "b"))
+    window = (df.withColumn("_first", F.min("b").over(Window.partitionBy("race")))
+              .where(F.col("b") == F.col("_first")).drop("_first"))
+    assert rows(first_batch_wins(df, "race", "b")) == rows(window)
 
 
-@pytest.mark.parametrize("n", [1, 3, 8])
-def test_distributed_row_number_equals_window(spark, n):
+def test_distributed_row_number_equals_window(spark):
     from paddock.operators.ranking import distributed_row_number
 
-    rnd = random.Random(n)
+    rnd = random.Random(5)
     data = [(0 if i % 2 else rnd.randint(1, 4), float(rnd.randint(0, 5)), f"d{i:04d}") for i in range(1500)]
     data += [(None, 1.0, "n1"), (None, 1.0, "n0")]
-    df = spark.createDataFrame(data, "season int, pts double, code string")
+    df = spark.createDataFrame(data, "season int, pts double, code string").withColumn("head", F.substring("code", 1, 3))
     order = [F.col("pts").desc_nulls_last(), F.col("code").asc_nulls_last()]
-    got = distributed_row_number(df, ["season"], order, "rn", num_partitions=n)
+    got = distributed_row_number(df, ["season"], [("pts", True), ("head", False)], order, "rn")
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("season").orderBy(*order)).cast("bigint"))
     assert rows(got) == rows(want)
 
 
+def test_running_sum_keeps_rows_without_an_order(spark):
+    data = [("a", 1, 1, 0.1), ("a", None, 2, 0.2), ("a", 2, 3, 0.7), (None, None, 4, 0.4), ("a", None, 5, None), ("b", 1, 6, None)]
+    df = spark.createDataFrame(data, "u string, day int, seq int, v double").withColumn("v", F.col("v").cast("decimal(18,6)"))
+    got = {r.seq: None if r.run is None else float(r.run) for r in running_sum(df, ["u"], ["day", "seq"], "v", "run", chunk="day").collect()}
+    assert got == {1: 0.1, 3: 0.8, 2: 1.0, 5: 1.0, 4: 0.4, 6: None}
+
+
+def test_sorted_values_have_places(spark):
+    from paddock.operators.ranking import sorted_values
+
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None), (2, "z")], "s int, v string")
+    assert {tuple(r) for r in sorted_values(df, ["s"], "v", "p").collect()} == {(1, "a", 1), (1, "b", 2), (2, "z", 1), (2, None, 2)}
+    assert {tuple(r) for r in sorted_values(df, [], "s", "p", descending=True).collect()} == {(2, 1), (1, 2)}
+
+
 def test_cumulative_points_with_fine_blocks_equals_plain_window(spark, monkeypatch):
     from paddock.plans import analytics
 
