@@ -16,4 +16,5 @@ def test_bench_prints_one_json_line():
     assert out.returncode == 0 and len(lines) == 1, out.stderr[-2000:]
     rec = json.loads(lines[0])
     assert rec["unit"] == "sec" and rec["sf"] == 0.001 and set(rec["queries"]) == {"driver_standings", "top10_drivers"}
+    assert "failed" not in rec
     assert abs(rec["value"] - sum(rec["queries"].values())) < 0.01

@@ -74,8 +74,8 @@ def main() -> None:
              f"Generated by `tools/plan_report.py` on `{args.sf_dir}` (local[4], 8 shuffle partitions, AQE on).",
              "Counts are of operators in the final adaptive plan; at this scale AQE broadcasts every dimension,",
              "at cluster scale the same joins fall back to sort-merge joins on the same keys. Maintenance",
-             "queries (multi-step writes) show only the read of their final table; queries that number drivers",
-             "(`distributed_row_number`) start from the checkpointed, range-partitioned standings (no file scan).",
+             "queries (multi-step writes) and the training-data queries that write intermediate tables show the",
+             "plan after the last written table.",
              "",
              "| " + " | ".join(head) + " |",
              "|" + "---|" * len(head)]
