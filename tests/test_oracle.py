@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from paddock import registry
 from tools.check_oracle import TABLES, canon_duck, canon_spark, rows_of
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+# the training-data queries are tested in tests/llm
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(NAMES) <= set(E.queries()) and set(NAMES) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
