@@ -58,13 +58,13 @@ def main() -> None:
                                                   "PLANS.md"))
     args = ap.parse_args()
 
-    import __spark_entry__ as E
+    from paddock.registry import QUERIES
     from paddock.session import get_spark
 
     spark = get_spark("plan-report", master="local[4]", shuffle_partitions=8)
     rows = []
-    for name in sorted(E.queries()):
-        df = E.queries()[name](spark, args.sf_dir)
+    for name in sorted(QUERIES):
+        df = QUERIES[name](spark, args.sf_dir)
         df.collect()
         rows.append((name, summarise(df._jdf.queryExecution().executedPlan().toString())))
         print(name, rows[-1][1], flush=True)
@@ -74,8 +74,8 @@ def main() -> None:
              f"Generated by `tools/plan_report.py` on `{args.sf_dir}` (local[4], 8 shuffle partitions, AQE on).",
              "Counts are of operators in the final adaptive plan; at this scale AQE broadcasts every dimension,",
              "at cluster scale the same joins fall back to sort-merge joins on the same keys. Maintenance",
-             "queries (multi-step writes) and the training-data queries that write intermediate tables show the",
-             "plan after the last written table.",
+             "queries (multi-step writes) and those that write small keys first show the plan after the last",
+             "written table.",
              "",
              "| " + " | ".join(head) + " |",
              "|" + "---|" * len(head)]
