@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.llm.common import join_by_key, landed, row_key, table
+from paddock.llm.common import discard, join_by_key, landed, row_key, table
 
 GRAM = 16  # bytes of an anchor
 CELL = 32  # suffixes of a cell
@@ -238,9 +238,11 @@ SAME = ["key_id", "key_hash"]
 
 
 def _in_shared_buckets(entries: DataFrame) -> DataFrame:
-    """Entries whose digit another entry has too."""
-    shared = landed(entries.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit"), "digits")
-    return landed(entries.join(shared, "digit", "left_semi"), "shared")
+    """Entries, landed, whose digit another entry has too; the others' files go."""
+    digits = landed(entries.groupBy("digit").agg(F.count("*").alias("c")).where("c > 1").select("digit"), "digits")
+    shared = landed(entries.join(digits, "digit", "left_semi"), "shared")
+    discard(entries)
+    return shared
 
 
 def _decided(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +270,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
     found = landed(texts.where(F.octet_length("text") >= window).mapInArrow(_scan(window), ENTRY), "segments")
     spans, going = _decided(_in_shared_buckets(found))
-    open_docs = landed(_with_open(texts, going), "open")
+    open_docs = landed(_with_open(texts, going), "open", compression="zstd")
     found = _in_shared_buckets(landed(open_docs.mapInArrow(_deeper(window, single=False), ENTRY), "cells"))
     more, going = _decided(found)
     found = landed(_with_open(open_docs, going).mapInArrow(_deeper(window, single=True), ENTRY), "windows")
