@@ -50,7 +50,20 @@ def _buckets(kind: int, hashes: np.ndarray) -> np.ndarray:
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) of every different feature, sorted."""
+    """(text, bucket) of every different feature, sorted; computed over about a slice of text at a time."""
+    sizes = np.cumsum([len(t) for t in texts])
+    parts, at = [], 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE)))
+        rows, buckets = _features(texts[at:end])
+        parts.append(((rows + at).astype(np.int32), buckets.astype(np.int32)))
+        at = end
+    if not parts:
+        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
     folded = FOLD[raw]
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
@@ -95,7 +108,7 @@ def fit(texts: np.ndarray, buckets: np.ndarray, grades: np.ndarray, n_grades: in
     docs = np.bincount(buckets, minlength=1 << BITS)
     apart = np.bincount(buckets, weights=(grades - grades.mean())[texts], minlength=1 << BITS)
     use = np.flatnonzero((docs >= MIN_DOCS) & (np.abs(apart) >= MIN_DEVIATIONS * max(grades.std(), 1e-9) * np.sqrt(docs)))
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, dtype=np.int32)
     place[use] = np.arange(len(use))
     known = place[buckets] >= 0
     rows, cols, n = texts[known], place[buckets[known]], len(grades)
@@ -146,12 +159,14 @@ def fit_with_cut(texts: list[bytes], grades: np.ndarray, n_grades: int) -> Ordin
     """The model of all texts, with the cut from two halves that score each other."""
     if len(np.unique(grades)) < 2:
         return OrdinalModel(np.zeros(1 << BITS, dtype=np.float32), np.zeros(n_grades - 1))
+    n = len(texts)
     of, buckets = features(texts)
-    side = np.arange(len(texts)) % 2
-    score = np.zeros(len(texts))
+    del texts
+    side = np.arange(n) % 2
+    score = np.zeros(n)
     for s in (0, 1):
         learn, judge = np.flatnonzero(side == s), np.flatnonzero(side != s)
-        place = np.zeros(len(texts), dtype=np.int64)
+        place = np.zeros(n, dtype=np.int32)
         place[learn], place[judge] = np.arange(len(learn)), np.arange(len(judge))
         mine = side[of] == s
         half = fit(place[of[mine]], buckets[mine], grades[learn], n_grades)
