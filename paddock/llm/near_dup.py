@@ -233,7 +233,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(landed(links.unionByName(late), "all-links")) if not late.isEmpty() else roots
     ids = found.where("node is not null").groupBy("node").agg(F.min("key_id").alias("least"))
     per_node = landed(ids.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "node-roots")
-    per_root = per_node.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that the join back may split the nodes of a large component
+    per_root = landed(per_node.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     labels = landed(per_node.join(per_root, "root").select("node", "component_id"), "labels")
     out = found.select("key_id", "key_hash", "n_shingles", "node").join(labels, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("key_id")).otherwise(F.col("component_id"))
