@@ -10,6 +10,9 @@ sequence is close to the targets. A slot's rank among its source's slots, modulo
 the block that it takes; each source's documents, shuffled by hash, form one stream of words cut into such
 blocks, and a block may hold parts of documents. A slot beyond ``most`` rounds of its source takes nothing.
 
+A source of fewer than ``EXACT`` blocks, for which a slot or a partial last block is much, takes its target to the word
+instead: its stream as often as it fits, and then the stream's beginning.
+
 The point sequence is computed in 31-bit integers and the shuffle by md5, so that reruns agree everywhere. Ranks and
 stream positions come from counts per piece (a run of slots, a range of hashes) and a running sum over
 those, so that no window holds a source. Nothing but the total number of words reaches the driver.
@@ -34,6 +37,7 @@ STEP = 1_327_217_885  # the golden ratio's fraction of a turn, odd
 CELLS = 1 << 12  # cells of a turn, to look up sources by equality
 RUN = 1 << 14  # slots numbered together
 SLOTS, LEAST_BLOCK, MOST_BLOCK = 1 << 18, 16, 1 << 10  # the mix has about this many slots, within these block sizes
+EXACT = 128  # sources of fewer blocks are taken to the word
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
@@ -96,6 +100,12 @@ def schedule(spark: SparkSession, sources: DataFrame, total: int, most: int) ->
             .select("slot", "sid", F.floor(F.col("rank") / F.col("blocks")).alias("round"), (F.col("rank") % F.col("blocks")).alias("block")))
 
 
+def to_the_word() -> Column:
+    """The words that a document of ``size`` at ``start`` of its source's stream gives to ``target``."""
+    words, whole = F.floor("target").cast("long"), F.col("source_size")
+    return F.floor(words / whole).cast("long") * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), words % whole - F.col("start")))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
     """key_id (the id), key_hash (of the text), source, size, source_size, target, taken: a row for each row of ``docs``."""
@@ -104,6 +114,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     total = rows.agg(F.sum("size")).first()[0] or 0
     sources = landed(with_targets(rows, total, weights, most), "sources")
     block = block_words(total)
+    small = F.col("source_size") < EXACT * block
     uses = schedule(spark, sources, total, most).groupBy("sid", "block").agg(F.count("*").alias("uses"))
     known = rows.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     streams = numbered(known, "sid", F.substring("place", 1, 3), ["place", "key_id", "key_hash"], F.col("size"), "start")
@@ -113,7 +124,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .withColumn("words", F.least(end, (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)))
     out = ["key_id", "key_hash", "source", "size", "source_size", "target"]
     taken = (parts.join(uses, ["sid", "block"], "left").groupBy("sid", "start", *out)
-             .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken")))
+             .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
+             .withColumn("taken", F.when(small, to_the_word()).otherwise(F.col("taken"))))
     return taken.select(*out, "taken").unionByName(known.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken")))
 
 

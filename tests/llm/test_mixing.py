@@ -55,6 +55,20 @@ def test_schedule_stays_close_to_targets_throughout(spark):
             assert abs(sum(1 for s in slots[:n] if s[1] == sid) - n * p) <= 6
 
 
+def test_small_sources_reach_their_targets_at_the_largest_block(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "block_words", lambda total: 1024)
+    sizes = {f"s{n:04}": n for n in (50, 100, 200, 400, 800, 1500, 3000, 5000)} | {"x": 400_000, "y": 600_000}
+    rows = [(f"{s}-{at}", min(200, n - at), s) for s, n in sizes.items() for at in range(0, n, 200)]
+    docs = spark.createDataFrame(rows, "doc_id string, n int, source string").selectExpr("doc_id", "repeat('w ', n) AS text", "source")
+    taken = {}
+    for r in mixing.mix(docs).collect():
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    want = targets(sizes)
+    assert all(taken[s] == int(want[s]) for s in sizes if s not in "xy"), (taken, want)
+    assert all(abs(taken[s] / want[s] - 1) < 0.02 for s in "xy"), (taken, want)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).collect() == []
