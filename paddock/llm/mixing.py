@@ -13,7 +13,8 @@ blocks, and a block may hold parts of documents. A slot beyond ``most`` rounds o
 A source of fewer than ``EXACT`` blocks, for which a slot or a partial last block is much, takes its target to the word
 instead: its stream as often as it fits, and then the stream's beginning.
 
-The point sequence is computed in 31-bit integers and the shuffle by md5, so that reruns agree everywhere. Ranks and
+The point sequence is computed in integers and the shuffle by md5, so that reruns agree everywhere. A step of 31 bits follows the
+golden ratio for ``EVEN`` slots; a longer mix steps by 62 bits, whose points stay even at any length. Ranks and
 stream positions come from counts per piece (a run of slots, a range of hashes) and a running sum over
 those, so that no window holds a source. Nothing but the total number of words reaches the driver.
 
@@ -34,6 +35,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 TURN = 1 << 31  # points are integers below this
 STEP = 1_327_217_885  # the golden ratio's fraction of a turn, odd
+FINE_STEP = 2_850_178_704_830_799_621  # the same of a turn of 62 bits
+EVEN = 1 << 19  # slots up to which the points of STEP lie evenly
 CELLS = 1 << 12  # cells of a turn, to look up sources by equality
 RUN = 1 << 14  # slots numbered together
 SLOTS, LEAST_BLOCK, MOST_BLOCK = 1 << 18, 16, 1 << 10  # the mix has about this many slots, within these block sizes
@@ -82,6 +85,15 @@ def numbered(df: DataFrame, group: str, piece: Column, order: list[str], amount:
             .withColumn(name, F.col("_before") + F.col("_inside")).drop("_piece", "_amount", "_before", "_inside"))
 
 
+def point(slots: int) -> Column:
+    """The point of ``slot`` in a mix of so many slots."""
+    if slots <= EVEN:
+        return (F.col("slot") % TURN) * STEP % TURN
+    high, low = FINE_STEP // TURN, FINE_STEP % TURN  # the upper 31 bits of slot * FINE_STEP, whose lower 62 are the place in the turn
+    slot = F.col("slot") % TURN
+    return (slot * high + F.shiftright(slot * low, 31)) % TURN
+
+
 def schedule(spark: SparkSession, sources: DataFrame, total: int, most: int) -> DataFrame:
     """The mix, slot by slot: slot, sid, round (0 to most - 1), block."""
     block = block_words(total)
@@ -91,8 +103,9 @@ def schedule(spark: SparkSession, sources: DataFrame, total: int, most: int) ->
                  .withColumn("lo", F.coalesce(F.lag("hi").over(W.orderBy("sid")), F.lit(0))).where("lo < hi")
                  .select("sid", "lo", "hi", F.ceil(F.col("source_size") / block).alias("blocks"),
                          F.explode(F.sequence(F.floor(F.col("lo") / (TURN // CELLS)), F.floor((F.col("hi") - 1) / (TURN // CELLS)))).alias("cell")))
-    slots = (spark.range(-(-total // block)).withColumnRenamed("id", "slot")
-             .withColumn("point", (F.col("slot") % TURN) * STEP % TURN)
+    n = -(-total // block)
+    slots = (spark.range(n).withColumnRenamed("id", "slot")
+             .withColumn("point", point(n))
              .withColumn("cell", F.floor(F.col("point") / (TURN // CELLS))))
     placed = slots.join(stretches, "cell").where("point >= lo AND point < hi").select("slot", "sid", "blocks")
     ranked = numbered(placed, "sid", F.floor(F.col("slot") / RUN), ["slot"], F.lit(1), "rank")

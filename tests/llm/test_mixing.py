@@ -1,6 +1,9 @@
 import random
 import re
 
+import numpy as np
+import pytest
+
 from paddock.llm import mixing
 
 
@@ -69,6 +72,13 @@ def test_small_sources_reach_their_targets_at_the_largest_block(spark, monkeypat
     assert all(abs(taken[s] / want[s] - 1) < 0.02 for s in "xy"), (taken, want)
 
 
+@pytest.mark.parametrize("n", [1 << 18, 1 << 20, 1 << 23])
+def test_points_stay_even(spark, n):
+    points = np.sort(spark.range(n).withColumnRenamed("id", "slot").select(mixing.point(n).alias("point")).toArrow().column("point").to_numpy())
+    assert points[0] >= 0 and points[-1] < mixing.TURN
+    assert np.diff(np.append(points, points[0] + mixing.TURN)).max() < 2 * mixing.TURN / n
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).collect() == []
