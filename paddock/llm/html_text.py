@@ -6,10 +6,10 @@ characters and of tags and the containers around it. Containers that are no part
 page with all they hold; a header inside an article is the article's. A section headed as reader comments leaves too.
 
 The text-to-tag ratio of the other lines is smoothed with a Gaussian, and a threshold between two clusters of ratios marks
-the content lines. The content region is the innermost container that holds nearly all their text, extended to an
-enclosing article or main element, or to parents that add headings only. All its lines are the text, short ones too; only
-runs of list items that are nothing but links are dropped as menus. Where the region is the whole page, it reaches from the first content
-line, with headings before it, to the last.
+the content lines. The content region is the article or main element that holds nearly all their text. Where there is none, it is the
+innermost container that holds all content lines but links, extended to parents that add no links, to the page if that adds paragraphs and
+headings only, and from a quotation, details or a table cell to the parent that holds more. All its lines are the text, short
+ones too; only runs of list items that are nothing but links are dropped as menus.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one. A null or empty
 page, or one without content, has the empty text. Unclosed and stray tags, truncated pages and pages of any length are read to
@@ -216,6 +216,21 @@ def _menus(lines: list[Line]) -> set[int]:
     return out
 
 
+def _is_link(x: Line) -> bool:
+    return x.linked >= 0.5 * len(x.text.replace(" ", ""))
+
+
+def _extends(tag: str, parent: str, more: list[Line]) -> bool:
+    """Whether a region in an element ``tag`` goes on to the parent, which adds the lines ``more``."""
+    if tag in ("blockquote", "details") or not more:
+        return True
+    if tag in ("td", "th"):
+        return any(not _is_link(x) and (x.kind or len(x.text.split()) > 2) for x in more)
+    if parent in ("", "html", "body"):  # a site's name, an imprint or the like may stand here
+        return all(x.kind in HEADINGS or (x.kind == "p" and not _is_link(x)) for x in more) and any(x.kind == "p" for x in more)
+    return all(x.kind in HEADINGS or not _is_link(x) for x in more)
+
+
 def main_text(html: str | None) -> str:
     page = Lines()
     lines = page.read(html or "")
@@ -232,22 +247,18 @@ def main_text(html: str | None) -> str:
         for n in lines[i].path:
             held[n] = held.get(n, 0) + len(lines[i].text)
     longest = max((lines[i].path for i in content), key=lambda p: sum(held[n] >= REGION_SHARE * total for n in p))
-    region = [n for n in longest if held[n] >= REGION_SHARE * total]
-    for i in range(len(region) - 1, -1, -1):
-        if page.names[region[i]] in ("article", "main"):
-            region = region[: i + 1]
+    for n in reversed(longest):
+        if held[n] >= REGION_SHARE * total and page.names[n] in ("article", "main"):
+            return " ".join(x.text for x in lines if n in x.path)
+    content = [i for i in content if not _is_link(lines[i])] or content
+    region = [n for n in lines[content[0]].path if all(n in lines[i].path for i in content)]
+    while region:
+        parent = region[-2] if len(region) > 1 else None
+        more = [x for x in lines if region[-1] not in x.path and (parent is None or parent in x.path)]
+        if not _extends(page.names[region[-1]], page.names[parent] if parent else "", more):
             break
-    else:
-        while len(region) > 1 and page.names[region[-2]] not in ("html", "body"):
-            if not all(x.kind in HEADINGS for x in lines if region[-2] in x.path and region[-1] not in x.path):
-                break
-            region.pop()
-    if region and page.names[region[-1]] not in ("html", "body"):
-        return " ".join(x.text for x in lines if region[-1] in x.path)
-    first, last = content[0], content[-1]
-    while first and lines[first - 1].kind in HEADINGS:
-        first -= 1
-    return " ".join(x.text for x in lines[first : last + 1])
+        region.pop()
+    return " ".join(x.text for x in lines if not region or region[-1] in x.path)
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

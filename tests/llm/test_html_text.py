@@ -42,6 +42,25 @@ def test_odd_pages(page, want):
     assert main_text(page) == want
 
 
+P5, P8 = "x" * 49 + " " + "y" * 450, "z" * 70 + " " + "y" * 9
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<body>" + f"<p>{P5}" * 5 + "<p>A last one.", f"{P5} " * 5 + "A last one."),
+    ("<body><p>First." + f"<p>{P5}" * 5, "First." + f" {P5}" * 5),
+    (f"<body><ul><li>one<li>two</ul><p>{P5}<p>{P5}<p>{P5}<p>{P5}", f"one two {P5} {P5} {P5} {P5}"),
+    (f"<body><div class=content><div class=intro><p>{P8}</div><div class=story><p>{P5}<p>{P5}</div></div><div><a>Home</a></div>", f"{P8} {P5} {P5}"),
+    (f"<body><div class=content><div class=intro><p>Intro.</div><div class=story><p>{P5}<p>{P5}<p>{P5}</div></div><div><a>Home</a></div>", f"Intro. {P5} {P5} {P5}"),
+    (f"<body><section><h2>A</h2><p>{P5}<p>{P5}<p>{P5}</section><section><h2>B</h2><p>Short.</section>", f"A {P5} {P5} {P5} B Short."),
+    (f"<body><div><p>Before.<blockquote><p>{P5}<p>{P5}</blockquote><p>After.</div>", f"Before. {P5} {P5} After."),
+    (f"<body><table><tr><td><p>{P5}<p>{P5}<p>{P5}<tr><td>A short last cell</table>", f"{P5} {P5} {P5} A short last cell"),
+    (f"<body><div><h1>T</h1><details>{P5}</details><p>End.</div>", f"T {P5} End."),
+    (f"<body><div><a>Home</a></div><div><p>{P5}<p>{P5}<p>{P5}</div><div>Imprint</div>", f"{P5} {P5} {P5}"),
+])
+def test_pages_without_article_keep_their_short_parts(page, want):
+    assert main_text(page) == want
+
+
 def test_rows(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, "<p>" + "many words here " * 50_000, "x"), (2, "<p>a", None), (None, "<p>a", None)], "page_id long, html string, text string")
     got = html_text.extract_text(pages).collect()
