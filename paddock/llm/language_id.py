@@ -5,8 +5,8 @@ point. An n-gram's vector binds its letters: the product of their vectors, each
 its n-grams: the sum over all of them inside words and at their edges. A language's prototype bundles the n-grams of its texts.
 The language of a text is that of the prototype with the largest cosine, which is also the score (at least 0).
 
-Prototypes are learned from about ``per_lang`` texts of each language, chosen by hash of text, all of them where there are
-fewer; each Spark task adds up its share, and the driver a bounded number of sums. The table of
+Prototypes are learned from all rows with a language and a text, a copied text as often as it occurs; each Spark task adds up
+its share, ``tasks`` tasks add up those, and the driver theirs. The sums are whole numbers, the same in any order. The table of
 prototypes (one vector a language) is broadcast; prediction is one pass over whole texts.
 
 A null text, or one without letters, is "und" with score 0, as is every text where no language could be learned. Texts with a null
@@ -126,29 +126,31 @@ def _bundled(texts: list[str | None], dims: int) -> np.ndarray:
     return out
 
 
-def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 4000, dims: int = DIMS,
-                   tasks: int = 24) -> dict[str, np.ndarray]:
+def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = DIMS, tasks: int = 24) -> dict[str, np.ndarray]:
     """A prototype for each language."""
     rated = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in rated.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
+    if rated.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    if not counts:
-        return {}
-    rates = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_lang / n))))
-    chosen = rated.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(1 << 20) * F.element_at(rates, F.col("lang")))
 
-    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def added(parts: Iterator[tuple[list[str], np.ndarray]]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for lang, vector in zip(langs, _bundled(batch.column("text").to_pylist(), dims), strict=True):
+        for langs, vectors in parts:
+            for lang, vector in zip(langs, vectors, strict=True):
                 sums[lang] = sums.get(lang, 0) + vector
         for lang, total in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang], "total": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512))
+        return added((b.column("lang").to_pylist(), _bundled(b.column("text").to_pylist(), dims)) for b in parts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512))
+        return added((b.column("lang").to_pylist(), np.array(b.column("total").to_pylist())) for b in parts)
+
+    shares = rated.mapInArrow(bundle, "lang string, total array<double>").repartition(tasks)
     prototypes: dict[str, np.ndarray] = {}
-    for r in chosen.repartition(tasks).mapInArrow(bundle, "lang string, total array<double>").collect():  # tasks x languages rows
+    for r in shares.mapInArrow(add, "lang string, total array<double>").collect():  # tasks x languages rows
         prototypes[r["lang"]] = prototypes.get(r["lang"], 0) + np.array(r["total"])
     return {k: v for k, v in sorted(prototypes.items()) if np.any(v)}
 

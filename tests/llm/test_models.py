@@ -74,6 +74,17 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in li.identify(docs, {}).collect()} == {"und"} and li.identify(docs.limit(0), profiles).collect() == []
 
 
+def test_language_of_copies_is_learned(spark):
+    words = [f"{a}{b}m{a}" for a in "bdfgklnp" for b in "aeiou"]
+    rows = [(f"l{k}", " ".join(words[5 * k : 5 * k + 5])) for k in range(8)]
+    docs = spark.createDataFrame(rows, "lang string, text string").crossJoin(spark.range(0, 20_000, 1, 4)).select("lang", "text")
+    one = ("l0", "another text of the first one")
+    profiles = li.learn_profiles(docs.union(spark.createDataFrame([one], "lang string, text string")))
+    assert sorted(profiles) == [lang for lang, _ in rows]
+    for k, (lang, text) in enumerate(rows):
+        assert (profiles[lang] == 20_000 * li.bundles([text])[0] + (k == 0) * li.bundles([one[1]])[0]).all()
+
+
 def test_bundle_is_the_sum_of_bound_ngrams(monkeypatch):
     vec = lambda c: li._letter_vector(ord(c) if c else 0, 64).astype(float)
     gram = lambda a, b, c: np.roll(vec(a), 2) * np.roll(vec(b), 1) * vec(c)
