@@ -8,8 +8,9 @@ probabilities of reaching a grade.
 
 The model is fitted on a bounded sample, at most ``MAX_RATED`` rated documents chosen by hash, on the driver: features whose
 documents' mean grade is ``MIN_DEVIATIONS`` standard errors from the overall one, so that no chance word counts, full-batch accelerated gradients on the penalised likelihood. Half of the sample,
-scored by a model of the other half, places the cut: documents are rejected whose expected grade lies below that of all but
-``SPARED`` of the documents with the best grade. Weights (2**18 single-precision numbers, 1 MB) are broadcast; scoring is one pass.
+scored by a model of the other half, places the cut: documents are rejected whose expected grade lies below it. It is where the
+shares on the wrong side, of the best grade below and of the others above, are least together, among the places that leave at most ``SPARED`` of the
+best grade below; where the scores part the grades, that is in the middle between them. Weights (2**18 single-precision numbers, 1 MB) are broadcast; scoring is one pass.
 
 Ratings are joined by id. Rows with a null id or a null rating are not learned from; a document rated twice counts twice. Without
 ratings of at least two grades every document is kept, with the middle grade expected. Null and empty texts have no words and only shape
@@ -155,6 +156,17 @@ def fit(texts: np.ndarray, buckets: np.ndarray, grades: np.ndarray, n_grades: in
     return OrdinalModel(weights, x[len(use)] + np.concatenate(([0], np.cumsum(np.exp(x[len(use) + 1 :])))))
 
 
+def place_cut(score: np.ndarray, best: np.ndarray) -> float:
+    """The cut with the least share of the ``best`` below and of the others above, among those that leave at most
+    ``SPARED`` of the best below; of equal ones the lowest."""
+    values, of = np.unique(score, return_inverse=True)
+    good, other = np.bincount(of[best], minlength=len(values)), np.bincount(of[~best], minlength=len(values))
+    lost = np.cumsum(good) - good  # of the best, with a cut just below each value
+    passed = other[::-1].cumsum()[::-1]
+    at = int(np.argmin(np.where(lost <= SPARED * good.sum(), lost / good.sum() + passed / max(1, other.sum()), 3)))
+    return float("-inf") if at == 0 else float((values[at - 1] + values[at]) / 2)
+
+
 def fit_with_cut(texts: list[bytes], grades: np.ndarray, n_grades: int) -> OrdinalModel:
     """The model of all texts, with the cut from two halves that score each other."""
     if len(np.unique(grades)) < 2:
@@ -172,7 +184,7 @@ def fit_with_cut(texts: list[bytes], grades: np.ndarray, n_grades: int) -> Ordin
         half = fit(place[of[mine]], buckets[mine], grades[learn], n_grades)
         score[judge] = half.reaches(place[of[~mine]], buckets[~mine], len(judge)).sum(axis=1)
     model = fit(of, buckets, grades, n_grades)
-    model.cut = float(np.quantile(score[grades == grades.max()], SPARED))
+    model.cut = place_cut(score, grades == grades.max())
     return model
 
 

@@ -37,6 +37,23 @@ def test_classifier_on_held_out_ratings(spark):
     assert np.corrcoef([r.expected_grade for r in judged], [r.grade for r in judged])[0, 1] > 0.8
 
 
+def test_cut_of_separable_grades_loses_no_good_document():
+    rng = np.random.default_rng(5)
+    good, other = rng.uniform(1.5, 2, 1000), rng.uniform(0, 0.9, 300)
+    cut = qc.place_cut(np.concatenate((good, other)), np.arange(1300) < 1000)
+    assert other.max() < cut < good.min()
+    mixed = np.concatenate((rng.normal(1, 1, 1000), rng.normal(0, 1, 3000)))
+    assert (mixed[:1000] < qc.place_cut(mixed, np.arange(4000) < 1000)).mean() <= 0.01
+    assert qc.place_cut(np.ones(5), np.arange(5) < 2) == float("-inf")
+    word = {2: "good", 1: "low", 0: "bad"}
+    grades = rng.permutation([2, 2, 1, 2, 0, 2, 2, 2] * 100)
+    # good documents differ in how many words speak for them
+    texts = [" ".join(f"{word[g]}{rng.integers(30)}" for _ in range(rng.integers(8, 40))).encode() for g in grades]
+    model = qc.fit_with_cut(texts, grades, 3)
+    kept = model.reaches(*qc.features(texts), len(texts)).sum(axis=1) >= model.cut
+    assert kept[grades == 2].all() and kept[grades < 2].mean() < 0.02
+
+
 def test_classifier_odd_rows(spark):
     rows = [(i, ("bad " if i % 2 else "good ") * 5 + f"w{i}", i) for i in range(60)] + [(None, None, 0), (100, "", 0), (101, "bad " * 30_000, 0), (7, "x", 0), (7, "x", 0)]
     docs = spark.createDataFrame([(*r, True) for r in rows], "doc_id long, text string, expected_grade int, kept boolean")
