@@ -42,3 +42,14 @@ def join_by_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFra
     on = left["key_id"].eqNullSafe(right["key_id"]) & (left["key_hash"] == right["key_hash"])
     joined = left.join(right, on, how)
     return joined if how == "left_semi" else joined.drop(right["key_id"], right["key_hash"])
+
+
+#: In DuckDB SQL: what CRC-32 makes of each of the 256 bytes.
+SQL_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def sql_crc32(text: str) -> str:
+    """CRC-32 of a text in DuckDB SQL, where ``t`` holds ``SQL_CRC_TABLE``."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({text}))),
+        lambda i: CAST('0x' || substring(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])))"""
