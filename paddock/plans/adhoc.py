@@ -2,48 +2,40 @@
 
 The question-answering screens run a generated statement and show either its rows or the error as
 text. Here the statement (trimmed, one trailing ';' allowed) is wrapped as a sub-query before Spark
-parses it, so only a query can run: DDL, commands and several statements are parse errors. Files by path
-and functions that call into the JVM are refused too. Errors, whether found by analysis or while the query
+parses it, so only a query can run: DDL, commands and several statements are parse errors. ``guard`` then admits
+only listed functions, operators and expressions over the given views: no files, table functions, other tables of the
+session or functions that call out of the query. Errors, whether found by analysis or while the query
 runs, come back as text. The marts are exposed as temporary views; the result stays a lazy DataFrame:
 ``answer`` writes all of it to a folder, or prints a bounded number of rows and says when there are more.
 """
 
 from __future__ import annotations
 
-import re
-
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from paddock.plans import guard
 from paddock.sinks.tables import export_csv
 
 ERROR_PREFIX = "Query failed: "
 
-_INTO_THE_JVM = re.compile(r"\b(java_method|reflect|try_reflect)\s*\(", re.IGNORECASE)
-
 
 def register_views(views: dict[str, DataFrame]) -> None:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
 
 
-def guarded(spark: SparkSession, sql: str) -> DataFrame:
+def guarded(spark: SparkSession, sql: str, views) -> DataFrame:
+    """The query as a lazy DataFrame, over the registered views named in ``views`` and nothing else."""
     text = sql.strip()
     if text.endswith(";"):
         text = text[:-1].rstrip()
-    if _INTO_THE_JVM.search(text):
-        raise ValueError("only queries over the marts are allowed")
-    key = "spark.sql.runSQLOnFiles"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        # the newline keeps a trailing comment from swallowing the parenthesis
-        df = spark.sql(f"SELECT * FROM ({text}\n) q")
-        df.schema  # analysis happens here: unknown tables/columns surface now
-        return df
-    finally:
-        spark.conf.set(key, before)
+    wrapped = f"SELECT * FROM ({text}\n) q"  # the newline keeps a trailing comment from swallowing the parenthesis
+    guard.check_parsed(spark, wrapped, views)
+    df = spark.sql(wrapped)
+    guard.check_analysed(spark, df._jdf.queryExecution().analyzed(), views)
+    return df
 
 
 def _text(e: Exception) -> str:
@@ -52,11 +44,10 @@ def _text(e: Exception) -> str:
 
 def run_adhoc(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None):
     """Return ``(DataFrame, None)`` for a valid query or ``(None, error_text)``."""
-    if views:
-        register_views(views)
+    register_views(views or {})
     try:
-        return guarded(spark, sql), None
-    except (PySparkException, ValueError) as e:
+        return guarded(spark, sql, views or {}), None
+    except (PySparkException, Py4JJavaError, ValueError) as e:
         return None, _text(e)
 
 
