@@ -1,6 +1,7 @@
 """Data-quality expectations (E1-E4). A test is a query that returns its violations; zero = pass.
 
-- ``not_null_counts``: every not-null test of one table in one aggregate pass.
+- ``not_null_counts``: every not-null test of one table in one aggregate pass; ``null_counters`` are the same counts
+  for the job that writes the table, which then needs no pass of its own (``known`` of ``report``).
 - ``unique_combination``: violating groups with ``row_count`` (``HAVING count(*) > 1``); partial
   aggregation combines map-side, so a hot key costs one row per task.
 - ``relationship``: child rows whose value is missing from the parent (a left anti join; the parent
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The marts' tests, (table, column) pairs that must not be null, and the unique combination.
@@ -44,6 +45,11 @@ def not_null_counts(df: DataFrame, table: str, columns) -> DataFrame:
                     F.col("t.column_name").alias("column_name"), F.col("t.violations").alias("violations")))
 
 
+def null_counters(table: str, not_null=NOT_NULL_TESTS) -> dict[str, Column]:
+    """The violations of a table's not-null tests as aggregates that a write can observe, by column."""
+    return {c: F.count_if(F.col(c).isNull()) for t, c in not_null if t == table}
+
+
 def unique_combination(df: DataFrame, columns) -> DataFrame:
     return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
             .where(F.col("row_count") > 1))
@@ -62,14 +68,20 @@ def round_fits_key(df: DataFrame, round_col: str = "round", max_round: int = 99)
 
 
 def report(tables: dict[str, DataFrame], not_null=NOT_NULL_TESTS, unique=UNIQUE_TESTS,
-           relationships=()) -> DataFrame:
+           relationships=(), known: dict[tuple[str, str], int] | None = None) -> DataFrame:
     """(test_name, table_name, column_name, violations) for every test over the given tables.
 
-    ``relationships`` items: (child_table, column, parent_table, field)."""
+    ``relationships`` items: (child_table, column, parent_table, field). ``known`` holds violations of not-null tests
+    that the tables' writes observed, by (table, column); their tables are not scanned for them."""
     parts = []
     by_table: dict[str, list[str]] = {}
+    told = [("not_null", t, c, known[t, c]) for t, c in not_null if known and (t, c) in known]
+    if told:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(told, "test_name string, table_name string, column_name string, violations bigint"))
     for t, c in not_null:
-        by_table.setdefault(t, []).append(c)
+        if not known or (t, c) not in known:
+            by_table.setdefault(t, []).append(c)
     for t, cols in by_table.items():
         parts.append(not_null_counts(tables[t], t, cols))
     for t, cols in unique:

@@ -513,10 +513,15 @@ ORACLES.update({
     "scd2_driver_team": DRIVER_TEAM_VERSIONS,
     "scd2_history": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
     "scd2_current": SNAPSHOT_VERSIONS + "SELECT * FROM versions WHERE dbt_valid_to IS NULL",
+    "scd2_late_runs": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
+    "stored_order": with_("SELECT season_year, driver_code, total_points, championship_position, "
+                          "row_number() OVER (PARTITION BY season_year ORDER BY championship_position) AS stored_place FROM driver_standings",
+                          **STANDINGS_STACK),
 })
 
 ORACLES.update({
     "stream_incremental_results": ORACLES["incremental_results"],
+    "stream_marked_races": with_("SELECT * FROM stg_results", **RESULTS_STACK),
     "warehouse_driver_standings": with_("SELECT * FROM driver_standings", raw_results=RESULTS_LIKE,
                                         kept=FIRST_BATCH.format(part="year, round", batch=BATCH_OF),
                                         stg_results=stg_results_sql("kept"), driver_standings=DRIVER_STANDINGS),

@@ -9,14 +9,14 @@ a handful of seasons, one snapshot per season), never by data volume; each step
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paddock import schemas
 from paddock.functions.columns import race_id, surrogate_key
 from paddock.operators import incremental as inc
 from paddock.operators import scd2
-from paddock.plans import staging
+from paddock.plans import models, staging
 from paddock.session import scratch_dir
 from paddock.sinks.tables import VersionedTable, export_csv
 from paddock.sources import bindings as b
@@ -127,7 +127,8 @@ def upsert_by_key(spark: SparkSession, d: str, root: str | None = None) -> DataF
     r = b.results_like(spark, d)
     t.overwrite(staging.stage_results(r.where(b.in_batch(1))))
     for k in BATCHES[1:]:
-        inc.upsert_into(t, staging.stage_results(r.where(b.in_batch(k))), "result_sk", "season_year")
+        inc.upsert_into(t, staging.stage_results(r.where(b.in_batch(k))), "result_sk", "season_year",
+                        key_of=surrogate_key("season_year", "round_number", "driver_code"))
     return t.read()
 
 
@@ -140,16 +141,23 @@ def _run_ts(year_col):
     return F.make_timestamp_ntz(year_col + F.lit(1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
 
 
-def scd2_history(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+def scd2_history(spark: SparkSession, d: str, root: str | None = None, years=None) -> DataFrame:
     """I5 stepwise: one snapshot run per year (as of 1 January of the next year), check strategy on
-    the customer's latest order priority. The run list is the distinct years (one per season)."""
+    the customer's latest order priority. The run list is the distinct years (one per season), or ``years``."""
     t = VersionedTable(spark, root or scratch_dir(spark, "snapshot"), partition_by=["dbt_valid_to"])
     # one run per calendar year between the first and last order; a year without orders is a run
     # with an empty source, which changes nothing (vanished keys stay open)
-    for y in b.order_years(spark, d):
+    for y in b.order_years(spark, d) if years is None else years:
         run = _snapshot_source(spark, d, y).drop("snapshot_year")
         scd2.snapshot_step(t, run, "snapshot_sk", ["o_orderpriority"], _run_ts(F.lit(y)))
-    return t.read()
+    return scd2.versions(t)
+
+
+def scd2_late_runs(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """I5 with late and repeated runs: every second year first, the first of them once more, then the years between
+    from the last to the first. Equal to ``scd2_history``."""
+    years = b.order_years(spark, d)
+    return scd2_history(spark, d, root, [*years[::2], *years[:1], *reversed(years[1::2])])
 
 
 def scd2_current(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
@@ -172,7 +180,27 @@ def scd2_driver_team(spark: SparkSession, d: str, root: str | None = None) -> Da
         latest = scd2.latest_per_key(staged, ["driver_code", "season_year"], ["team_name"], ["round_number", "l_orderkey", "l_linenumber"])
         source = latest.withColumn("driver_team_sk", surrogate_key("driver_code", "season_year"))
         scd2.snapshot_step(t, source, "driver_team_sk", ["team_name"], F.lit(ts).cast("timestamp_ntz"))
-    return t.read()
+    return scd2.versions(t)
+
+
+def places(t: VersionedTable, group: str, order: str) -> DataFrame:
+    """The table's rows with ``stored_place``: a row's place among the rows of its ``group`` (the partition), as the files
+    hold them, files one after the other by their least ``order``. Counts per file give the rows before each."""
+    rows = t.read_placed()
+    files = rows.groupBy(F.col(group).alias("_group"), F.col("_file").alias("_in")).agg(F.min(order).alias("_least"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_group").orderBy(F.col("_least").asc_nulls_first(), "_in").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_group", "_in", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(files, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_file") == F.col("_in")))
+            .withColumn("stored_place", F.col("_before") + F.col("_row") + 1).drop("_group", "_in", "_file", "_row", "_before"))
+
+
+def stored_order(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """O1: the driver standings as the build stores them, each row with its place in the stored files of its season."""
+    from paddock.plans.build import Warehouse
+
+    t = Warehouse(spark, root or scratch_dir(spark, "stored_order")).mart("driver_standings")
+    t.overwrite(models.driver_standings(spark, d))
+    return places(t, "season_year", t.order_by[0]).select("season_year", "driver_code", "total_points", "championship_position", "stored_place")
 
 
 def ingest_results(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
@@ -198,3 +226,19 @@ def stream_incremental_results(spark: SparkSession, d: str, root: str | None = N
         stream_incremental_stage(spark, f"{root}/landing", schemas.RAW_RESULTS, target, staging.stage_results,
                                  race_id("year", "round"), f"{root}/_checkpoint")
     return target.read()
+
+
+def stream_marked_races(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """Section 2.14 with a marker of complete races: every race's rows land spread over three triggers, its marker with
+    one of them, some before the race's last rows; each race is staged once, whole."""
+    from paddock.streaming.marked import MARKERS, MarkedRaces, landed_schema
+
+    root = root or scratch_dir(spark, "stream_marked")
+    run = MarkedRaces(spark, root, schemas.RAW_RESULTS)
+    landing = b.landing_in_thirds(spark, d)
+    markers = b.race_markers(spark, d)
+    for k in range(3):
+        conform(landing.where(F.col("_third") == k), landed_schema(schemas.RAW_RESULTS)).write.mode("append").parquet(run.rows_dir)
+        conform(markers.where(F.col("_third") == k), MARKERS).write.mode("append").parquet(run.markers_dir)
+        run.trigger(staging.stage_results)
+    return run.target.read()

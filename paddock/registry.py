@@ -24,7 +24,7 @@ from paddock.operators import expectations as ex
 from paddock.operators.ranking import sorted_values
 from paddock.operators.running import running_sum
 from paddock.plans import adhoc, analytics as an, marts, models, staging
-from paddock.session import stored
+from paddock.session import stored, stored_observed
 from paddock.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,14 +204,23 @@ def adhoc_sql(spark, d):
 
 # --- expectations --------------------------------------------------------------------------------
 def _stored_marts(spark, d):
-    """The tables under test as the build stores them: each is derived once, not once per test."""
+    """The tables under test as the build stores them, each derived once, and the violations of their not-null tests
+    that the jobs which wrote them counted."""
     staged = stored(models.stg_results(spark, d), "stg_results")
-    tables = {"driver_standings": marts.driver_standings(staged), "team_performance": marts.team_performance(staged),
-              "fastest_laps_enriched": models.fastest_laps_enriched(spark, d)}
-    return {n: stored(df, n) for n, df in tables.items()} | {"stg_results": staged}
+    tables, known = {"stg_results": staged}, {}
+    for n, df in {"driver_standings": marts.driver_standings(staged), "team_performance": marts.team_performance(staged),
+                  "fastest_laps_enriched": models.fastest_laps_enriched(spark, d)}.items():
+        tables[n], counts = stored_observed(df, n, ex.null_counters(n))
+        known |= {(n, c): v for c, v in counts.items()}
+    return tables, known
+
+
+@register("expect_not_null")
+def expect_not_null(spark, d):
+    tables, known = _stored_marts(spark, d)
+    return ex.report(tables, unique=(), known=known)
 
 
-register("expect_not_null")(lambda spark, d: ex.report(_stored_marts(spark, d), unique=()))
 register("expect_unique_combination")(lambda spark, d: ex.unique_combination(
     b.table(spark, d, "lineitem", "l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]))
 register("expect_relationship")(lambda spark, d: ex.relationship(
@@ -220,9 +229,9 @@ register("expect_relationship")(lambda spark, d: ex.relationship(
 
 @register("expectation_report")
 def expectation_report(spark, d):
-    tables = _stored_marts(spark, d)
+    tables, known = _stored_marts(spark, d)
     tables["team_colours"] = b.team_colours_like(spark, d)
-    return ex.report(tables, relationships=(("stg_results", "team_name", "team_colours", "team"),))
+    return ex.report(tables, relationships=(("stg_results", "team_name", "team_colours", "team"),), known=known)
 
 
 # --- table maintenance (multi-step writes under the shared checkpoint folder) ----------------------
@@ -230,9 +239,10 @@ from paddock.plans import maintenance as mt  # noqa: E402
 
 for _name in ("schema_clone", "replace_season", "csv_round_trip", "incremental_not_in", "append_new_rounds",
               "incremental_races", "incremental_results", "incremental_laps", "upsert_by_key",
-              "scd2_history", "scd2_current", "scd2_driver_team", "ingest_results"):
+              "scd2_history", "scd2_current", "scd2_late_runs", "scd2_driver_team", "ingest_results", "stored_order"):
     register(_name)(getattr(mt, _name))
 register("stream_incremental_results")(mt.stream_incremental_results)
+register("stream_marked_races")(mt.stream_marked_races)
 
 
 @register("warehouse_driver_standings")

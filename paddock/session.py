@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every paddock job wants; sizes are per-cluster and left to the caller.
 BASE_CONF = {
@@ -71,6 +71,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back: computed once, and planned
     from then on by its real size."""
+    return stored_observed(df, purpose, {})[0]
+
+
+def stored_observed(df: DataFrame, purpose: str, observe: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """``stored``, and aggregates of the rows, collected by the job that writes them."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation() if observe else None
+    (df.observe(seen, *[c.alias(n) for n, c in observe.items()]) if seen else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get) if seen else {}

@@ -186,6 +186,22 @@ def landing_with_gaps(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"raw_races": races.unionByName(days), "raw_results": results, "raw_fastest_laps": laps}
 
 
+def landing_in_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_results-shaped rows with the time they land; ``_third`` (0..2) spreads each race over three landings, an
+    hour apart."""
+    third = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(3)).cast("int")
+    landed = F.make_timestamp(F.lit(2024), F.lit(1), F.lit(1), third, F.lit(0), F.lit(0))
+    return results_like(spark, sf_dir).withColumn("_third", third).withColumn("landed_at", landed)
+
+
+def race_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One marker per race: how many rows it has, and the time that closes it; by the round, a marker lands with the
+    first, second or third part of the rows."""
+    races = results_like(spark, sf_dir).groupBy("year", "round").agg(F.count("*").alias("expected"))
+    return (races.withColumn("marked_at", F.make_timestamp(F.lit(2024), F.lit(1), F.lit(1), F.lit(3), F.lit(0), F.lit(0)))
+            .withColumn("_third", (F.col("round") % 3).cast("int")))
+
+
 def orders_in_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     """Orders landed up to cumulative batch ``batch`` (1..3)."""
     return table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").where(upto_batch(batch))
