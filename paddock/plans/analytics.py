@@ -70,12 +70,10 @@ def cumulative_points(stg_results: DataFrame, tiebreak=(), season=None, block_fi
     chunk = F.col("round_number").cast("long")
     if block_first_tiebreak and tiebreak:
         chunk = chunk * F.lit(1 << CHUNK_ROUND_SHIFT) + F.shiftright(F.col(tiebreak[0]).cast("long"), CHUNK_BLOCK_BITS)
-    df = df.withColumn("_chunk", chunk)
-    out = running_sum(df.withColumn("_points", exact_points("points_scored")), ["season_year", "driver_code"],
-                      ["round_number", *tiebreak], "_points", "cumulative_points", chunk="_chunk")
-    out = out.withColumn("cumulative_points", F.col("cumulative_points").cast("double"))
-    return out.select("season_year", "driver_name", "driver_code", "team_name", "round_number",
-                      "cumulative_points", *tiebreak)
+    names = ["season_year", "driver_name", "driver_code", "team_name", "round_number"]
+    df = df.select(*names, *tiebreak, exact_points("points_scored").alias("_points"))
+    out = running_sum(df, ["season_year", "driver_code"], ["round_number", *tiebreak], "_points", "cumulative_points", chunk=chunk)
+    return out.select(*names, F.col("cumulative_points").cast("double").alias("cumulative_points"), *tiebreak)
 
 
 def points_evolution(cumulative: DataFrame, stg_races: DataFrame) -> DataFrame:

@@ -118,8 +118,7 @@ register("cumulative_points")(_cum)
 def cumulative_points_events(spark, d):
     # chunk = the event's hour: monotone in (ts, event_id), so a hot user is split into hourly blocks
     # and the offsets window per user sees at most one row per hour of the calendar
-    ev = b.events_values(spark, d).withColumn("_hour", F.date_trunc("hour", "ts"))
-    out = running_sum(ev, ["user_id"], ["ts", "event_id"], "value_dec", "running_value", chunk="_hour")
+    out = running_sum(b.events_values(spark, d), ["user_id"], ["ts", "event_id"], "value_dec", "running_value", chunk=F.date_trunc("hour", "ts"))
     return out.select("user_id", "ts", "event_id", "value", F.col("running_value").cast("double").alias("running_value"))
 
 
