@@ -4,22 +4,24 @@ Targets: sources in code point order (null last) weigh ``weights``, repeating, a
 ``most`` times its source's words, and the excess goes to the others by weight. The fixed point is found by filling
 in the order of limit / weight.
 
-Schedule: the mix is a sequence of slots of ``block`` words. Slot i lies at the i-th point of the golden-ratio sequence,
+Schedule: the mix is a sequence of slots of ``BLOCK`` words. Slot i lies at the i-th point of the golden-ratio sequence,
 and the source whose stretch of the cumulative targets holds that point gets the slot, so that every stretch of the
-sequence is close to the targets. A slot's rank among its source's slots, modulo the source's number of blocks, names
-the block that it takes; each source's documents, shuffled by hash, form one stream of words cut into such
-blocks, and a block may hold parts of documents. A slot beyond ``most`` rounds of its source takes nothing.
-
-A source of fewer than ``EXACT`` blocks, for which a slot or a partial last block is much, takes its target to the word
-instead: its stream as often as it fits, and then the stream's beginning.
-
-The point sequence is computed in integers and the shuffle by md5, so that reruns agree everywhere. A step of 31 bits follows the
-golden ratio for ``EVEN`` slots; a longer mix steps by 62 bits, whose points stay even at any length. Ranks and
-stream positions come from counts per piece (a run of slots, a range of hashes) and a running sum over
-those, so that no window holds a source. Nothing but the total number of words reaches the driver.
+sequence is close to the targets. Each source's documents, shuffled by hash, form one stream of words cut into blocks
+(a block may hold parts of documents); a slot's rank among its source's slots, modulo the source's number of blocks,
+names the block that it takes, so a source is taken round by round. A source's target, in whole words, says how many
+slots it needs and how many words the last of them takes: slots beyond that take nothing, and what the points
+have not given yet is given by slots at the end of the mix. So every source, whatever its size, takes its target to the word, and
+no document more than ``most`` times.
+
+The points are computed in integers, the upper 31 bits of a 62-bit golden step, which lie evenly at any length, and the
+shuffle by md5, so that reruns agree everywhere. Ranks and stream positions come from counts per piece (a run of slots,
+a range of hashes) and a running sum over those, so that no window holds a source; rows that repeat id and text are one
+entry per input partition, spread again before they are told apart. Nothing but the total number of words reaches
+the driver.
 
 A null text, or one without words, has size 0 and is never taken. Null sources form a source of their own. Repeated rows
-and null ids are rows of their own. Without any words all targets are 0; an empty table gives an empty result.
+and null ids are rows of their own. Texts of any length are counted whole. Without any words all targets are 0; an empty table
+gives an empty result. Columns other than id, text and source are dropped.
 """
 
 from __future__ import annotations
@@ -34,13 +36,10 @@ from paddock.llm.common import landed, row_key, table
 WORD = r"[^\x20\x09-\x0D]+"
 
 TURN = 1 << 31  # points are integers below this
-STEP = 1_327_217_885  # the golden ratio's fraction of a turn, odd
-FINE_STEP = 2_850_178_704_830_799_621  # the same of a turn of 62 bits
-EVEN = 1 << 19  # slots up to which the points of STEP lie evenly
+STEP = 2_850_178_704_830_799_621  # the golden ratio's fraction of a turn of 62 bits, odd
 CELLS = 1 << 12  # cells of a turn, to look up sources by equality
 RUN = 1 << 14  # slots numbered together
-SLOTS, LEAST_BLOCK, MOST_BLOCK = 1 << 18, 16, 1 << 10  # the mix has about this many slots, within these block sizes
-EXACT = 128  # sources of fewer blocks are taken to the word
+BLOCK = 256  # words of a slot
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
@@ -70,10 +69,6 @@ def with_targets(rows: DataFrame, total: int, weights: tuple[int, ...], most: in
             .select("source", "sid", "source_size", "target"))
 
 
-def block_words(total: int) -> int:
-    return max(LEAST_BLOCK, min(MOST_BLOCK, total // SLOTS))
-
-
 def numbered(df: DataFrame, group: str, piece: Column, order: list[str], amount: Column, name: str) -> DataFrame:
     """``name``: the sum of ``amount`` over the rows of the same group before this one, in the order of (piece, order)."""
     df = df.withColumns({"_piece": piece, "_amount": amount})
@@ -85,61 +80,66 @@ def numbered(df: DataFrame, group: str, piece: Column, order: list[str], amount:
             .withColumn(name, F.col("_before") + F.col("_inside")).drop("_piece", "_amount", "_before", "_inside"))
 
 
-def point(slots: int) -> Column:
-    """The point of ``slot`` in a mix of so many slots."""
-    if slots <= EVEN:
-        return (F.col("slot") % TURN) * STEP % TURN
-    high, low = FINE_STEP // TURN, FINE_STEP % TURN  # the upper 31 bits of slot * FINE_STEP, whose lower 62 are the place in the turn
+def point() -> Column:
+    """The point of ``slot``: the upper 31 bits of slot * STEP modulo 2**62."""
+    high, low = STEP // TURN, STEP % TURN
     slot = F.col("slot") % TURN
     return (slot * high + F.shiftright(slot * low, 31)) % TURN
 
 
-def schedule(spark: SparkSession, sources: DataFrame, total: int, most: int) -> DataFrame:
-    """The mix, slot by slot: slot, sid, round (0 to most - 1), block."""
-    block = block_words(total)
+def needs(sources: DataFrame, block: int) -> DataFrame:
+    """Of each source that takes anything: sid, blocks of its stream, whole rounds, words of the last round, slots."""
+    return (sources.withColumn("words", F.floor("target").cast("long")).where("words > 0")
+            .select("sid", "source_size", F.ceil(F.col("source_size") / block).cast("long").alias("blocks"),
+                    F.floor(F.col("words") / F.col("source_size")).cast("long").alias("whole"), (F.col("words") % F.col("source_size")).alias("rest"))
+            .withColumn("needed", F.col("whole") * F.col("blocks") + F.ceil(F.col("rest") / block)))
+
+
+def schedule(spark: SparkSession, sources: DataFrame, total: int, block: int = BLOCK) -> DataFrame:
+    """The mix, slot by slot: slot, sid, rank, round, block, words. Slots from the number of points on settle what the
+    points left; they come last, by sid and rank."""
     upto = F.sum(F.floor("target").cast("long")).over(W.orderBy("sid"))
     end = F.floor(F.col("upto").cast("double") / F.lit(float(max(1, total))) * F.lit(float(TURN))).cast("long")
     stretches = (sources.withColumn("upto", upto).withColumn("hi", end)
                  .withColumn("lo", F.coalesce(F.lag("hi").over(W.orderBy("sid")), F.lit(0))).where("lo < hi")
-                 .select("sid", "lo", "hi", F.ceil(F.col("source_size") / block).alias("blocks"),
-                         F.explode(F.sequence(F.floor(F.col("lo") / (TURN // CELLS)), F.floor((F.col("hi") - 1) / (TURN // CELLS)))).alias("cell")))
+                 .select("sid", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / (TURN // CELLS)), F.floor((F.col("hi") - 1) / (TURN // CELLS)))).alias("cell")))
     n = -(-total // block)
-    slots = (spark.range(n).withColumnRenamed("id", "slot")
-             .withColumn("point", point(n))
+    slots = (spark.range(n).withColumnRenamed("id", "slot").withColumn("point", point())
              .withColumn("cell", F.floor(F.col("point") / (TURN // CELLS))))
-    placed = slots.join(stretches, "cell").where("point >= lo AND point < hi").select("slot", "sid", "blocks")
-    ranked = numbered(placed, "sid", F.floor(F.col("slot") / RUN), ["slot"], F.lit(1), "rank")
-    return (ranked.where(F.col("rank") < most * F.col("blocks"))
-            .select("slot", "sid", F.floor(F.col("rank") / F.col("blocks")).alias("round"), (F.col("rank") % F.col("blocks")).alias("block")))
-
-
-def to_the_word() -> Column:
-    """The words that a document of ``size`` at ``start`` of its source's stream gives to ``target``."""
-    words, whole = F.floor("target").cast("long"), F.col("source_size")
-    return F.floor(words / whole).cast("long") * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), words % whole - F.col("start")))
+    placed = slots.join(stretches, "cell").where("point >= lo AND point < hi").select("slot", "sid")
+    ranked = landed(numbered(placed, "sid", F.floor(F.col("slot") / RUN), ["slot"], F.lit(1), "rank"), "ranked")
+    needed = landed(needs(sources, block), "needed")
+    given = ranked.groupBy("sid").agg(F.count("*").alias("given"))
+    settling = (needed.select("sid", "needed").join(given, "sid", "left").withColumn("given", F.coalesce("given", F.lit(0))).where("given < needed")
+                .select(F.lit(n).cast("long").alias("slot"), "sid", F.explode(F.sequence(F.col("given"), F.col("needed") - 1)).alias("rank")))
+    left = F.when(F.col("round") == F.col("whole"), F.col("rest")).otherwise(F.col("source_size")) - F.col("block") * block
+    return (ranked.select("slot", "sid", "rank").unionByName(settling).join(needed, "sid").where("rank < needed")
+            .withColumn("round", F.floor(F.col("rank") / F.col("blocks"))).withColumn("block", F.col("rank") % F.col("blocks"))
+            .select("slot", "sid", "rank", "round", "block", F.least(F.lit(block), left).alias("words")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
+        weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix", block: int = BLOCK) -> DataFrame:
     """key_id (the id), key_hash (of the text), source, size, source_size, target, taken: a row for each row of ``docs``."""
     spark = docs.sparkSession
     rows = landed(sized(docs, id_col, text_col, source_col, seed), "sized")
     total = rows.agg(F.sum("size")).first()[0] or 0
     sources = landed(with_targets(rows, total, weights, most), "sources")
-    block = block_words(total)
-    small = F.col("source_size") < EXACT * block
-    uses = schedule(spark, sources, total, most).groupBy("sid", "block").agg(F.count("*").alias("uses"))
-    known = rows.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    streams = numbered(known, "sid", F.substring("place", 1, 3), ["place", "key_id", "key_hash"], F.col("size"), "start")
-    end = F.col("start") + F.col("size")
-    parts = (streams.where("size > 0")
-             .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))))
-             .withColumn("words", F.least(end, (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)))
+    uses = schedule(spark, sources, total, block).groupBy("sid", "block", "words").agg(F.count("*").alias("uses"))
+    entries = rows.groupBy(*rows.columns, F.spark_partition_id().alias("lot")).agg(F.count("*").alias("copies"))
+    known = entries.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    streams = numbered(known, "sid", F.substring("place", 1, 3), ["place", "key_id", "key_hash", "lot"], F.col("size") * F.col("copies"), "first")
     out = ["key_id", "key_hash", "source", "size", "source_size", "target"]
+    each = (streams.select("sid", "first", "copies", *out).repartition("sid", "first", "copies")
+            .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+            .withColumn("start", F.col("first") + F.col("copy") * F.col("size")).drop("first", "copies", "copy"))
+    end = F.col("start") + F.col("size")
+    parts = each.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))))
+    at = F.col("block") * block
+    inside = F.greatest(F.lit(0), F.least(end, at + F.col("words")) - F.greatest(F.col("start"), at))
     taken = (parts.join(uses, ["sid", "block"], "left").groupBy("sid", "start", *out)
-             .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
-             .withColumn("taken", F.when(small, to_the_word()).otherwise(F.col("taken"))))
-    return taken.select(*out, "taken").unionByName(known.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken")))
+             .agg(F.coalesce(F.sum(inside * F.col("uses")), F.lit(0)).alias("taken")))
+    return taken.select(*out, "taken").unionByName(each.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,26 +147,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+# What a source's stream, in the same shuffle, gives to its target: whole rounds, and the beginning of one more.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-        md5('mix:' || doc_id || ':' || md5(coalesce(text, ''))) AS place FROM documents),
-t AS (SELECT CAST(sum(size) AS BIGINT) AS total, greatest(16, least(1024, CAST(sum(size) AS BIGINT) // 262144)) AS block FROM d),
+        md5('mix:' || coalesce(CAST(doc_id AS VARCHAR) || ':', '') || md5(coalesce(text, ''))) AS place FROM documents),
+t AS (SELECT CAST(sum(size) AS BIGINT) AS total FROM d),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM d GROUP BY source),
 v AS (SELECT *, CAST([5, 2, 1][sid % 3 + 1] AS DOUBLE) AS w, CAST(3 * source_size AS DOUBLE) AS cap FROM s),
-f AS (SELECT v.*, total, total - coalesce(sum(cap) OVER (ORDER BY cap / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+f AS (SELECT v.*, total - coalesce(sum(cap) OVER (ORDER BY cap / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
         sum(w) OVER (ORDER BY cap / w, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weigh FROM v, t),
 g AS (SELECT *, CASE WHEN rest * w >= cap * weigh THEN cap
         ELSE max(CASE WHEN rest * w < cap * weigh THEN rest END) OVER () * w / max(CASE WHEN rest * w < cap * weigh THEN weigh END) OVER () END AS target FROM f),
-h AS (SELECT *, CAST(floor(CAST(sum(CAST(floor(target) AS BIGINT)) OVER (ORDER BY sid) AS DOUBLE) / CAST(total AS DOUBLE) * 2147483648.0) AS BIGINT) AS hi FROM g),
-b AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY sid), 0) AS lo FROM h),
-slots AS (SELECT i, i * 1327217885 % 2147483648 AS point FROM (SELECT unnest(range((total + block - 1) // block)) AS i FROM t)),
-ranked AS (SELECT sid, ceil(source_size / block) AS blocks, row_number() OVER (PARTITION BY sid ORDER BY i) - 1 AS k
-        FROM slots JOIN b ON point >= lo AND point < hi, t),
-uses AS (SELECT sid, k % blocks AS block_no, count(*) AS uses FROM ranked WHERE k < 3 * blocks GROUP BY 1, 2),
-p AS (SELECT d.*, sid, source_size, target, sum(size) OVER (PARTITION BY sid ORDER BY place, doc_id) - size AS start
-        FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
-q AS (SELECT p.*, block, unnest(range(CAST(start // block AS BIGINT), CAST((start + size - 1) // block AS BIGINT) + 1)) AS n FROM p, t WHERE size > 0),
-r AS (SELECT doc_id, sum((least(start + size, (n + 1) * block) - greatest(start, n * block)) * coalesce(uses, 0)) AS taken
-        FROM q LEFT JOIN uses ON q.sid = uses.sid AND q.n = uses.block_no GROUP BY doc_id)
-SELECT p.doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM p LEFT JOIN r USING (doc_id)
+p AS (SELECT d.*, sid, source_size, target, CAST(floor(target) AS BIGINT) AS words,
+        CAST(sum(size) OVER (PARTITION BY sid ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start
+        FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+    CAST(CASE WHEN size = 0 THEN 0 ELSE words // source_size * size + least(size, greatest(0, words % source_size - start)) END AS BIGINT) AS taken FROM p
 """
