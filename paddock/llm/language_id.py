@@ -6,8 +6,9 @@ its n-grams: the sum over all of them inside words and at their edges. A languag
 The language of a text is that of the prototype with the largest cosine, which is also the score (at least 0).
 
 Prototypes are learned from all rows with a language and a text, a copied text as often as it occurs; each Spark task adds up
-its share, ``tasks`` tasks add up those, and the driver theirs. The sums are whole numbers, the same in any order. The table of
-prototypes (one vector a language) is broadcast; prediction is one pass over whole texts.
+its share, others add up those by language and part, and then by language, one vector in memory at a time. The sums are
+whole numbers, the same in any order. The table of prototypes is broadcast ``BROADCAST`` languages at once (32 MB); prediction
+is one pass over whole texts for each such part, a single one for all languages that a corpus may well have.
 
 A null text, or one without letters, is "und" with score 0, as is every text where no language could be learned. Texts with a null
 language, and null texts, are not learned from. Ties go to the first language by name. Repeated rows are judged row by row; an empty table
@@ -23,15 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.llm.common import table
+from paddock.llm.common import landed, table
 
 DIMS = 1024
 PIECE_CHARS = 1 << 20
-MAX_LANGS = 4096
+BROADCAST = 4096  # languages of a pass
 UNKNOWN = "und"
 
 _GAP = re.compile(r"[\W\d_]")
@@ -126,33 +128,51 @@ def _bundled(texts: list[str | None], dims: int) -> np.ndarray:
     return out
 
 
-def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = DIMS, tasks: int = 24) -> dict[str, np.ndarray]:
-    """A prototype for each language."""
-    rated = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    if rated.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+SUMS = "lang string, part int, total array<double>"
 
-    def added(parts: Iterator[tuple[list[str], np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
-        for langs, vectors in parts:
-            for lang, vector in zip(langs, vectors, strict=True):
-                sums[lang] = sums.get(lang, 0) + vector
-        for lang, total in sums.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang], "total": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+def _summed(vectors: Iterator[tuple[str, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The sum of each run of one language and part."""
+    key, total = None, None
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"lang": [key[0]], "part": pa.array([key[1]], pa.int32()), "total": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+    for lang, part, vector in vectors:
+        if key == (lang, part):
+            total = total + vector
+            continue
+        if key:
+            yield row()
+        key, total = (lang, part), vector
+    if key:
+        yield row()
+
+
+def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = DIMS, parts: int = 24) -> DataFrame:
+    """lang and total, its prototype: a row for each language with letters; landed."""
+    rated = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512))
-        return added((b.column("lang").to_pylist(), _bundled(b.column("text").to_pylist(), dims)) for b in parts)
+        part = TaskContext.get().partitionId() % parts
+        sums: dict[str, np.ndarray] = {}
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                for lang, vector in zip(batch.column("lang").to_pylist(), _bundled(batch.column("text").to_pylist(), dims), strict=True):
+                    sums[lang] = sums[lang] + vector if lang in sums else vector
+                if len(sums) > BROADCAST:  # as many vectors are held at once
+                    yield from _summed((k, part, v) for k, v in sums.items())
+                    sums = {}
+        yield from _summed((k, part, v) for k, v in sums.items())
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512))
-        return added((b.column("lang").to_pylist(), np.array(b.column("total").to_pylist())) for b in parts)
+        return _summed((r["lang"], r["part"], np.array(r["total"])) for batch in batches for r in batch.to_pylist())
 
-    shares = rated.mapInArrow(bundle, "lang string, total array<double>").repartition(tasks)
-    prototypes: dict[str, np.ndarray] = {}
-    for r in shares.mapInArrow(add, "lang string, total array<double>").collect():  # tasks x languages rows
-        prototypes[r["lang"]] = prototypes.get(r["lang"], 0) + np.array(r["total"])
-    return {k: v for k, v in sorted(prototypes.items()) if np.any(v)}
+    shares = rated.mapInArrow(bundle, SUMS)
+    shares = shares.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(add, SUMS).withColumn("part", F.lit(0))
+    sums = shares.repartition("lang").sortWithinPartitions("lang").mapInArrow(add, SUMS)
+    return landed(sums.where(F.exists("total", lambda x: x != 0)).select("lang", "total"), "profiles")
 
 
 ADDED = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -160,14 +180,28 @@ ADDED = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.Do
 _workers: dict[str, tuple[list[str], np.ndarray]] = {}
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", dims: int = DIMS) -> DataFrame:
+def _passes(profiles: DataFrame) -> Iterator[dict[str, list[float]]]:
+    """The prototypes by name, ``BROADCAST`` at a time."""
+    while rows := profiles.orderBy("lang").limit(BROADCAST).collect():
+        yield {r.lang: r.total for r in rows}
+        profiles = profiles.where(F.col("lang") > rows[-1].lang)
+
+
+def identify(docs: DataFrame, profiles: DataFrame, text_col: str = "text", dims: int = DIMS) -> DataFrame:
     """``docs`` with lang_pred and score."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     docs = docs.drop(*(f.name for f in ADDED))
-    out = T.StructType([*docs.schema.fields, *ADDED])
-    schema, name = to_arrow_schema(out), uuid.uuid4().hex
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    schema = to_arrow_schema(T.StructType([*docs.schema.fields, *ADDED]))
+    out = docs.withColumns({ADDED[0].name: F.lit(UNKNOWN), ADDED[1].name: F.lit(0.0)})
+    for part in _passes(profiles):
+        out = out.mapInArrow(_better(docs.sparkSession.sparkContext.broadcast(part), schema, text_col, dims), out.schema)
+    return out
+
+
+def _better(shared, schema: pa.Schema, text_col: str, dims: int):
+    """Rows with lang_pred and score, where one of the shared prototypes is closer than that of before."""
+    name = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _workers:
@@ -180,15 +214,19 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
                 batch = whole.slice(at, 512)
                 own = _bundled(batch.column(text_col).to_pylist(), dims)
                 norms = np.linalg.norm(own, axis=1)
-                lang, score = np.full(len(own), UNKNOWN, dtype=object), np.zeros(len(own))
-                if some := np.flatnonzero(norms > 0).tolist() if langs else []:
+                lang = np.array(batch.column(ADDED[0].name).to_pylist(), dtype=object)
+                score = batch.column(ADDED[1].name).to_numpy(zero_copy_only=False).copy()
+                if some := np.flatnonzero(norms > 0).tolist():
                     cosine = own[some] @ vectors.T / norms[some, None]
                     best = cosine.argmax(axis=1)
-                    lang[some] = [langs[b] for b in best]
-                    score[some] = np.clip(cosine[np.arange(len(best)), best], 0, 1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], schema=schema)
-
-    return docs.mapInArrow(predict, out)
+                    found = np.clip(cosine[np.arange(len(best)), best], 0, 1)
+                    for i, k, s in zip(some, best.tolist(), found.tolist(), strict=True):
+                        if s > score[i] or lang[i] == UNKNOWN:
+                            lang[i], score[i] = langs[k], s
+                columns = [batch.column(f.name) for f in schema if f.name not in (ADDED[0].name, ADDED[1].name)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), pa.array(score)], schema=schema)
+
+    return predict
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,12 +83,13 @@ def test_language_odd_rows(spark):
     docs = spark.createDataFrame([(*r, 1) for r in rows + odd], "doc_id long, text string, lang string, score int")
     profiles = li.learn_profiles(docs.where("lang in ('aa', 'bb')"))
     got = {(r.doc_id, r.text): (r.lang_pred, r.score) for r in li.identify(docs, profiles).collect()}
-    assert sorted(profiles) == ["aa", "bb"]
+    assert sorted(r.lang for r in profiles.collect()) == ["aa", "bb"]
     assert all(got[i, t][0] == k for i, t, k in rows)
     assert [got[i, t][0] for i, t, _ in odd[:6]] == ["und", "und", "und", "aa", "bb", "aa"] and got[100, None][1] == 0.0
     assert got[105, "漢字"][0] in ("aa", "bb")
-    assert li.learn_profiles(docs.limit(0)) == {}
-    assert {r.lang_pred for r in li.identify(docs, {}).collect()} == {"und"} and li.identify(docs.limit(0), profiles).collect() == []
+    none = li.learn_profiles(docs.limit(0))
+    assert none.collect() == []
+    assert {r.lang_pred for r in li.identify(docs, none).collect()} == {"und"} and li.identify(docs.limit(0), profiles).collect() == []
 
 
 def test_language_of_copies_is_learned(spark):
@@ -97,11 +98,44 @@ def test_language_of_copies_is_learned(spark):
     docs = spark.createDataFrame(rows, "lang string, text string").crossJoin(spark.range(0, 20_000, 1, 4)).select("lang", "text")
     one = ("l0", "another text of the first one")
     profiles = li.learn_profiles(docs.union(spark.createDataFrame([one], "lang string, text string")))
+    profiles = {r.lang: np.array(r.total) for r in profiles.collect()}
     assert sorted(profiles) == [lang for lang, _ in rows]
     for k, (lang, text) in enumerate(rows):
         assert (profiles[lang] == 20_000 * li.bundles([text])[0] + (k == 0) * li.bundles([one[1]])[0]).all()
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, f"l{i:04}", " ".join("".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(6)) for _ in range(3))) for i in range(5000)]
+    docs = spark.createDataFrame([*rows, (6000, None, rows[0][2]), (6001, None, None)], "doc_id long, lang string, text string").repartition(4)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.identify(docs, li.learn_profiles(docs)).collect()}
+    assert all(got[i][0] == lang and got[i][1] > 0.999 for i, lang, _ in rows) and got[6000][0] == "l0000" and got[6001] == ("und", 0.0)
+    some = docs.where("doc_id < 40 or doc_id >= 6000")
+    found = lambda: sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in li.identify(some, li.learn_profiles(some)).collect())
+    want = found()
+    monkeypatch.setattr(li, "BROADCAST", 7)
+    assert found() == want
+
+
+def test_prediction_is_the_largest_cosine(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abc é") for _ in range(rng.randrange(1, 60))) for _ in range(80)]
+    docs = spark.createDataFrame([(i, t, "xyz"[i % 3]) for i, t in enumerate(texts)] + [(100, "ab ab", "z2"), (101, "ab ab", "z1")], "doc_id long, text string, lang string")
+    sums = {}
+    for r in docs.collect():
+        sums[r.lang] = sums.get(r.lang, 0) + li.bundles([r.text])[0]
+    unit = lambda v: v / np.linalg.norm(v)
+    for r in li.identify(docs, li.learn_profiles(docs)).collect():
+        own = li.bundles([r.text])[0]
+        if not own.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        found = {k: unit(own) @ unit(v) for k, v in sums.items()}
+        assert abs(r.score - max(0, max(found.values()))) < 1e-9 and found[r.lang_pred] > max(found.values()) - 1e-9
+        if r.doc_id >= 100:
+            assert r.lang_pred == "z1"  # equal prototypes: the first by name
+
+
 def test_bundle_is_the_sum_of_bound_ngrams(monkeypatch):
     vec = lambda c: li._letter_vector(ord(c) if c else 0, 64).astype(float)
     gram = lambda a, b, c: np.roll(vec(a), 2) * np.roll(vec(b), 1) * vec(c)
