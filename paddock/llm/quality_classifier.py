@@ -6,7 +6,8 @@ shared, and ordered thresholds between them. Features are hashed text: which wor
 position on one scale, from which follow the probability of each grade, the expected grade and the tail
 probabilities of reaching a grade.
 
-The model is fitted on a bounded sample, at most ``MAX_RATED`` rated documents chosen by hash, on the driver: features whose
+The model is fitted on a bounded sample, at most ``MAX_RATED`` documents that have a rating, chosen by hash, on the driver. Their
+features come from Spark tasks, of whole texts, as lists of different features; no text reaches the driver. Features whose
 documents' mean grade is ``MIN_DEVIATIONS`` standard errors from the overall one, so that no chance word counts, full-batch accelerated gradients on the penalised likelihood. Half of the sample,
 scored by a model of the other half, places the cut: documents are rejected whose expected grade lies below it. It is where the
 shares on the wrong side, of the best grade below and of the others above, are least together, among the places that leave at most ``SPARED`` of the
@@ -30,12 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.llm.common import table
+from paddock.llm.common import row_key, table
 from paddock.llm.wordhash import FOLD, SLICE, byte_class, hashed_words, mixed
 
 BITS = 18
 MAX_RATED = 8000
-MAX_SAMPLE_CHARS = 20_000  # longer documents are scored, but not learned from
 MIN_DOCS, MIN_DEVIATIONS = 3, 4.0
 SPARED = 0.01
 PENALTY = 1.0
@@ -169,11 +169,14 @@ def place_cut(score: np.ndarray, best: np.ndarray) -> float:
 
 def fit_with_cut(texts: list[bytes], grades: np.ndarray, n_grades: int) -> OrdinalModel:
     """The model of all texts, with the cut from two halves that score each other."""
+    return fit_features_with_cut(*features(texts), grades, n_grades)
+
+
+def fit_features_with_cut(of: np.ndarray, buckets: np.ndarray, grades: np.ndarray, n_grades: int) -> OrdinalModel:
+    """The same of (text, feature) pairs."""
     if len(np.unique(grades)) < 2:
         return OrdinalModel(np.zeros(1 << BITS, dtype=np.float32), np.zeros(n_grades - 1))
-    n = len(texts)
-    of, buckets = features(texts)
-    del texts
+    n = len(grades)
     side = np.arange(n) % 2
     score = np.zeros(n)
     for s in (0, 1):
@@ -188,16 +191,38 @@ def fit_with_cut(texts: list[bytes], grades: np.ndarray, n_grades: int) -> Ordin
     return model
 
 
+def _feature_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to the sorted different features of each."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 64):
+            batch = whole.slice(at, 64)
+            of, buckets = features([t.as_py().encode() for t in batch.column("text")])
+            lists = np.split(buckets, np.searchsorted(of, np.arange(1, batch.num_rows)))
+            yield pa.RecordBatch.from_arrays([batch.column("key_id"), batch.column("key_hash"), pa.array(lists, pa.list_(pa.int32()))], names=["key_id", "key_hash", "found"])
+
+
 def learn(docs: DataFrame, ratings: DataFrame, grade: Column, n_grades: int, id_col: str = "doc_id", text_col: str = "text",
           max_rated: int = MAX_RATED) -> OrdinalModel:
     """Fit on at most ``max_rated`` rated documents; ``grade`` is an int column of ``ratings``, null where unknown."""
     rated = ratings.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).where("id is not null and grade is not null")
-    rated = rated.orderBy(F.xxhash64("id"), "grade").limit(max_rated)
-    rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .where(F.length("text") <= MAX_SAMPLE_CHARS).join(F.broadcast(rated), "id")  # at most max_rated pairs of numbers
-            .orderBy(F.xxhash64("id"), F.xxhash64("text"), "grade").limit(max_rated).toArrow())
-    grades = rows.column("grade").to_numpy().astype(np.int64)
-    return fit_with_cut([t.as_py().encode() for t in rows.column("text")], grades, n_grades)
+    texts = docs.select(*row_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # chosen among ids and hashes of documents with a rating: at most max_rated rows, a repeated row as often as it is there
+    chosen = (texts.select("key_id", "key_hash").join(rated, F.col("key_id") == F.col("id"))
+              .orderBy(F.xxhash64("key_id"), "key_hash", "grade").limit(max_rated).select("key_id", "key_hash", "grade").toArrow())
+    if not chosen.num_rows:
+        return fit_with_cut([], np.zeros(0, dtype=np.int64), n_grades)
+    keys = docs.sparkSession.createDataFrame(chosen).select("key_id", "key_hash").distinct()
+    one = texts.join(F.broadcast(keys), ["key_id", "key_hash"]).dropDuplicates(["key_id", "key_hash"])
+    kinds = f"key_id {texts.schema['key_id'].dataType.simpleString()}, key_hash bigint, found array<int>"
+    lists = one.select("key_id", "key_hash", "text").mapInArrow(_feature_lists, kinds).toArrow()
+    place = {k: i for i, k in enumerate(zip(lists.column("key_id").to_pylist(), lists.column("key_hash").to_pylist(), strict=True))}
+    found = lists.column("found").combine_chunks()
+    start, values = found.offsets.to_numpy(), found.values.to_numpy()
+    at = np.array([place[k] for k in zip(chosen.column("key_id").to_pylist(), chosen.column("key_hash").to_pylist(), strict=True)])
+    sizes = (start[1:] - start[:-1])[at]
+    of = np.repeat(np.arange(len(at), dtype=np.int32), sizes)
+    buckets = np.concatenate([values[start[i] : start[i + 1]] for i in at])
+    return fit_features_with_cut(of, buckets, chosen.column("grade").to_numpy().astype(np.int64), n_grades)
 
 
 ADDED = [T.StructField("expected_grade", T.DoubleType()), T.StructField("reaches", T.ArrayType(T.DoubleType())), T.StructField("kept", T.BooleanType())]

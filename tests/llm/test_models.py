@@ -67,6 +67,20 @@ def test_classifier_odd_rows(spark):
     assert none.cut == float("-inf")
 
 
+def test_classifier_learns_from_long_documents_and_rated_ones_only(spark):
+    rows = [(i, " ".join([("bad" if i % 2 else "good")] * 9000 + [f"w{i}"])) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (3, rows[3][1])], "doc_id long, text string").repartition(3)
+    own = [(i, 1 - i % 2, 0) for i in range(60)]
+    labels = spark.createDataFrame(own + [(1000 + i, i % 2, 0) for i in range(5000)], "doc_id long, quality int, toxic int")
+    model = qc.learn(docs, labels, qc.label_grade(), 3, max_rated=61)  # ratings without documents take no place
+    judged = qc.grade_documents(docs, model).collect()
+    assert all(r.kept == (r.doc_id % 2 == 0) for r in judged)
+    every = qc.learn(docs, labels, qc.label_grade(), 3)
+    order = sorted([*rows, rows[3]], key=lambda r: r[0])
+    plain = qc.fit_with_cut([t.encode() for _, t in order], np.array([2 - i % 2 for i, _ in order]), 3)
+    assert np.allclose(every.weights, plain.weights, atol=1e-3) and np.any(every.weights)
+
+
 def test_language_held_out_accuracy(spark):
     rows = li.query(spark, LARGE).join(spark.read.parquet(f"{LARGE}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
