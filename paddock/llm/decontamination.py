@@ -7,8 +7,10 @@ a whole pattern length. At shift 0 the block's hash selects a bucket of patterns
 block's hash must fit too, and only then the words themselves are compared, so that no hash can make a hit. Texts
 are cut into lanes that jump side by side, which keeps the search inside numpy.
 
-The pattern table goes to the executors in blocks of at most ``block_patterns`` (pattern, item) pairs; a larger
-benchmark takes several passes over the documents, with their results added up, not a larger broadcast.
+The pattern table goes to the executors in blocks of about ``block_patterns`` (pattern, item) pairs and ``block_bytes`` of
+text; only a single pattern longer than that travels as it is. A larger benchmark takes several passes over the documents, not
+a larger broadcast: each pass writes the row keys, hits and items of documents with a hit (the first the number of words of
+all), these are added up by key and joined to the documents. Texts are only read, never written or shuffled for it.
 
 Null or empty texts, and texts without words, have no words and no hits. Items without words have no windows; an item
 with a null id counts as one with the empty id, and rows of one id are one item. Repeated documents are judged row by row, an
@@ -21,6 +23,7 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.llm.common import landed, table
+from paddock.llm.common import join_by_key, landed, row_key, table
 from paddock.llm.wordhash import FOLD, SLICE, byte_class, hashed_words, mixed
 
 # Fixed value: what counts as a word, after A-Z are lower-cased.
@@ -160,7 +163,10 @@ def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
                               lambda i: F.array_join(F.slice("w", i, window), " "))).alias("pattern")).distinct()
 
 
-def _scan(shared: Broadcast, name: str, text_col: str, schema: pa.Schema, earlier: bool):
+def _scan(shared: Broadcast, name: str, text_col: str, schema: pa.Schema, hits_only: bool):
+    """The columns of ``schema``: those of the rows that it names, and what the search finds."""
+    added = [f.name for f in ADDED]
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = _searcher(shared, name)
         for whole in batches:
@@ -172,12 +178,10 @@ def _scan(shared: Broadcast, name: str, text_col: str, schema: pa.Schema, earlie
                 found = searcher.matches([(t.as_py() or "").encode() for t in batch.column(text_col)])
                 n_words, runs, items = (list(x) for x in zip(*found, strict=True))
                 runs = [[{"first": f, "words": n} for f, n in r] for r in runs]
-                items = [sorted(x) for x in items]
-                if earlier:
-                    runs = [a + b for a, b in zip(batch.column("runs").to_pylist(), runs, strict=True)]
-                    items = [sorted({*a, *b}) for a, b in zip(batch.column("items").to_pylist(), items, strict=True)]
-                kept = [batch.column(f.name) for f in schema if f.name not in ("n_words", "runs", "items")]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(n_words, pa.int64()), pa.array(runs, schema.field("runs").type), pa.array(items, pa.list_(pa.string()))], schema=schema)
+                kept = [batch.column(f.name) for f in schema if f.name not in added]
+                out = pa.RecordBatch.from_arrays([*kept, pa.array(n_words, pa.int64()), pa.array(runs, schema.field("runs").type),
+                                                  pa.array([sorted(x) for x in items], pa.list_(pa.string()))], schema=schema)
+                yield out.filter(pa.array([bool(r) for r in runs])) if hits_only else out
                 at = end
 
     return scan
@@ -185,30 +189,39 @@ def _scan(shared: Broadcast, name: str, text_col: str, schema: pa.Schema, earlie
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text", window: int = 13, percent: int = 5,
-                       block_patterns: int = 200_000) -> DataFrame:
+                       block_patterns: int = 200_000, block_bytes: int = 1 << 26, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with n_words, runs (hit words: first, words; may overlap after several passes), items (ids as sorted
     strings), n_hit and contaminated (n_hit > 0 and at least ``percent`` of the words)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
     table_ = landed(patterns(benchmark, item_col, item_text_col, window), "patterns")
-    blocks = max(1, -(-table_.count() // block_patterns))
-    out = docs.drop("n_words", "runs", "items", "n_hit", "contaminated")
-    schema = T.StructType([*out.schema.fields, *ADDED])
-    for b in range(blocks):
-        part = table_.where(F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks)) == b) if blocks > 1 else table_
-        name = uuid.uuid4().hex
+    size = table_.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("pattern") + F.octet_length("item")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size.n // block_patterns), -(-size.bytes // block_bytes))
+    out = docs.drop(*(f.name for f in ADDED), "n_hit", "contaminated")
+
+    def searched(df: DataFrame, columns: list[T.StructField], block: int) -> DataFrame:
+        part = table_.where(F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks)) == block) if blocks > 1 else table_
         shared = spark.sparkContext.broadcast([(r.pattern, r.words, r.item) for r in part.collect()])
-        out = out.mapInArrow(_scan(shared, name, text_col, to_arrow_schema(schema), b > 0), schema)
-        if b < blocks - 1:
-            out = landed(out, "searched")
-    if blocks > 1:  # the passes' runs may overlap
-        merged = F.aggregate(F.array_sort("runs"), F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n")),
+        schema = T.StructType([*columns, *ADDED])
+        return df.mapInArrow(_scan(shared, uuid.uuid4().hex, text_col, to_arrow_schema(schema), block > 0), schema)
+
+    if blocks == 1:
+        out = searched(out, out.schema.fields, 0)
+        merged = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["words"])
+    else:
+        texts = out.select(*row_key(id_col, text_col), text_col)
+        key = [texts.schema["key_id"], texts.schema["key_hash"]]
+        passes = [landed(searched(texts, key, b).dropDuplicates(["key_id", "key_hash"]), "searched") for b in range(blocks)]
+        found = (reduce(DataFrame.unionByName, passes).groupBy("key_id", "key_hash")
+                 .agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"),
+                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+        out = join_by_key(out.select("*", *row_key(id_col, text_col)), landed(found, "found"), "inner").drop("key_id", "key_hash")
+        # the passes' runs may overlap
+        merged = F.aggregate("runs", F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n")),
                              lambda a, r: F.struct(F.greatest(a.upto, r["first"] + r["words"]).alias("upto"),
                                                    (a.n + F.greatest(r["first"] + r["words"] - F.greatest(a.upto, r["first"]), F.lit(0))).alias("n")),
                              lambda a: a.n)
-    else:
-        merged = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["words"])
     return (out.withColumn("n_hit", merged)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))))
 

@@ -57,6 +57,21 @@ def test_against_brute_force(spark, data, window, block):
     assert rows(dc.find_contamination(d, b, window=window, block_patterns=block)) == brute(*data, window)
 
 
+def test_passes_bound_the_broadcast_and_write_no_text(spark, data, monkeypatch):
+    docs, bench = data[0] + [(300, "x" * 5000 + " and " + "y" * 3000)], data[1] + [(60, "x" * 5000 + " and " + "y" * 3000)]
+    d, b = frames(spark, docs, bench)
+    landed, sent = [], []
+    keep = dc.landed
+    monkeypatch.setattr(dc, "landed", lambda df, purpose: landed.append((purpose, df.columns)) or keep(df, purpose))
+    spread = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, v: sent.append(sum(len(p) + len(i) for p, _, i in v)) or spread(sc, v))
+    assert rows(dc.find_contamination(d, b, block_bytes=9000)) == brute(docs, bench, 13)
+    assert len(sent) > 3 and max(sent) < 9000 + 8100
+    searched = [c for p, c in landed if p == "searched"]
+    assert len(searched) == len(sent) and all(c == ["key_id", "key_hash", "n_words", "runs", "items"] for c in searched)
+    assert ("found", ["key_id", "key_hash", "n_words", "runs", "items"]) in landed
+
+
 def test_empty_inputs(spark, data):
     docs, bench = data
     d, b = frames(spark, docs, [])
