@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``docs``. ``run`` writes every
 stage's result under the shared checkpoint folder and reads it back, so that a lost executor costs at most part of
-one stage. A stage handles what its operator handles: nulls in any column, empty and very long texts, repeated rows, empty
+one stage; what a stage wrote on its way, and the stage before, are deleted then. A stage handles what its operator handles: nulls in any column, empty and very long texts, repeated rows, empty
 tables, further columns.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock.llm import decontamination, mixing, near_dup, quality_classifier, token_output
-from paddock.llm.common import join_by_key, landed, row_key, table
+from paddock.llm.common import discard, discard_path, join_by_key, landed, row_key, table, watched
 
 END_ID = 2
 
@@ -71,5 +71,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = landed(stage(spark, docs, sf_dir), f"stage-{name}")
+        with watched() as paths:
+            new = landed(stage(spark, docs, sf_dir), f"stage-{name}")
+        for path in paths:  # the stage's own steps, and the stage before, are done with
+            if path != new.landed_at:
+                discard_path(spark, path)
+        if hasattr(docs, "landed_at"):
+            discard(docs)
+        docs = new
     return docs

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,16 +22,34 @@ def landed(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.landed_at = path
+    for paths in _watched:
+        paths.append(path)
     return out
 
 
 def discard(df: DataFrame) -> None:
     """Delete what ``landed`` wrote, once everything made from it is written itself."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.landed_at)
+    discard_path(df.sparkSession, df.landed_at)
+
+
+def discard_path(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_watched: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def watched() -> Iterator[list[str]]:
+    """Collects the folders that ``landed`` writes inside."""
+    _watched.append([])
+    try:
+        yield _watched[-1]
+    finally:
+        _watched.pop()
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Columns that name a row by its content: the id (which may be null or repeated) and a text hash.
 
