@@ -514,6 +514,10 @@ ORACLES.update({
     "scd2_history": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
     "scd2_current": SNAPSHOT_VERSIONS + "SELECT * FROM versions WHERE dbt_valid_to IS NULL",
     "scd2_late_runs": SNAPSHOT_VERSIONS + "SELECT * FROM versions",
+    "csv_round_trip_races": with_("SELECT year, round, event_name, country, CAST(date AS DATE) AS date FROM raw_races", **RACES_STACK),
+    "csv_round_trip_laps": with_("SELECT * FROM raw_fastest_laps", **LAPS_STACK),
+    "ingest_laps": with_("SELECT year, round, event_name, driver_code, team, "
+                         "CAST(CAST(lap_time_seconds AS DECIMAL(18,6)) AS DOUBLE) AS lap_time_seconds FROM laps_like", laps_like=LAPS_LIKE),
     "stored_order": with_("SELECT season_year, driver_code, total_points, championship_position, "
                           "row_number() OVER (PARTITION BY season_year ORDER BY championship_position) AS stored_place FROM driver_standings",
                           **STANDINGS_STACK),

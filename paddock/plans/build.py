@@ -95,7 +95,7 @@ def calendar_of(wh: Warehouse, landed: DataFrame) -> DataFrame:
 
 def prepare(wh: Warehouse, landing: dict[str, DataFrame], season: int | None = None) -> dict[str, DataFrame]:
     """Landed frames as raw rows: testing events out, missing text '' and NaN null in results, their event
-    name from the calendar. With ``season``, rows that carry no year of their own get it (P10).
+    name from the calendar, lap times in seconds. With ``season``, rows that carry no year of their own get it (P10).
 
     The calendar is written once, so that its file size plans the join with the results."""
     out = dict(landing)
@@ -105,6 +105,7 @@ def prepare(wh: Warehouse, landing: dict[str, DataFrame], season: int | None = N
     calendar = stored(calendar_of(wh, out["raw_races"]), "calendar")
     check_landing(out, calendar)
     out["raw_results"] = conform(staging.coerce_results(out["raw_results"], calendar), schemas.RAW_RESULTS)
+    out["raw_fastest_laps"] = conform(staging.coerce_laps(out["raw_fastest_laps"]), schemas.RAW_FASTEST_LAPS)
     return out
 
 

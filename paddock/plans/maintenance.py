@@ -20,7 +20,7 @@ from paddock.plans import models, staging
 from paddock.session import scratch_dir
 from paddock.sinks.tables import VersionedTable, export_csv
 from paddock.sources import bindings as b
-from paddock.sources.readers import conform, read_csv
+from paddock.sources.readers import conform, read_csv, read_seed_fastest_laps, read_seed_races
 
 BATCHES = (1, 2, 3)
 # First season re-ingested with a batch in ``replace_season`` (fixture parameter): the batch's own first season.
@@ -79,6 +79,30 @@ def csv_round_trip(spark: SparkSession, d: str, root: str | None = None) -> Data
     return read_csv(spark, path, schemas.RAW_RESULTS)
 
 
+def csv_round_trip_races(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """The calendar as a seed file, read back typed (its date is a DATE)."""
+    path = (root or scratch_dir(spark, "csv")) + "/raw_races_csv"
+    export_csv(conform(b.races_like(spark, d), schemas.SEED_RACES), path)
+    return read_seed_races(spark, path)
+
+
+def csv_round_trip_laps(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """The fastest laps as a seed file, read back typed."""
+    path = (root or scratch_dir(spark, "csv")) + "/raw_fastest_laps_csv"
+    export_csv(conform(_raw_laps(spark, d), schemas.RAW_FASTEST_LAPS), path)
+    return read_seed_fastest_laps(spark, path)
+
+
+def ingest_laps(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """X16 on the build path: landed laps carry their time as an interval; the raw table holds seconds."""
+    from paddock.plans.build import Warehouse, land, prepare, seasons_of
+
+    wh = Warehouse(spark, root or scratch_dir(spark, "ingest_laps"))
+    landing = prepare(wh, b.landing_with_lap_times(spark, d))
+    land(wh, landing, seasons_of(landing))
+    return wh.raw_fastest_laps.read()
+
+
 def incremental_not_in(spark: SparkSession, d: str) -> DataFrame:
     """Raw results of all batches whose race key is NOT IN the races staged from batch 1."""
     loaded = staging.stage_results(_raw_results(spark, d, 1)).select("race_id")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.functions.columns import (
+    interval_seconds,
     nan_to_null,
     race_id,
     round_half_away,
@@ -88,6 +89,13 @@ def exclude_testing_events(landed: DataFrame, round_col: str = "round") -> DataF
     return landed.where(~F.col(round_col).eqNullSafe(F.lit(0)))
 
 
+def coerce_laps(landed: DataFrame) -> DataFrame:
+    """Landed laps -> raw_fastest_laps: a lap time that landed as an interval (``lap_time``) becomes seconds."""
+    if "lap_time" not in landed.columns:
+        return landed
+    return landed.withColumn("lap_time_seconds", interval_seconds("lap_time")).drop("lap_time")
+
+
 def coerce_results(landed: DataFrame, calendar: DataFrame, year_col="year", round_col="round",
                    season: int | None = None) -> DataFrame:
     """Landed session rows -> raw_results: calendar fields copied by an inner join on (year, round),

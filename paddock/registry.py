@@ -236,7 +236,7 @@ def expectation_report(spark, d):
 # --- table maintenance (multi-step writes under the shared checkpoint folder) ----------------------
 from paddock.plans import maintenance as mt  # noqa: E402
 
-for _name in ("schema_clone", "replace_season", "csv_round_trip", "incremental_not_in", "append_new_rounds",
+for _name in ("schema_clone", "replace_season", "csv_round_trip", "csv_round_trip_races", "csv_round_trip_laps", "ingest_laps", "incremental_not_in", "append_new_rounds",
               "incremental_races", "incremental_results", "incremental_laps", "upsert_by_key",
               "scd2_history", "scd2_current", "scd2_late_runs", "scd2_driver_team", "ingest_results", "stored_order"):
     register(_name)(getattr(mt, _name))

@@ -186,6 +186,16 @@ def landing_with_gaps(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"raw_races": races.unionByName(days), "raw_results": results, "raw_fastest_laps": laps}
 
 
+def landing_with_lap_times(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Landed frames whose laps, one per line item, carry their time as a day-time interval."""
+    seconds = F.col("lap_time_seconds").cast("decimal(18,6)")
+    nothing = F.lit(0)
+    laps = laps_like(spark, sf_dir).withColumn("lap_time", F.make_dt_interval(nothing, nothing, nothing, seconds))
+    races = races_like(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    return {"raw_races": races, "raw_results": results_like(spark, sf_dir).where("false"),
+            "raw_fastest_laps": laps.select("year", "round", "event_name", "driver_code", "team", "lap_time")}
+
+
 def landing_in_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_results-shaped rows with the time they land; ``_third`` (0..2) spreads each race over three landings, an
     hour apart."""
