@@ -2,11 +2,14 @@
 
 The standard library's streaming parser turns a page into lines, one per block of text, each with its number of
 characters and of tags and the containers around it. Containers that are no part of an article by their element
-(menus, headers, footers, asides, forms, scripts and the like), role, or words of their class or id (``OUTSIDE``) leave the
-page with all they hold; a header inside an article is the article's. A section headed as reader comments leaves too.
-
-The text-to-tag ratio of the other lines is smoothed with a Gaussian, and a threshold between two clusters of ratios marks
-the content lines. The content region is the article or main element that holds nearly all their text. Where there is none, it is the
+(menus, headers, footers, asides, forms, scripts and the like) or role leave the page with all they hold; a header inside an
+article is the article's. So do those whose class or id is made of nothing but ``MARKS`` and ``LAYOUT`` words (ad-slot, cookieNotice), and a section
+headed as reader comments. A class or id that only mentions such a word, or an ``AMBIGUOUS`` one (discussion, search-results,
+legal-analysis), is a doubt and no more: inside an article or main element it drops what is mostly links, elsewhere what the
+ratios do not find to be content.
+
+The text-to-tag ratio of the lines is smoothed with a Gaussian, and a threshold between two clusters of ratios marks
+the content lines. The content region is the main element that holds content, or the outermost articles that do. Where there is none, it is the
 innermost container that holds all content lines but links, extended to parents that add no links, to the page if that adds paragraphs and
 headings only, and from a quotation, details or a table cell to the parent that holds more. All its lines are the text, short
 ones too; only runs of list items that are nothing but links are dropped as menus.
@@ -39,20 +42,27 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = frozenset("script style noscript template head title nav footer aside form button select option textarea input label iframe "
                     "object svg canvas audio video dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-#: Words of a class or id that mark what is not the article.
-OUTSIDE = frozenset("""
-    nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager header masthead topbar footer footnav sidebar aside rail
-    ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion promoted banner teaser
-    cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall
-    share sharing social follow comment comments disqus reply replies respond responses discussion related recommended recommendations
-    trending popular widget toolbar search skip legal copyright disclaimer
+#: Words that mark what is not the article, where a class or id holds nothing but them and words of layout.
+MARKS = frozenset("""
+    nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager masthead topbar footer footnav sidebar aside
+    ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion promoted
+    cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login paywall
+    share sharing comment comments disqus toolbar
+""".split())
+LAYOUT = frozenset("""
+    slot box container wrapper wrap area bar list section block main top bottom left right site page inner outer global primary secondary
+    js link links item items button buttons form widget row col column panel holder content region unit text body head
+""".split())
+#: Words that may as well name a part of an article.
+AMBIGUOUS = frozenset("""
+    header banner teaser alert social follow reply replies respond responses discussion related recommended recommendations
+    trending popular search skip legal rail copyright disclaimer
 """.split())
 COMMENT_HEADINGS = frozenset("comments|reader comments|responses|replies|discussion|leave a comment|leave a reply|kommentare|leserkommentare|commentaires|comentarios".split("|"))
 
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _COUNT = re.compile(r"[\d():.\s]+")
 SIGMA, RADIUS = 1.0, 2
-REGION_SHARE = 0.9
 
 
 @dataclass
@@ -62,6 +72,7 @@ class Line:
     path: tuple[int, ...]
     kind: str
     linked: int
+    doubts: tuple[int, ...] = ()
 
 
 @dataclass
@@ -70,6 +81,7 @@ class Node:
     number: int
     outside: bool = False
     in_article: bool = False
+    doubtful: bool = False
     headed: bool = field(default=False)
 
 
@@ -91,7 +103,7 @@ class Lines(HTMLParser):
             if text:
                 path = tuple(n.number for n in self.open if n.tag in CONTAINERS)
                 kind = next((n.tag for n in reversed(self.open) if n.tag in HEADINGS or n.tag in ("li", "p")), "")
-                self.lines.append(Line(text, max(1, self.tags), path, kind, self.linked))
+                self.lines.append(Line(text, max(1, self.tags), path, kind, self.linked, tuple(n.number for n in self.open if n.doubtful)))
                 holder = next((n for n in reversed(self.open) if n.tag in CONTAINERS), None)
                 if holder and not holder.headed:
                     holder.headed = True
@@ -100,21 +112,28 @@ class Lines(HTMLParser):
                 self.tags = 0
             self.parts, self.linked = [], 0
 
-    def _is_outside(self, tag: str, attrs: list, parent: Node) -> bool:
+    def _is_outside(self, tag: str, attrs: list, parent: Node) -> tuple[bool, bool]:
+        """Whether an element is no part of the article, and whether that is in doubt."""
         if tag in DROPPED or (tag == "header" and not parent.in_article):
-            return True
+            return True, False
+        doubt = False
         if tag in ("html", "body", "main"):
-            return False
+            return False, False
         for name, value in attrs:
             if name in ("class", "id"):
-                if any(w.lower() in OUTSIDE for w in _WORDS.findall(value or "")) and not (tag == "article" and not parent.in_article):
-                    return True
+                if tag == "article" and not parent.in_article:
+                    continue
+                for token in (value or "").split():
+                    words = {w.lower() for w in _WORDS.findall(token)}
+                    if words & MARKS and words <= MARKS | LAYOUT:
+                        return True, False
+                    doubt |= bool(words & (MARKS | AMBIGUOUS))
             elif name == "role":
                 if (value or "").lower() in ROLES:
-                    return True
+                    return True, False
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-        return False
+                return True, False
+        return False, doubt
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -128,7 +147,8 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         parent = self.open[-1]
-        node = Node(tag, len(self.names), parent.outside or self._is_outside(tag, attrs, parent), parent.in_article or tag in ("article", "main"))
+        outside, doubt = self._is_outside(tag, attrs, parent)
+        node = Node(tag, len(self.names), parent.outside or outside, parent.in_article or tag in ("article", "main"), doubt)
         self.names.append(tag)
         if tag == "a":
             self.links += 1
@@ -231,6 +251,37 @@ def _extends(tag: str, parent: str, more: list[Line]) -> bool:
     return all(x.kind in HEADINGS or not _is_link(x) for x in more)
 
 
+def _cleared(lines: list[Line], content: list[bool], names: list[str]) -> tuple[list[Line], list[bool]]:
+    """The lines without doubtful elements that are not content."""
+    held: dict[int, list[int]] = {}
+    for i, x in enumerate(lines):
+        for d in x.doubts:
+            held.setdefault(d, []).append(i)
+    gone: set[int] = set()
+    for own in held.values():
+        size = sum(len(lines[i].text) for i in own)
+        links = sum(lines[i].linked for i in own) >= 0.5 * sum(len(lines[i].text.replace(" ", "")) for i in own)
+        found = 2 * sum(len(lines[i].text) for i in own if content[i]) >= size
+        if links or not (found or any(names[n] in ("article", "main") for n in lines[own[0]].path)):
+            gone.update(own)
+    if len(gone) == len(lines):
+        return lines, content
+    keep = [i for i in range(len(lines)) if i not in gone]
+    return [lines[i] for i in keep], [content[i] for i in keep]
+
+
+def _holders(lines: list[Line], content: list[bool], names: list[str]) -> set[int]:
+    """The main element that holds most content, or all outermost articles that hold some."""
+    mains: dict[int, int] = {}
+    articles: set[int] = set()
+    for x, c in zip(lines, content, strict=True):
+        if c:
+            for n in (n for n in x.path if names[n] == "main"):
+                mains[n] = mains.get(n, 0) + len(x.text)
+            articles.update([n for n in x.path if names[n] == "article"][:1])
+    return {max(mains, key=mains.__getitem__)} if mains else articles
+
+
 def main_text(html: str | None) -> str:
     page = Lines()
     lines = page.read(html or "")
@@ -240,16 +291,11 @@ def main_text(html: str | None) -> str:
         return ""
     ratio = smoothed([len(x.text) / x.tags for x in lines])
     cut = threshold(ratio)
-    content = [i for i, r in enumerate(ratio) if r >= cut]
-    total = sum(len(lines[i].text) for i in content)
-    held: dict[int, int] = {}
-    for i in content:
-        for n in lines[i].path:
-            held[n] = held.get(n, 0) + len(lines[i].text)
-    longest = max((lines[i].path for i in content), key=lambda p: sum(held[n] >= REGION_SHARE * total for n in p))
-    for n in reversed(longest):
-        if held[n] >= REGION_SHARE * total and page.names[n] in ("article", "main"):
-            return " ".join(x.text for x in lines if n in x.path)
+    lines, marked = _cleared(lines, [r >= cut for r in ratio], page.names)
+    holders = _holders(lines, marked, page.names)
+    if holders:
+        return " ".join(x.text for x in lines if holders.intersection(x.path))
+    content = [i for i, c in enumerate(marked) if c] or list(range(len(lines)))
     content = [i for i in content if not _is_link(lines[i])] or content
     region = [n for n in lines[content[0]].path if all(n in lines[i].path for i in content)]
     while region:

@@ -1,4 +1,6 @@
 import html as h
+import math
+import random
 import re
 
 import pytest
@@ -61,6 +63,51 @@ def test_pages_without_article_keep_their_short_parts(page, want):
     assert main_text(page) == want
 
 
+CELL = "many words that make up a paragraph of the story told here, one after the other. "
+
+
+@pytest.mark.parametrize("page, want", [
+    # a class or id that only mentions a word drops no article text
+    (f"<article><p>{TAIL}</p><section id='discussion'><p>{LONG}</p></section><div class='search-results'><p>{TAIL}</p></div>"
+     f"<div class='legal-analysis'><p>Short.</p></div><div class='related'><a>x</a><a>y</a></div></article>", f"{TAIL} {' '.join(LONG.split())} {TAIL} Short."),
+    (f"<main><p>Intro</p><article><h1>T</h1><p>{LONG}<p>{LONG}</article></main>", f"Intro T {' '.join(LONG.split())} {' '.join(LONG.split())}"),
+    (f"<body><article><p>{LONG}</article><article><p>{LONG}</article><div>Imprint</div>", f"{' '.join(LONG.split())} {' '.join(LONG.split())}"),
+    (f"<article><div class='article-header'><h1>Title</h1></div><p>{LONG}</article>", f"Title {' '.join(LONG.split())}"),
+    (f"<article><div class='share-price-analysis'><p>{TAIL}</div><div class='share-bar'>Tell</div><p>{LONG}</article>", f"{TAIL} {' '.join(LONG.split())}"),
+    # without article or main the ratios decide on it
+    (f"<body><div class=discussion><p>{CELL * 4}<p>{CELL * 3}</div><div class=related-reading><a>x</a> <a>y</a></div>", " ".join((CELL * 7).split())),
+    (f"<body><div><p>{CELL * 4}<p>{CELL * 3}</div><div class=popular-today><div>One</div><div>Two</div></div>", " ".join((CELL * 7).split())),
+])
+def test_words_of_a_class_are_a_doubt_and_no_more(page, want):
+    assert main_text(page) == want
+
+
+def test_the_clusters_decide_without_an_article(monkeypatch):
+    story = f"<p>{CELL}</p><p>{CELL * 4}</p><p>{CELL * 4}</p><p>{CELL * 4}</p><p>{CELL}</p>"
+    text = " ".join((CELL * 14).split())
+    pages = [f"<body><div><div>Home</div><div>News</div><div>Shop</div></div><div>{story}</div><div><div>Imprint</div><div>Jobs</div></div>",
+             f"<body><table><tr><td>Home</td><td>Shop</td></tr></table><div><h1>T</h1>{story}<p>End.</p></div><div><div>Top</div></div>"]
+    want = [text, f"T {text} End."]
+    assert [main_text(p) for p in pages] == want
+    monkeypatch.setattr(html_text, "threshold", min)  # every line content
+    off = [main_text(p) for p in pages]
+    assert all("Home" in t and t != w for t, w in zip(off, want, strict=True))
+
+
+def test_smoothing_and_clusters_by_definition():
+    rng = random.Random(7)
+    for _ in range(60):
+        values = [rng.choice([1.0, 5.0, 40.0, 90.0]) * rng.random() for _ in range(rng.randrange(1, 25))]
+        for i, got in enumerate(html_text.smoothed(values)):
+            w = {j: math.exp(-((i - j) ** 2) / 2) for j in range(len(values)) if abs(i - j) <= 2}
+            assert got == pytest.approx(sum(w[j] * values[j] for j in w) / sum(w.values()))
+        cut = html_text.threshold(values)
+        below, above = [v for v in values if v < cut], [v for v in values if v >= cut]
+        if below:  # every value is nearer to the centre of its own cluster
+            a, b = sum(below) / len(below), sum(above) / len(above)
+            assert cut == pytest.approx((a + b) / 2) and all(abs(v - a) <= abs(v - b) for v in below) and all(abs(v - b) <= abs(v - a) for v in above)
+
+
 def test_rows(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, "<p>" + "many words here " * 50_000, "x"), (2, "<p>a", None), (None, "<p>a", None)], "page_id long, html string, text string")
     got = html_text.extract_text(pages).collect()
