@@ -19,7 +19,7 @@ from paddock.functions.columns import (
     text_or_empty,
     to_int,
 )
-from paddock.session import stored
+from paddock.operators.ranking import top_k_per_group
 
 
 def stage_races(raw: DataFrame, keep=()) -> DataFrame:
@@ -64,23 +64,14 @@ def stage_fastest_laps(raw: DataFrame, keep=()) -> DataFrame:
 
 def pick_fastest_lap(laps: DataFrame, race_cols=("year", "round"), time_col="lap_time_seconds",
                      tiebreak=(), payload=("event_name", "driver_code", "team")) -> DataFrame:
-    """Fastest lap per race: the least time by a hash aggregate, then the laps with that time, then the
-    least tie-breaker among those few.
+    """Fastest lap per race: the first by time, then by the tie-breakers, in one pass over the laps.
 
-    The least times (one row per race) are written once, so that their file size lets the join with
-    the laps be a broadcast; only laps that equal their race's least time reach the second aggregate,
-    whose text payload Spark can only sort. Both combine map-side, so a race that holds a third of all laps
-    sends one row per task. Laps without a time are ignored (a race of untimed laps yields no row).
+    Every task forwards its best lap of each race only (``WindowGroupLimit`` below the exchange), so a race that
+    holds a third of all laps sends one row per task, and what follows sees one row per race and task. Laps without a
+    time are ignored (a race of untimed laps yields no row).
     """
-    timed = laps.where(F.col(time_col).isNotNull())
-    least = stored(timed.groupBy(*race_cols).agg(F.min(time_col).alias("_least")), "least-times")
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"t.{c}")) for c in race_cols] + [F.col(f"l.{time_col}") == F.col("t._least")]
-    fastest = timed.alias("l").join(least.alias("t"), on).select("l.*")
-    order = F.struct(*[F.col(c) for c in (time_col, *tiebreak)])
-    best = F.min_by(F.struct(*[F.col(c) for c in payload], F.col(time_col)), order)
-    return (fastest.groupBy(*race_cols).agg(best.alias("_best"))
-            .select(*race_cols, *[F.col(f"_best.{c}").alias(c) for c in payload], F.col(f"_best.{time_col}")
-                    .alias(time_col)))
+    rows = laps.where(F.col(time_col).isNotNull()).select(*race_cols, *payload, time_col, *tiebreak)
+    return top_k_per_group(rows, race_cols, [time_col, *tiebreak], 1).select(*race_cols, *payload, time_col)
 
 
 def exclude_testing_events(landed: DataFrame, round_col: str = "round") -> DataFrame:

@@ -42,6 +42,12 @@ def test_running_sum_computes_its_input_once(spark):
         assert executed(E.queries()[name](spark, SF_SMALL)).count("lineitem.parquet") == 1, name
 
 
+def test_fastest_laps_take_one_pass(spark):
+    for name in ("stage_fastest_laps", "pick_fastest_lap", "fastest_laps_enriched"):
+        plan = executed(E.queries()[name](spark, SF_SMALL))
+        assert plan.count("lineitem.parquet") == 1 and "SortAggregate" not in plan and "WindowGroupLimit" in plan, name
+
+
 def test_standings_start_no_job_and_prune_by_season(spark, scratch):
     from paddock.plans import marts, models
 
