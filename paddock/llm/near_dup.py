@@ -11,12 +11,12 @@
 4. In each bucket every node is paired with two hubs, the smallest node and the smallest by hash, so that a
    bucket of any size gives a number of pairs in proportion. A joint likelihood of all registers, with both set sizes
    known, drops pairs that are practically below the threshold; the rest is verified on the full sets.
-5. Components of the links so far are found. Only nodes of different components that share a bucket still matter.
-   These are compared with each other, once per pair, if their sets can reach the threshold at all: of each of
-   ``PARTS`` parts of the shingles, no more can be common than either set has that some other open node has too.
-   The sum over the parts is close to the true number, as edits of two copies seldom fall into the same part. So
-   no link is lost that shares a bucket, and neither a large group of copies, linked already, nor a large
-   group of texts that are not quite similar enough is expanded into pairs.
+5. Components of the links so far are found. Only nodes of different components that share a bucket still matter, the open
+   ones. Among these, two sets can reach the threshold only if they share one of their rarest shingles: in the order of how many
+   open nodes have a shingle, the longer set's first n - ceil(t n) + 1 and the shorter's first n - ceil(2 t n / (1 + t)) + 1.
+   So pairs are made by equal rare shingles instead of equal buckets, and verified like the others. No link is lost that shares
+   a bucket, and neither a large group of copies, linked already, nor a large group of texts of one template that
+   are not quite similar enough is expanded into pairs: what tells those apart is rare, and fills their prefixes.
 
 Output: n_shingles (set size), component_id (smallest id reachable by links), kept (id = component_id). Documents without
 words or text have an empty set and no links. A null id is larger than any other; where a whole component has null ids, its
@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from paddock.llm.common import join_by_key, landed, row_key, table
 from paddock.llm.components import components
@@ -42,7 +43,6 @@ from paddock.llm.wordhash import FOLD, SLICE, byte_class, hashed_words, mixed
 _IS_WORD = ~byte_class([(0x09, 0x0E), (0x20, 0x21)])
 
 BANDS, ROWS = 25, 5
-PARTS = 64
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 
@@ -213,20 +213,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = landed(placed.join(mixed_buckets, "bucket", "left_semi"), "open")
     open_nodes = landed(open_.select("node").distinct(), "open-nodes")
     items = landed(sets.join(open_nodes, "node", "left_semi").select("node", F.explode("items").alias("item")), "items")
-    again = landed(items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1").select("item"), "again")
-    parts = (items.join(again, "item", "left_semi").groupBy("node", F.pmod("item", F.lit(PARTS)).cast("int").alias("part"))
-             .agg(F.count("*").cast("int").alias("n")).groupBy("node")
-             .agg(F.sum("n").alias("most"), F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("by"))
-             .select("node", "most", F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.coalesce(F.col("by")[p], F.lit(0))).alias("parts")))
-    side = landed(open_.join(parts, "node").join(nodes.select("node", "n_shingles", "bands"), "node"), "side")
-    x, y = side.alias("x"), side.alias("y")
-    bound = F.least("x.most", "y.most")
-    close = F.aggregate(F.zip_with("x.parts", "y.parts", lambda p, q: F.least(p, q)), F.lit(0), lambda s, n: s + n)
-    before = F.array_position("x.bands", F.col("x.bucket")) - 1  # bands before this one; their keys differ
-    earlier = F.exists(F.arrays_zip(F.slice("x.bands", 1, before.cast("int")).alias("p"), F.slice("y.bands", 1, before.cast("int")).alias("q")), lambda z: z["p"] == z["q"])
-    crossing = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-                       & _similar(bound, F.col("x.n_shingles"), F.col("y.n_shingles"), percent) & ~earlier
-                       & _similar(close, F.col("x.n_shingles"), F.col("y.n_shingles"), percent))
+    again = landed(items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1"), "again")
+    every = W.partitionBy("node")
+    # a shingle that no other open node has comes first, and can be left out
+    placed_items = (items.join(again, "item").join(nodes.select("node", F.col("n_shingles").alias("n")), "node")
+                    .withColumn("at", F.col("n") - F.count("*").over(every) + F.row_number().over(every.orderBy("c", "item"))))
+    prefix = (placed_items.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+              .withColumn("short", F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1).select("node", "item", "n", "short"))
+    prefix = landed(prefix.join(open_.select("node", "root").distinct(), "node"), "prefix")
+    x, y = prefix.alias("x"), prefix.where("short").alias("y")
+    shorter = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") < F.col("x.node")))
+    crossing = (x.join(y, (F.col("x.item") == F.col("y.item")) & shorter & (F.col("x.root") != F.col("y.root")) & (100 * F.col("y.n") >= percent * F.col("x.n")))
                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     late = landed(_verified(pairs_of(crossing), nodes, sets, percent, margin), "verified")
 
