@@ -1,7 +1,7 @@
 """Token counts by a map-side two-tier lookup; no pre-token is ever shuffled.
 
 Tier one is a compact table of the lengths (in tokens) of frequent pre-tokens, built once from a bounded
-sample of texts and broadcast: at most ``table_entries`` entries of at most ``MAX_KEY_CHARS`` characters.
+sample of texts, spread over the whole table, and broadcast: at most ``table_entries`` entries of at most ``MAX_KEY_CHARS`` characters.
 Tier two is each Python worker's own cache: pre-tokens that miss are encoded by the tokenizers library in
 one batch and kept while the cache has room. Either tier only saves work; every count is exact.
 
@@ -69,8 +69,9 @@ class TwoTierCounter:
 
 
 def frequent_lengths(docs: DataFrame, path: str, text_col: str, sample_docs: int, entries: int) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of at most ``sample_docs`` texts of moderate size."""
-    some = docs.where(F.length(text_col) <= 1 << 16).select(text_col).limit(sample_docs).collect()
+    """Lengths of the most frequent pre-tokens of at most ``sample_docs`` texts of moderate size, spread by hash over all
+    rows of all partitions."""
+    some = docs.where(F.length(text_col) <= 1 << 16).select(text_col).orderBy(F.xxhash64(F.monotonically_increasing_id())).limit(sample_docs).collect()
     find = regex.compile(tk.PRE_TOKEN).findall
     counted: Counter[str] = Counter()
     for r in some:
