@@ -14,8 +14,8 @@
 5. Components of the links so far are found. Only nodes of different components that share a bucket still matter, the open
    ones. Among these, two sets can reach the threshold only if they share one of their rarest shingles: in the order of how many
    open nodes have a shingle, the longer set's first n - ceil(t n) + 1 and the shorter's first n - ceil(2 t n / (1 + t)) + 1.
-   So pairs are made by equal rare shingles instead of equal buckets, and verified like the others. No link is lost that shares
-   a bucket, and neither a large group of copies, linked already, nor a large group of texts of one template that
+   So pairs are made by equal rare shingles instead of equal buckets, kept if they share a bucket too (by 15 bits of each band's key), and
+   verified like the others. No link is lost that shares a bucket, and neither a large group of copies, linked already, nor a large group of texts of one template that
    are not quite similar enough is expanded into pairs: what tells those apart is rare, and fills their prefixes.
 
 Output: n_shingles (set size), component_id (smallest id reachable by links), kept (id = component_id). Documents without
@@ -216,14 +216,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     again = landed(items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1"), "again")
     every = W.partitionBy("node")
     # a shingle that no other open node has comes first, and can be left out
+    tags = F.transform("bands", lambda b: b.bitwiseAND(F.lit(0x7FFF)).cast("smallint"))
     placed_items = (items.join(again, "item").join(nodes.select("node", F.col("n_shingles").alias("n")), "node")
                     .withColumn("at", F.col("n") - F.count("*").over(every) + F.row_number().over(every.orderBy("c", "item"))))
     prefix = (placed_items.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
               .withColumn("short", F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1).select("node", "item", "n", "short"))
-    prefix = landed(prefix.join(open_.select("node", "root").distinct(), "node"), "prefix")
+    prefix = landed(prefix.join(open_.select("node", "root").distinct(), "node").join(nodes.select("node", tags.alias("tags")), "node"), "prefix")
     x, y = prefix.alias("x"), prefix.where("short").alias("y")
     shorter = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") < F.col("x.node")))
-    crossing = (x.join(y, (F.col("x.item") == F.col("y.item")) & shorter & (F.col("x.root") != F.col("y.root")) & (100 * F.col("y.n") >= percent * F.col("x.n")))
+    crossing = (x.join(y, (F.col("x.item") == F.col("y.item")) & shorter & (F.col("x.root") != F.col("y.root")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
+                       & F.arrays_overlap("x.tags", "y.tags"))
                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     late = landed(_verified(pairs_of(crossing), nodes, sets, percent, margin), "verified")
 
