@@ -71,31 +71,6 @@ def test_against_brute_force(spark, rows, k, percent):
     assert result(nd.near_duplicates(docs, shingle=k, percent=percent)) == brute(rows, k, percent)
 
 
-def test_texts_of_one_template(spark):
-    # none links: each has 26 words of its own among 200; but for two copies with few edits
-    rng = random.Random(21)
-    base = [f"b{i}" for i in range(200)]
-
-    def filled(i):
-        words = list(base)
-        for k in rng.sample(range(200), 26):
-            words[k] = f"own{i}x{k}"
-        return words
-
-    texts = [filled(i) for i in range(400)]
-    texts += [[*texts[7][:-2], "end", "x"], [*texts[9][2:]], texts[11] + texts[11][:9]]
-    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
-    made = []
-    keep = nd._verified
-    try:
-        nd._verified = lambda pairs, *rest: made.append(pairs.count()) or keep(pairs, *rest)
-        got = {r.key_id: r.component_id for r in nd.near_duplicates(docs, shingle=3, percent=85).collect()}
-    finally:
-        nd._verified = keep
-    assert got == {i: i for i in range(400)} | {400: 7, 401: 9, 402: 11}
-    assert made[-1] < 50  # pairs across components that were compared
-
-
 def test_band_recall_at_the_pipelines_threshold():
     rng = np.random.default_rng(31)
     shared = 0
