@@ -17,7 +17,7 @@ from paddock.functions.columns import race_id, surrogate_key
 from paddock.operators import incremental as inc
 from paddock.operators import scd2
 from paddock.plans import models, staging
-from paddock.session import scratch_dir
+from paddock.session import scratch_dir, stored
 from paddock.sinks.tables import VersionedTable, export_csv
 from paddock.sources import bindings as b
 from paddock.sources.readers import conform, read_csv, read_seed_fastest_laps, read_seed_races
@@ -260,7 +260,7 @@ def stream_marked_races(spark: SparkSession, d: str, root: str | None = None) ->
     root = root or scratch_dir(spark, "stream_marked")
     run = MarkedRaces(spark, root, schemas.RAW_RESULTS)
     landing = b.landing_in_thirds(spark, d)
-    markers = b.race_markers(spark, d)
+    markers = stored(b.race_markers(spark, d), "markers")
     for k in range(3):
         conform(landing.where(F.col("_third") == k), landed_schema(schemas.RAW_RESULTS)).write.mode("append").parquet(run.rows_dir)
         conform(markers.where(F.col("_third") == k), MARKERS).write.mode("append").parquet(run.markers_dir)

@@ -12,9 +12,9 @@ when it is reached the race is staged whole, in one commit, by the staging model
 staged goes to the *rejected* table with its reason: ``unmarked`` (no marker in time, or no race key; the join's outer
 rows) and ``late`` (of a race that was staged before).
 
-State is keyed by race, so it is spread over the shuffle partitions and holds rows of races that are not marked yet
-only; ``spark.sql.streaming.stateStore.providerClass`` may name the RocksDB provider where that is more than
-executors can hold. The join does not combine rows, so a race with a third of the rows in flight has one task.
+State is keyed by race, so it is spread over the shuffle partitions and holds groups until the watermark has passed
+them; ``spark.sql.streaming.stateStore.providerClass`` may name the RocksDB provider where that is more than
+executors can hold.
 
 Replay: a micro-batch that died before the stream's checkpoint is delivered again, the same. The commit of the held
 table comes last and carries the batch's number; a batch that it names is done and skipped. Before it, the steps
@@ -24,6 +24,7 @@ the incremental rule finds the races that are staged already.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +44,23 @@ def landed_schema(rows: T.StructType) -> T.StructType:
     return T.StructType([*rows.fields, T.StructField("landed_at", T.TimestampType())])
 
 
+#: Groups that a task gathers before it passes them on.
+GATHERED = 100_000
+
+
+def _distinct_rows(batches):
+    """The distinct rows of a task's Arrow batches; those of each ``GATHERED`` where there are more."""
+    seen = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        seen = (new if seen is None else pa.concat_tables([seen, new])).group_by(new.column_names).aggregate([])
+        if seen.num_rows > GATHERED:
+            yield from seen.to_batches()
+            seen = None
+    if seen is not None:
+        yield from seen.to_batches()
+
+
 class MarkedRaces:
     """A landing (``rows``, ``markers``) and what is made of it, under one folder."""
 
@@ -54,18 +72,35 @@ class MarkedRaces:
         self.ledger = VersionedTable(spark, f"{self.root}/ledger", ["batch"])
         self.rejected = VersionedTable(spark, f"{self.root}/rejected", ["batch"])
 
+    def groups(self) -> DataFrame:
+        """The stream of groups of landed rows, each once per task that reads its file."""
+        rows = self.spark.readStream.schema(landed_schema(self.schema)).parquet(self.rows_dir)
+        rows = rows.select(F.col("_metadata.file_path").alias("file"), *RACE, "landed_at")
+        return rows.mapInArrow(_distinct_rows, rows.schema)
+
     def joined(self) -> DataFrame:
-        """Rows with their marker's number of rows; null where no marker came in time."""
-        rows = self.spark.readStream.schema(landed_schema(self.schema)).parquet(self.rows_dir).withWatermark("landed_at", self.wait)
+        """Groups with their marker's number of rows; null where no marker came in time."""
+        groups = self.groups().withWatermark("landed_at", self.wait)
         markers = (self.spark.readStream.schema(MARKERS).parquet(self.markers_dir).withWatermark("marked_at", self.wait)
                    .dropDuplicatesWithinWatermark(RACE).select(*[F.col(c).alias(f"m_{c}") for c in RACE], "expected", "marked_at"))
         wait = F.expr(f"INTERVAL {self.wait}")
         on = [F.col(c) == F.col(f"m_{c}") for c in RACE]
-        return (rows.join(markers, [*on, F.col("landed_at") <= F.col("marked_at"), F.col("landed_at") >= F.col("marked_at") - wait], "left_outer")
+        return (groups.join(markers, [*on, F.col("landed_at") <= F.col("marked_at"), F.col("landed_at") >= F.col("marked_at") - wait], "left_outer")
                 .drop("m_year", "m_round", "marked_at"))
 
+    def rows_of(self, groups: DataFrame) -> DataFrame:
+        """The landed rows of ``groups``, with their marker's number of rows; only the files of the groups are read."""
+        groups = stored(groups.distinct(), "marked-groups")
+        files = [r.file for r in groups.select("file").distinct().collect()]
+        key = ["file", *RACE, "landed_at"]
+        groups = groups.select(*[F.col(c).alias(f"g_{c}") for c in key], "expected")
+        rows = self.spark.read.schema(landed_schema(self.schema)).parquet(self.rows_dir)
+        rows = rows.where(F.col("_metadata.file_path").isin(files)).select("*", F.col("_metadata.file_path").alias("file"))
+        return (rows.join(groups, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in key])
+                .select(*self.schema.fieldNames(), "landed_at", "expected"))
+
     def apply(self, batch: DataFrame, number: int, stage) -> None:
-        """One micro-batch of ``joined``."""
+        """One micro-batch: rows with their marker's number of rows (``rows_of`` what ``joined`` lets out)."""
         done = self.held.commits()[-1].note if self.held.exists() else None
         if done is not None and int(done) >= number:
             return
@@ -102,6 +137,6 @@ class MarkedRaces:
 
     def trigger(self, stage) -> None:
         """Process what has landed, then stop."""
-        query = (self.joined().writeStream.foreachBatch(lambda batch, number: self.apply(batch, number, stage))
+        query = (self.joined().writeStream.foreachBatch(lambda batch, number: self.apply(self.rows_of(batch), number, stage))
                  .option("checkpointLocation", f"{self.root}/_checkpoint").trigger(availableNow=True).start())
         query.awaitTermination()

@@ -88,3 +88,12 @@ def test_a_batch_delivered_again_changes_nothing(spark, run):
     run.apply(second, 1, staging.stage_results)
     assert staged(run) == [(1, "A"), (1, "D"), (2, "B")] and held.read().count() == 0
     assert rejected(run) == [(2, "E", "late"), (3, "C", "unmarked")]
+
+
+def test_the_state_holds_groups_of_rows_and_not_the_rows(spark, scratch, run):
+    run.rows_dir = scratch("a folder of 100%")
+    land(run, [result(1, f"D{i}", 0) for i in range(500)], [])
+    state = spark.read.format("statestore").option("joinSide", "left").load(f"{run.root}/_checkpoint")
+    assert 1 <= state.count() <= 2  # one race, one time, two files
+    land(run, [result(1, "E", 1), result(None, "N", 1)], [marker(1, 501, 2)])
+    assert len(staged(run)) == 501 and run.held.read().count() == 0
