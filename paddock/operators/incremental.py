@@ -54,7 +54,7 @@ def append_unseen(target: VersionedTable, landed: DataFrame, keys=("year", "roun
 
 
 def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, target_key: str = "race_id",
-                      seasons=None, season_col: str = "season_year") -> DataFrame:
+                      seasons=None, season_col: str = "season_year", dealt_by: str | None = None) -> DataFrame:
     """One incremental run of a staging model; returns the rows appended.
 
     ``stage`` maps raw rows to staged rows; ``raw_key`` is the race-key Column on raw rows. Because
@@ -63,16 +63,18 @@ def incremental_stage(target: VersionedTable, raw: DataFrame, stage, raw_key, ta
 
     With ``seasons`` (``raw`` holds only those seasons) the target's keys are read from those season
     partitions only: a race key starts with its season, so keys of other seasons can never match.
+
+    With ``dealt_by``, the column of raw rows that becomes the target's partition, the raw rows are dealt out by it and
+    staged where they are written: the keys that staging adds are not shuffled.
     """
     if target.exists():
         existing = target.read()
         if seasons is not None:
             existing = existing.where(F.col(season_col).isin(list(seasons)))
         raw = raw.withColumn("_race_key", raw_key)
-        batch = stage(not_in(raw, "_race_key", existing.select(target_key), target_key).drop("_race_key"))
-    else:
-        batch = stage(raw)
-    target.append(batch)
+        raw = not_in(raw, "_race_key", existing.select(target_key), target_key).drop("_race_key")
+    batch = stage(raw if dealt_by is None else raw.hint("rebalance", F.col(dealt_by)))
+    target.append(batch, dealt=dealt_by is not None)
     return batch
 
 

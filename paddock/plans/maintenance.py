@@ -31,6 +31,16 @@ UNLISTED_SEASON = 1996
 SNAPSHOT_RUNS = (*b.BATCH_CUTS, "2002-01-01")
 
 
+def _landed_results(spark, d) -> DataFrame:
+    """What lands over all batches, joined and written once; a batch is a range of order dates of it."""
+    rows = b.results_like(spark, d).select(*schemas.RAW_RESULTS.fieldNames(), "o_orderdate")
+    return stored(rows, "landed-results")
+
+
+def _landed_laps(spark, d) -> DataFrame:
+    return stored(b.laps_like(spark, d), "landed-laps")
+
+
 def _raw_results(spark, d, batch=None) -> DataFrame:
     r = b.results_like(spark, d)
     if batch is not None:
@@ -121,28 +131,31 @@ def append_new_rounds(spark: SparkSession, d: str, root: str | None = None) -> D
     return t.read()
 
 
-def _incremental(spark, d, root, name, raw_of, stage) -> DataFrame:
+def _incremental(spark, root, name, raw_of, stage) -> DataFrame:
     t = VersionedTable(spark, root or scratch_dir(spark, name), partition_by=["season_year"])
     for k in BATCHES:
-        inc.incremental_stage(t, raw_of(spark, d, k), stage, race_id("year", "round"))
+        inc.incremental_stage(t, raw_of(k), stage, race_id("year", "round"), dealt_by="year")
     return t.read()
 
 
 def incremental_results(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """``stg_results`` built incrementally over the three batches."""
-    return _incremental(spark, d, root, "stg_results",
-                        lambda s, dd, k: conform(_raw_results(s, dd, k), schemas.RAW_RESULTS),
+    landed = _landed_results(spark, d)
+    return _incremental(spark, root, "stg_results", lambda k: conform(landed.where(b.upto_batch(k)), schemas.RAW_RESULTS),
                         staging.stage_results)
 
 
 def incremental_races(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """``stg_races`` built incrementally (a race keeps the calendar row of its first batch)."""
-    return _incremental(spark, d, root, "stg_races", _raw_races, staging.stage_races)
+    return _incremental(spark, root, "stg_races", lambda k: _raw_races(spark, d, k), staging.stage_races)
 
 
 def incremental_laps(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """``stg_fastest_laps`` built incrementally (a race keeps the lap picked from its first batch)."""
-    return _incremental(spark, d, root, "stg_fastest_laps", _raw_laps, staging.stage_fastest_laps)
+    landed = _landed_laps(spark, d)
+    return _incremental(spark, root, "stg_fastest_laps",
+                        lambda k: staging.pick_fastest_lap(landed.where(b.upto_batch(k)), tiebreak=b.LAP_TIEBREAKS),
+                        staging.stage_fastest_laps)
 
 
 def upsert_by_key(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
@@ -244,11 +257,11 @@ def stream_incremental_results(spark: SparkSession, d: str, root: str | None = N
 
     root = root or scratch_dir(spark, "stream")
     target = VersionedTable(spark, f"{root}/stg_results", partition_by=["season_year"])
-    raw = b.results_like(spark, d)
+    raw = _landed_results(spark, d)
     for k in BATCHES:
         conform(raw.where(b.in_batch(k)), schemas.RAW_RESULTS).write.mode("append").parquet(f"{root}/landing")
         stream_incremental_stage(spark, f"{root}/landing", schemas.RAW_RESULTS, target, staging.stage_results,
-                                 race_id("year", "round"), f"{root}/_checkpoint")
+                                 race_id("year", "round"), f"{root}/_checkpoint", dealt_by="year")
     return target.read()
 
 

@@ -82,12 +82,14 @@ class VersionedTable:
         log = self.commits()
         return log[-1].version if log else 0
 
-    def _commit(self, op: str, part: tuple[str, dict], hidden, schema: T.StructType, note: str | None = None) -> None:
-        name, observed = part
-        row = (self.version() + 1, op, name, list(hidden), schema.json(), self.partition_by, note, observed)
-        commit = self.spark.createDataFrame([row], _LOG_SCHEMA)
-        commit.coalesce(1).write.mode("append").parquet(self._log)
-        self._log_rows = self._current([*self.commits(), commit.first()])
+    def _commit(self, op: str, part: tuple[str, dict], hidden, schema: T.StructType, note: str | None = None, then=()) -> None:
+        """One commit row, and one for each part of ``then``, appended after it; they are one file and appear together."""
+        steps = [(op, part, hidden), *[("append", p, []) for p in then]]
+        rows = [(self.version() + i, o, name, list(h), schema.json(), self.partition_by, note, observed)
+                for i, (o, (name, observed), h) in enumerate(steps, 1)]
+        commit = self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
+        commit.write.mode("append").parquet(self._log)
+        self._log_rows = self._current([*self.commits(), *commit.collect()])
 
     # -- read ------------------------------------------------------------------------------------
     def schema(self) -> T.StructType:
@@ -129,12 +131,13 @@ class VersionedTable:
         return sum(counts)
 
     # -- write -----------------------------------------------------------------------------------
-    def _write_part(self, df: DataFrame, observe: dict[str, Column] | None = None) -> tuple[str, dict]:
-        """Write ``df`` as a new part: (its name, what the job that wrote it observed)."""
-        part = f"{self.version() + 1:09d}-{uuid.uuid4().hex}"
+    def _write_part(self, df: DataFrame, observe: dict[str, Column] | None = None, dealt: bool = False, ahead: int = 1) -> tuple[str, dict]:
+        """Write ``df`` as a new part: (its name, what the job that wrote it observed). Rows that are ``dealt`` out by
+        partition value already are written where they are. The part belongs to the commit ``ahead`` of the last one."""
+        part = f"{self.version() + ahead:09d}-{uuid.uuid4().hex}"
         if self.order_by:
             df = df.repartitionByRange(*self.partition_by, *self.order_by)
-        elif self.partition_by:
+        elif self.partition_by and not dealt:
             df = df.hint("rebalance", *[F.col(c) for c in self.partition_by])
         seen = Observation() if observe else None
         if seen:  # after the last exchange: a range partitioning also samples what is below it
@@ -155,9 +158,9 @@ class VersionedTable:
             self._commit("create", self._write_part(like.where(F.lit(False))), [], like.schema)
         return self
 
-    def append(self, df: DataFrame, note: str | None = None) -> "VersionedTable":
+    def append(self, df: DataFrame, note: str | None = None, dealt: bool = False) -> "VersionedTable":
         df = self._bind(df)
-        self._commit("append", self._write_part(df), [], df.schema, note)
+        self._commit("append", self._write_part(df, dealt=dealt), [], df.schema, note)
         return self
 
     def overwrite(self, df: DataFrame, note: str | None = None, observe: dict[str, Column] | None = None) -> "VersionedTable":

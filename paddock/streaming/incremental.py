@@ -25,12 +25,13 @@ from paddock.sinks.tables import VersionedTable
 
 
 def stream_incremental_stage(spark: SparkSession, landing_dir: str, schema, target: VersionedTable, stage,
-                             race_key, checkpoint: str) -> None:
-    """Run one ``availableNow`` trigger over ``landing_dir`` (parquet, given ``schema``)."""
+                             race_key, checkpoint: str, dealt_by: str | None = None) -> None:
+    """Run one ``availableNow`` trigger over ``landing_dir`` (parquet, given ``schema``); ``dealt_by`` as in
+    ``incremental_stage``."""
     raw = spark.readStream.schema(schema).parquet(landing_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        inc.incremental_stage(target, batch, stage, race_key)
+        inc.incremental_stage(target, batch, stage, race_key, dealt_by=dealt_by)
 
     q = (raw.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint)

@@ -120,7 +120,7 @@ class MarkedRaces:
         names = self.schema.fieldNames()
         whole = open_.join(complete, "_race", "left_semi").select(*names)
         if not whole.isEmpty():
-            inc.incremental_stage(self.target, whole, stage, race_id(*RACE))
+            inc.incremental_stage(self.target, whole, stage, race_id(*RACE), dealt_by=RACE[0])
         refused = (late.select(*names, "landed_at").withColumn("reason", F.lit("late"))
                    .unionByName(fresh.where("expected IS NULL").select(*names, "landed_at").withColumn("reason", F.lit("unmarked"))))
         self._own(self.rejected, refused.withColumn("batch", F.lit(number)), number)
