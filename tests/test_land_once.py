@@ -33,3 +33,8 @@ def sources(tmp_path, monkeypatch):
 def test_incremental_results_join_once(spark, sources):
     want = rows(mt.incremental_results(spark, SF_SMALL))
     assert rows(mt.incremental_results(spark, sources)) == want and len(want) > 1000
+
+
+def test_incremental_laps_join_once(spark, sources):
+    want = rows(mt.incremental_laps(spark, SF_SMALL))
+    assert rows(mt.incremental_laps(spark, sources)) == want and len(want) > 100
