@@ -38,3 +38,8 @@ def test_incremental_results_join_once(spark, sources):
 def test_incremental_laps_join_once(spark, sources):
     want = rows(mt.incremental_laps(spark, SF_SMALL))
     assert rows(mt.incremental_laps(spark, sources)) == want and len(want) > 100
+
+
+def test_streamed_landings_join_once(spark, sources):
+    want = rows(mt.incremental_results(spark, SF_SMALL))
+    assert rows(mt.stream_incremental_results(spark, sources)) == want
