@@ -86,14 +86,14 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key) -> DataFrame:
     return keep.unionByName(batch.select(*target.columns))
 
 
-def upsert_into(target: VersionedTable, batch: DataFrame, key, partition_col: str, key_of=None) -> None:
+def upsert_into(target: VersionedTable, batch: DataFrame, key, partition_col: str, key_of=None, dealt: bool = False) -> None:
     """I4 on a partitioned ``VersionedTable`` whose key determines the partition (``result_sk``
     hashes the season): only the partitions the batch touches are read, merged and replaced, in one
     commit, and the batch itself is computed once. ``key_of`` is the key's expression over the row's columns, which
-    proves the rule from the batch alone (see ``VersionedTable.upsert``)."""
+    proves the rule from the batch alone (see ``VersionedTable.upsert``); ``dealt`` as in ``VersionedTable.append``."""
     if target.partition_by != [partition_col]:
         raise ValueError(f"target must be partitioned by {partition_col}")
-    target.upsert(batch, key, key_of)
+    target.upsert(batch, key, key_of, dealt)
 
 
 def first_batch_wins(df: DataFrame, race_key: str, batch_col: str) -> DataFrame:

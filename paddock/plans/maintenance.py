@@ -161,10 +161,14 @@ def incremental_laps(spark: SparkSession, d: str, root: str | None = None) -> Da
 def upsert_by_key(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
     """I4: stage batch 1, then upsert the rows new in batch 2 and in batch 3 by ``result_sk``."""
     t = VersionedTable(spark, root or scratch_dir(spark, "upsert"), partition_by=["season_year"])
-    r = b.results_like(spark, d)
-    t.overwrite(staging.stage_results(r.where(b.in_batch(1))))
+    landed = _landed_results(spark, d)
+
+    def staged(k):
+        return staging.stage_results(landed.where(b.in_batch(k)).hint("rebalance", F.col("year")))
+
+    t.overwrite(staged(1), dealt=True)
     for k in BATCHES[1:]:
-        inc.upsert_into(t, staging.stage_results(r.where(b.in_batch(k))), "result_sk", "season_year",
+        inc.upsert_into(t, staged(k), "result_sk", "season_year", dealt=True,
                         key_of=surrogate_key("season_year", "round_number", "driver_code"))
     return t.read()
 

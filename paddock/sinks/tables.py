@@ -82,14 +82,12 @@ class VersionedTable:
         log = self.commits()
         return log[-1].version if log else 0
 
-    def _commit(self, op: str, part: tuple[str, dict], hidden, schema: T.StructType, note: str | None = None, then=()) -> None:
-        """One commit row, and one for each part of ``then``, appended after it; they are one file and appear together."""
-        steps = [(op, part, hidden), *[("append", p, []) for p in then]]
-        rows = [(self.version() + i, o, name, list(h), schema.json(), self.partition_by, note, observed)
-                for i, (o, (name, observed), h) in enumerate(steps, 1)]
-        commit = self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
-        commit.write.mode("append").parquet(self._log)
-        self._log_rows = self._current([*self.commits(), *commit.collect()])
+    def _commit(self, op: str, part: tuple[str, dict], hidden, schema: T.StructType, note: str | None = None) -> None:
+        name, observed = part
+        row = (self.version() + 1, op, name, list(hidden), schema.json(), self.partition_by, note, observed)
+        commit = self.spark.createDataFrame([row], _LOG_SCHEMA)
+        commit.coalesce(1).write.mode("append").parquet(self._log)
+        self._log_rows = self._current([*self.commits(), commit.first()])
 
     # -- read ------------------------------------------------------------------------------------
     def schema(self) -> T.StructType:
@@ -131,10 +129,10 @@ class VersionedTable:
         return sum(counts)
 
     # -- write -----------------------------------------------------------------------------------
-    def _write_part(self, df: DataFrame, observe: dict[str, Column] | None = None, dealt: bool = False, ahead: int = 1) -> tuple[str, dict]:
+    def _write_part(self, df: DataFrame, observe: dict[str, Column] | None = None, dealt: bool = False, onto: str | None = None) -> tuple[str, dict]:
         """Write ``df`` as a new part: (its name, what the job that wrote it observed). Rows that are ``dealt`` out by
-        partition value already are written where they are. The part belongs to the commit ``ahead`` of the last one."""
-        part = f"{self.version() + ahead:09d}-{uuid.uuid4().hex}"
+        partition value already are written where they are. ``onto`` a part that no commit names yet, files are added to it."""
+        part = onto or f"{self.version() + 1:09d}-{uuid.uuid4().hex}"
         if self.order_by:
             df = df.repartitionByRange(*self.partition_by, *self.order_by)
         elif self.partition_by and not dealt:
@@ -144,7 +142,7 @@ class VersionedTable:
             df = df.observe(seen, *[c.cast("bigint").alias(n) for n, c in observe.items()])
         if self.order_by:
             df = df.sortWithinPartitions(*self.partition_by, *self.order_by)
-        df.write.partitionBy(*self.partition_by).mode("errorifexists").parquet(f"{self.path}/{_PART_COL}={part}")
+        df.write.partitionBy(*self.partition_by).mode("append" if onto else "errorifexists").parquet(f"{self.path}/{_PART_COL}={part}")
         return part, dict(seen.get) if seen else {}
 
     def _bind(self, df: DataFrame) -> DataFrame:
@@ -163,8 +161,8 @@ class VersionedTable:
         self._commit("append", self._write_part(df, dealt=dealt), [], df.schema, note)
         return self
 
-    def overwrite(self, df: DataFrame, note: str | None = None, observe: dict[str, Column] | None = None) -> "VersionedTable":
-        self._commit("overwrite", self._write_part(df, observe), [], df.schema, note)
+    def overwrite(self, df: DataFrame, note: str | None = None, observe: dict[str, Column] | None = None, dealt: bool = False) -> "VersionedTable":
+        self._commit("overwrite", self._write_part(df, observe, dealt), [], df.schema, note)
         return self
 
     def compact(self) -> "VersionedTable":
@@ -180,7 +178,7 @@ class VersionedTable:
         self._commit("replace", self._write_part(df, observe), [_partition_text(v) for v in values], df.schema, note)
         return self
 
-    def upsert(self, batch: DataFrame, key, key_of: Column | None = None) -> "VersionedTable":
+    def upsert(self, batch: DataFrame, key, key_of: Column | None = None, dealt: bool = False) -> "VersionedTable":
         """I4: ``DELETE WHERE key IN batch; INSERT batch`` as one commit, for a table whose key determines
         its (single) partition column. Only the partitions that the batch touches are read and replaced.
 
@@ -188,17 +186,21 @@ class VersionedTable:
         equals, the batch is held against it, and no other partition can hold its keys: history is not read. Without
         it, a scan of the other partitions' keys looks for the batch's. A key that breaks the rule raises.
 
-        The batch is written first, as a part that no commit names yet, so it is computed once."""
+        The batch is written first, as a part that no commit names yet, so it is computed once; the kept
+        rows of the touched partitions are added to that part as files of their own, so the batch is not written again. The
+        join that finds them reads the part's files listed before."""
         if len(self.partition_by) != 1:
             raise ValueError("upsert needs exactly one partition column")
         keys = [key] if isinstance(key, str) else list(key)
         if key_of is not None and len(keys) != 1:
             raise ValueError("key_of is the expression of one key column")
-        written = self._scan([self._write_part(self._bind(batch))[0]], batch.schema).drop(_PART_COL)
+        part = self._write_part(self._bind(batch), dealt=dealt)
+        written = self._scan([part[0]], batch.schema).drop(_PART_COL)
         if key_of is not None and not written.where(~F.col(keys[0]).eqNullSafe(key_of)).isEmpty():
             raise ValueError("a key of the batch is not that of its row")
         if not self.exists():
-            return self.overwrite(written)
+            self._commit("overwrite", part, [], batch.schema)
+            return self
         # one row per partition value (season) of the batch
         touched = [r[0] for r in written.select(_partition_key(self.partition_by)).distinct().collect()]
         inside = _partition_key(self.partition_by).isin(touched)
@@ -206,8 +208,12 @@ class VersionedTable:
         if key_of is None and not self.read().where(~inside).select(*keys).join(ids, keys, "left_semi").isEmpty():
             raise ValueError("a key of the batch is in the table under another partition value")
         keep = self.read().where(inside).join(ids, keys, "left_anti")
-        merged = self._bind(keep.unionByName(written))
-        self._commit("upsert", self._write_part(merged), touched, merged.schema)
+        if self.order_by:  # the files of a value follow each other in order: kept and new rows go into one part
+            merged = self._bind(keep.unionByName(written))
+            self._commit("upsert", self._write_part(merged), touched, merged.schema)
+        else:
+            kept = self._bind(keep)
+            self._commit("upsert", self._write_part(kept, onto=part[0]), touched, kept.schema)
         return self
 
 

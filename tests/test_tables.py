@@ -98,6 +98,20 @@ def test_upsert_does_not_read_other_partitions(spark, scratch):
     assert t.read().where("season_year = 1 AND v = 9").count() == 1
 
 
+def test_upsert_writes_a_batch_once_and_shows_it_at_once(spark, scratch):
+    t = VersionedTable(spark, scratch("once"), ["season_year"])
+    key = surrogate_key("season_year", "driver")
+    t.upsert(_keyed(spark, (1, "a", 1), (1, "b", 2), (2, "a", 3)), "k", key)
+    t.upsert(_keyed(spark, (1, "a", 9), (1, "c", 8), (3, "a", 7)), "k", key)
+    t.upsert(_keyed(spark, (1, "c", 6)), "k", key)
+    files = glob.glob(f"{t.path}/vt_part=*/*/*.parquet")
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 3 + (1 + 3) + (2 + 1)  # kept rows and the batch
+    assert len(t.commits()) == 3  # what an upsert changes appears with one row
+    again = VersionedTable(spark, t.path, ["season_year"])
+    for table in (t, again):
+        assert rows(table.read(), "season_year", "driver", "v") == [(1, "a", 9), (1, "b", 2), (1, "c", 6), (2, "a", 3), (3, "a", 7)]
+
+
 def test_writes_observe_what_they_write(spark, scratch):
     t = VersionedTable(spark, scratch("obs"), ["season_year"], ["place"])
     nulls = {"place": F.count_if(F.col("place").isNull())}
