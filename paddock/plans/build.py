@@ -74,10 +74,11 @@ class Warehouse:
         return self.table(name, ["season_year"], ORDER[name])
 
 
-def landing_from_testdata(spark: SparkSession, sf_dir: str, batch: int) -> dict[str, DataFrame]:
-    """The landed frames of cumulative batch ``batch`` built from the test tables."""
-    results = conform(b.results_like(spark, sf_dir).where(b.upto_batch(batch)), schemas.RAW_RESULTS)
-    laps = b.laps_like(spark, sf_dir).where(b.upto_batch(batch))
+def landing_from_testdata(spark: SparkSession, sf_dir: str, batch: int, facts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The landed frames of cumulative batch ``batch`` built from the test tables; with ``facts`` (``landed_facts``, stored)
+    the line items are not joined again."""
+    results = conform(b.results_like(spark, sf_dir, facts).where(b.upto_batch(batch)), schemas.RAW_RESULTS)
+    laps = b.laps_like(spark, sf_dir, facts).where(b.upto_batch(batch))
     races = b.races_like(spark, sf_dir, b.orders_in_batch(spark, sf_dir, batch)).withColumn("date", iso_date("date"))
     return {"raw_races": conform(staging.exclude_testing_events(races), schemas.RAW_RACES),
             "raw_results": results,
@@ -149,7 +150,7 @@ def stage(wh: Warehouse, seasons=None) -> None:
     for target, raw, fn in ((wh.stg_races, wh.raw_races, staging.stage_races),
                             (wh.stg_results, wh.raw_results, staging.stage_results),
                             (wh.stg_fastest_laps, wh.raw_fastest_laps, staging.stage_fastest_laps)):
-        inc.incremental_stage(target, _seasons(raw.read(), "year", seasons), fn, key, seasons=seasons)
+        inc.incremental_stage(target, _seasons(raw.read(), "year", seasons), fn, key, seasons=seasons, dealt_by="year")
 
 
 #: The marts, and what orders the rows of a season in the stored files (O1).
@@ -214,8 +215,14 @@ def seasons_of(landing: dict[str, DataFrame]) -> list[int]:
 
 
 def warehouse_driver_standings(spark: SparkSession, sf_dir: str, warehouse: str | None = None) -> DataFrame:
-    """End-to-end: three landed batches through ``build_all``; the driver standings mart as stored."""
+    """End-to-end: three landed batches through ``build_all``; the driver standings mart as stored.
+
+    A build reads its landing several times (checks, seasons, rows). The joined line items are written once, and the
+    batches are ranges of order dates of them; calendar and fastest laps, one row per race, are written per batch."""
+    facts = stored(b.landed_facts(spark, sf_dir), "landed-facts")
     wh = Warehouse(spark, warehouse or scratch_dir(spark, "warehouse"))
     for k in (1, 2, 3):
-        build_all(spark, landing_from_testdata(spark, sf_dir, k), warehouse=wh)
+        landing = landing_from_testdata(spark, sf_dir, k, facts)
+        landing |= {name: stored(landing[name], name) for name in ("raw_races", "raw_fastest_laps")}
+        build_all(spark, landing, warehouse=wh)
     return wh.mart("driver_standings").read()

@@ -101,9 +101,15 @@ def line_facts(spark: SparkSession, sf_dir: str, li_cols) -> DataFrame:
             .withColumn("event_name", F.concat(F.lit("Round "), F.col("round").cast("string"))))
 
 
-def results_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw_results-shaped rows: one per line item; driver = supplier, team = its nation."""
-    f = line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+def landed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_facts`` with all that ``results_like`` and ``laps_like`` read, and nothing else: to be written once for both."""
+    li = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+    return line_facts(spark, sf_dir, li).select("year", "round", "event_name", *li, "s_name", "n_name", "o_orderdate")
+
+
+def results_like(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """raw_results-shaped rows: one per line item; driver = supplier, team = its nation. ``facts``: ``landed_facts``."""
+    f = facts if facts is not None else line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                     "l_extendedprice", "l_returnflag", "l_linestatus"))
     position = (F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
                 .otherwise(F.ceil(F.col("l_quantity") / F.lit(2.5)).cast("double")))
@@ -119,9 +125,9 @@ def results_like(spark: SparkSession, sf_dir: str) -> DataFrame:
         *RESULT_TIEBREAKS, "o_orderdate")
 
 
-def laps_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lap rows: one per line item, lap time = extended price / 1000 seconds."""
-    f = line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+def laps_like(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """Lap rows: one per line item, lap time = extended price / 1000 seconds. ``facts``: ``landed_facts``."""
+    f = facts if facts is not None else line_facts(spark, sf_dir, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                     "l_extendedprice"))
     return f.select(
         "year", "round", "event_name",

@@ -5,6 +5,8 @@ import shutil
 
 import pytest
 
+from paddock import session
+from paddock.plans import build
 from paddock.plans import maintenance as mt
 
 from .conftest import SF_SMALL, rows
@@ -16,7 +18,7 @@ def sources(tmp_path, monkeypatch):
     d = str(tmp_path / "sf")
     shutil.copytree(SF_SMALL, d)
     os.chmod(d, 0o755)
-    path, land = f"{d}/lineitem.parquet", mt.stored
+    path, land = f"{d}/lineitem.parquet", session.stored
 
     def stored(df, purpose):
         out = land(df, purpose)
@@ -27,6 +29,7 @@ def sources(tmp_path, monkeypatch):
         return out
 
     monkeypatch.setattr(mt, "stored", stored)
+    monkeypatch.setattr(build, "stored", stored)
     return d
 
 
@@ -43,3 +46,8 @@ def test_incremental_laps_join_once(spark, sources):
 def test_streamed_landings_join_once(spark, sources):
     want = rows(mt.incremental_results(spark, SF_SMALL))
     assert rows(mt.stream_incremental_results(spark, sources)) == want
+
+
+def test_a_warehouse_of_three_batches_joins_once(spark, sources):
+    want = rows(build.warehouse_driver_standings(spark, SF_SMALL))
+    assert rows(build.warehouse_driver_standings(spark, sources)) == want and len(want) > 10
