@@ -3,7 +3,9 @@ import random
 
 import numpy as np
 
+from paddock.llm import common
 from paddock.llm import suffix_dedup as sd
+from paddock.session import path_exists
 
 
 def brute(rows, window):
@@ -61,3 +63,23 @@ def test_pieces_of_a_long_text(spark, monkeypatch):
 def test_empty_and_unique(spark):
     check(spark, [], 400)
     check(spark, [(1, "no repeat here " + "".join(chr(200 + i) for i in range(500)))], 400)
+
+
+def test_a_pass_leaves_no_shuffle_files(spark):
+    rng = random.Random(3)
+    text = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    passage = text(40)
+    docs = spark.createDataFrame([(i, text(30) + passage + text(30)) for i in range(20)], "doc_id long, text string").repartition(3)
+    kept_files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(setting, "false")
+    before = kept_files()
+    with common.watched() as paths:
+        spans = sd.repeated_spans(docs, window=96)
+    assert kept_files() <= before
+    assert spark.conf.get(setting) == "false"
+    spark.conf.unset(setting)
+    left = {p.rpartition("/")[2].rpartition("-")[0] for p in paths if path_exists(spark, p)}
+    assert not left & {"segments", "cells", "open", "digits"}
+    assert spans.count()
