@@ -40,6 +40,9 @@ BLOCK_IDS = 1 << 16
 #: Longer units are encoded each time instead of being kept.
 MAX_UNIT_CHARS = 64
 
+#: New units that are encoded in one call.
+RUN_UNITS = 1 << 12
+
 CHUNKS = ("shard int, block int, first_id long, n_ids int, planes array<binary>, ordinals array<long>, "
           "doc_ids array<long>, offsets array<long>, lengths array<int>, totals array<long>")
 
@@ -56,7 +59,10 @@ class UnitEncoder:
 
     def __init__(self, path: str, cache_entries: int):
         tk.check_byte_level(path)
-        self.encode = tk.load(path).encode_batch_fast
+        tokenizer = tk.load(path)
+        self.encode = tokenizer.encode_batch_fast
+        self.spaced = np.zeros(max(tokenizer.get_vocab().values()) + 1, dtype=bool)  # tokens that begin with a space
+        self.spaced[[i for t, i in tokenizer.get_vocab(with_added_tokens=False).items() if t[0] == "\u0120"]] = True
         self.specials = tk.special_strings(path)
         self.known: dict[str, bytes] = {}
         self.room = cache_entries
@@ -71,6 +77,15 @@ class UnitEncoder:
             return [found[0], *("\0" + u for u in found[1:])]
         return plain.split(" ")
 
+    def learn(self, units: list[str]) -> None:
+        """Encode units as one text and cut it where a token begins with a space: each unit has just one, at its front.
+        Another number of such tokens than of units means that one of them crosses units; then nothing is kept."""
+        ids = np.array(self.encode([" " + " ".join(units)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+        if len(cuts) == len(units):
+            raw = ids.tobytes()
+            self.known.update(zip(units, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])), strict=True))
+
     def ids(self, texts: list[str | None], end: bytes) -> list[bytes]:
         known, per_text = self.known, []
         for text in texts:
@@ -85,8 +100,12 @@ class UnitEncoder:
                         found[0] = "\0" + found[0]
                     units += found
             per_text.append(units)
-        order = [u for u in set().union(*per_text) if u not in known]
-        for u, e in zip(order, self.encode([u[1:] if u[:1] == "\0" else " " + u for u in order], add_special_tokens=False), strict=True):
+        order = list(set().union(*per_text).difference(known))
+        runs = [u for u in order if u and u[0] != "\0" and not u[-1].isspace()]
+        for at in range(0, len(runs), RUN_UNITS):
+            self.learn(runs[at : at + RUN_UNITS])
+        alone = [u for u in order if u not in known]
+        for u, e in zip(alone, self.encode([u[1:] if u[:1] == "\0" else " " + u for u in alone], add_special_tokens=False), strict=True):
             known[u] = array("I", e.ids).tobytes()
         get = known.__getitem__
         out = [b"".join(map(get, units)) + end for units in per_text]

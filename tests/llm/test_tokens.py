@@ -28,6 +28,28 @@ def test_units_and_pre_tokens_match_the_library(texts):
     assert counter.counts(texts) == [len(ids(t)) for t in texts]
 
 
+def test_new_units_are_encoded_in_runs():
+    enc, seen = token_output.UnitEncoder(PATH, 100_000), []
+    encode = enc.encode
+    enc.encode = lambda texts, **options: seen.extend(texts) or encode(texts, **options)
+    texts = [" ".join(f"w{i * j}x" for i in range(500)) + "\n" for j in range(1, 5)]
+    want = [np.array(ids(t), dtype="<u4").tobytes() for t in texts]
+    assert enc.ids(texts, b"") == want and len(seen) < 20
+    enc.known.clear()
+    enc.spaced[:] = False  # no place to cut a run: every unit by itself
+    assert enc.ids(texts, b"") == want and len(seen) > 1000
+
+
+def test_runs_make_no_special_strings(tmp_path):
+    path = str(tmp_path / "t.json")
+    own = Tokenizer.from_file(PATH)
+    own.add_special_tokens(["a b", "b a"])
+    own.save(path)
+    texts = ["x a", "x b", "x a b", "b a x"]
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert token_output.UnitEncoder(path, 1000).ids(texts, b"") == want
+
+
 def test_slices_do_not_change_counts():
     text = ("some words\n\n  and   spaces " * 400)[:9000]
     assert "".join(tokenizing.slices(text, 100)) == text
