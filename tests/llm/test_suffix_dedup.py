@@ -60,6 +60,27 @@ def test_pieces_of_a_long_text(spark, monkeypatch):
     assert starts == list(range(len(raw) - 95))
 
 
+def test_structured_texts_do_not_collide(spark):
+    """Thue-Morse strings and their complements have equal polynomial hashes modulo 2**64, whatever the bases."""
+    tm = "".join("0b"[i.bit_count() % 2] for i in range(512))
+    other = tm.translate(str.maketrans("0b", "b0"))
+    check(spark, [(1, tm), (2, other), (3, "x" + tm[:300]), (4, None)], 512)
+    check(spark, [(1, tm), (2, other), (3, tm)], 512)
+
+
+def test_fingerprints_by_definition():
+    h, rng = sd._hasher(), np.random.default_rng(2)
+    p = int(sd.PRIME)
+    a = np.append(rng.integers(0, p, 1000, dtype=np.uint64), [p - 1, p - 1, 0]).astype(np.uint64)
+    b = np.append(rng.integers(0, p, 1000, dtype=np.uint64), [p - 1, 1, p - 1]).astype(np.uint64)
+    assert sd._product(a, b).tolist() == [x * y % p for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+    data = np.full(3000, 255, dtype=np.uint8)
+    for j in (0, 1):
+        base = int(h.powers[j][0][1]) + (int(h.powers[j][1][1]) << 31)
+        assert h.sums(data, j)[-1] == sum(256 * pow(base, i, p) for i in range(3000)) % p
+        assert len(set(h.of(h.sums(data, j), np.arange(100), np.arange(100) + 2000, j).tolist())) == 1
+
+
 def test_empty_and_unique(spark):
     check(spark, [], 400)
     check(spark, [(1, "no repeat here " + "".join(chr(200 + i) for i in range(500)))], 400)
