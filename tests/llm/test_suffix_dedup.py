@@ -69,16 +69,16 @@ def test_structured_texts_do_not_collide(spark):
 
 
 def test_fingerprints_by_definition():
-    h, rng = sd._hasher(), np.random.default_rng(2)
+    h, rng = sd.Hasher(40000), np.random.default_rng(2)
     p = int(sd.PRIME)
     a = np.append(rng.integers(0, p, 1000, dtype=np.uint64), [p - 1, p - 1, 0]).astype(np.uint64)
     b = np.append(rng.integers(0, p, 1000, dtype=np.uint64), [p - 1, 1, p - 1]).astype(np.uint64)
     assert sd._product(a, b).tolist() == [x * y % p for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-    data = np.full(3000, 255, dtype=np.uint8)
+    data = np.full(40000, 255, dtype=np.uint8)  # over two blocks
     for j in (0, 1):
         base = int(h.powers[j][0][1]) + (int(h.powers[j][1][1]) << 31)
-        assert h.sums(data, j)[-1] == sum(256 * pow(base, i, p) for i in range(3000)) % p
-        assert len(set(h.of(h.sums(data, j), np.arange(100), np.arange(100) + 2000, j).tolist())) == 1
+        assert h.sums(data, j)[-1] == sum(256 * pow(base, i, p) for i in range(40000)) % p
+        assert len(set(h.of(h.sums(data, j), np.arange(30000), np.arange(30000) + 2000, j).tolist())) == 1
 
 
 def test_empty_and_unique(spark):
